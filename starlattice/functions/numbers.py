@@ -37,15 +37,25 @@ def floor_div(a: Column, b: Column) -> Column:
 def half_away_quotient(a, b, places: int = 0) -> Column:
     """round_half_away_from_zero(a * 10**places / b) as an integral decimal.
 
-    ``a`` and ``b`` must be integral (scale 0 after casting). NULL when
-    ``b`` is zero or NULL. Uses only exact decimal operations, so every
-    engine computing the same formula gets the same integer.
+    ``a`` and ``b`` must be integral. NULL when ``b`` is zero or NULL.
+    Rows whose operands keep every intermediate below 2**53 take a fast
+    path in 64-bit integers (the final exact division is done in double,
+    which is exact there); larger rows take the same formula in 38-digit
+    decimals. Both paths give the same integer, in every engine.
     """
-    a = _col(a).cast(INT38)
-    b = _col(b).cast(INT38)
-    num = F.abs(a) * F.lit(2 * 10 ** places).cast(INT38) + F.abs(b)
-    den = F.abs(b) * F.lit(2).cast(INT38)
-    k = floor_div(num, F.when(den == 0, F.lit(1).cast(INT38)).otherwise(den))
+    a = _col(a)
+    b = _col(b)
+    bound = (2 ** 53 - 1) // (2 * 10 ** places + 1)
+    la, lb = a.cast("long"), b.cast("long")
+    fast_num = F.abs(la) * F.lit(2 * 10 ** places) + F.abs(lb)
+    fast_den = F.abs(lb) * F.lit(2)
+    fast_k = ((fast_num - fast_num % fast_den).cast("double") / fast_den.cast("double")).cast(INT38)
+    da, db = a.cast(INT38), b.cast(INT38)
+    num = F.abs(da) * F.lit(2 * 10 ** places).cast(INT38) + F.abs(db)
+    den = F.abs(db) * F.lit(2).cast(INT38)
+    slow_k = floor_div(num, F.when(den == 0, F.lit(1).cast(INT38)).otherwise(den))
+    small = (F.abs(a) <= F.lit(bound)) & (F.abs(b) <= F.lit(bound))
+    k = F.when(small, fast_k).otherwise(slow_k)
     signed = F.when((a < 0) != (b < 0), -k).otherwise(k)
     return F.when(b != 0, signed)
 

@@ -17,10 +17,34 @@ from ..spec import DEFAULT_SPEC, StarSpec
 from .numbering import sequential_ids
 
 
-def date_dim(master: DataFrame, spec: StarSpec = DEFAULT_SPEC) -> DataFrame:
+def dimension_members(master: DataFrame) -> DataFrame:
+    """Distinct dates and distinct (product, size) pairs from ONE pass.
+
+    A two-set ``groupingSets`` aggregate: every task reduces its rows to
+    members before the (small) shuffle, so a hot member costs nothing, and
+    the master is scanned once for both dimensions. ``__set`` tells the
+    sets apart: 3 for dates, 4 for (product, size) pairs.
+    """
+    return (master.groupingSets([["date"], ["product_type", "unit_size"]],
+                                "date", "product_type", "unit_size")
+                  .agg(F.grouping_id().alias("__set")))
+
+
+def dates_of(members: DataFrame) -> DataFrame:
+    return members.where(F.col("__set") == 3).select(F.col("date").alias("full_date"))
+
+
+def pairs_of(members: DataFrame) -> DataFrame:
+    return members.where(F.col("__set") == 4).select(
+        F.col("product_type").alias("product_name"), F.col("unit_size").alias("package_size"))
+
+
+def date_dim(master: DataFrame, spec: StarSpec = DEFAULT_SPEC,
+             dates: DataFrame | None = None) -> DataFrame:
     """Distinct dates -> date_id 1..n in date order plus calendar attributes."""
-    dates = (master.select(F.col("date").alias("full_date"))
-                   .where(F.col("full_date").isNotNull()).distinct())
+    if dates is None:
+        dates = master.select(F.col("date").alias("full_date")).distinct()
+    dates = dates.where(F.col("full_date").isNotNull())
     numbered = sequential_ids(dates, [F.col("full_date").asc()], "date_id",
                               partitions=spec.id_partitions, name="dim_date")
     cal = calendar_columns("full_date")
@@ -35,10 +59,11 @@ def category_lookup(catalogue: DataFrame) -> DataFrame:
 
 
 def product_dim(master: DataFrame, catalogue: DataFrame,
-                spec: StarSpec = DEFAULT_SPEC) -> DataFrame:
+                spec: StarSpec = DEFAULT_SPEC, pairs: DataFrame | None = None) -> DataFrame:
     """Distinct (product, size) pairs with their category; ids by (name, size)."""
-    pairs = master.select(F.col("product_type").alias("product_name"),
-                          F.col("unit_size").alias("package_size")).distinct()
+    if pairs is None:
+        pairs = master.select(F.col("product_type").alias("product_name"),
+                              F.col("unit_size").alias("package_size")).distinct()
     cats = category_lookup(catalogue).withColumnRenamed("product_type", "_cat_product")
     enriched = (pairs.join(cats, pairs.product_name == cats._cat_product, "left")
                      .select("product_name", "package_size",

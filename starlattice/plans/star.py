@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import aggregate, mean_ratio, money_sum, row_count
 from ..operators.clean import clean_catalogue, clean_transactions
-from ..operators.dims import date_dim, month_dim, product_dim
+from ..operators.dims import (date_dim, dates_of, dimension_members, month_dim, pairs_of,
+                              product_dim)
 from ..operators.fact import fact_rows, lookup_keys, number_facts
 from ..operators.joins import dim_side
-from ..sources import fixtures
+from ..session import materialize
+from ..sources import fixtures, readers
 from ..spec import DEFAULT_SPEC, StarSpec
 
 DIMENSIONS = ("dim_date", "dim_product", "dim_month")
@@ -86,8 +88,9 @@ def build_star(master_raw: DataFrame, catalogue_raw: DataFrame | None,
     if catalogue is None:
         catalogue = master.sparkSession.createDataFrame(
             [], "product_type string, category string, _row bigint")
-    d_date = date_dim(master, spec)
-    d_product = product_dim(master, catalogue, spec)
+    members = materialize(dimension_members(master), "members")
+    d_date = date_dim(master, spec, dates=dates_of(members))
+    d_product = product_dim(master, catalogue, spec, pairs=pairs_of(members))
     d_month = month_dim(d_date, spec)
     rows = {"dim_date": d_date.count(), "dim_product": d_product.count(),
             "dim_month": d_month.count()}
@@ -109,8 +112,13 @@ def star_from_tables(tables: dict, spec: StarSpec = DEFAULT_SPEC) -> Star:
 
 
 def fixture_star(spark: SparkSession, sf_dir: str, spec: StarSpec = DEFAULT_SPEC) -> Star:
-    """The star built from the test tables (see ``sources.fixtures``)."""
-    return build_star(fixtures.raw_transactions(spark, sf_dir),
+    """The star built from the test tables (see ``sources.fixtures``).
+
+    The raw master sheet is staged as Parquet once and read back with the
+    transaction reader, as a real sheet export would be.
+    """
+    raw_path = fixtures.stage_transactions(spark, sf_dir)
+    return build_star(readers.read_transactions(spark, raw_path),
                       fixtures.raw_catalogue(spark, sf_dir), spec)
 
 

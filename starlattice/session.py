@@ -78,3 +78,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cluster when it has fewer files than cores.
+
+    A single-file source (one Parquet row group cannot be split) would
+    otherwise run every following narrow operator in one task. A source of
+    many files - any real one - is returned unchanged, so no shuffle is
+    added at scale.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < cores:
+        return df.repartition(cores)
+    return df

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import half_away_quotient
-from ..session import scratch_path
+from ..session import scratch_path, spread_small_input
 
 # The five package sizes and the p_size bounds mapped onto them.
 SIZE_BUCKETS = [(10, "100g"), (20, "200g"), (30, "500g"), (40, "1kg")]
@@ -53,11 +53,17 @@ def size_bucket(p_size: Column) -> Column:
 
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem x orders x part with the exact money columns (no dirt yet)."""
-    li = _table(spark, sf_dir, "lineitem").select(
+    """lineitem x orders x part with the exact money columns (no dirt yet).
+
+    Money is computed in exact 64-bit integers of 1/10000: extended price
+    in cents times (100 - discount in percent), minus quantity times
+    retail price in cents times 100. The values equal the decimal formulas
+    (price x (1 - discount), revenue - quantity x price) exactly.
+    """
+    li = spread_small_input(_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount",
-        F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(LINEAGE))
+        F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(LINEAGE)))
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type",
                                                 "p_size", "p_retailprice")
@@ -65,18 +71,23 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                .join(part, li.l_partkey == part.p_partkey))
     qty = F.col("l_quantity").cast("decimal(12,0)")
     price = F.col("p_retailprice").cast("decimal(12,2)")
-    rev_u = (F.col("l_extendedprice").cast("decimal(18,2)")
-             * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")))
-    profit_u = rev_u - qty * price
-    bp = half_away_quotient((profit_u * F.lit(10000)).cast("decimal(38,0)"),
-                            (rev_u * F.lit(10000)).cast("decimal(38,0)"), 4)
-    return lines.select(
+    cents = lambda c: (c * F.lit(100)).cast("long")
+    base = lines.select(
         "l_orderkey", "l_linenumber", "o_orderdate", "p_name", "p_type", "p_size", LINEAGE,
         qty.alias("qty"), price.alias("price"),
-        F.round(rev_u, 2).cast("decimal(18,2)").alias("revenue"),
-        F.round(profit_u, 2).cast("decimal(18,2)").alias("profit"),
-        (qty * price).cast("decimal(18,2)").alias("cost"),
-        bp.cast("decimal(18,0)").alias("margin_bp"),
+        (cents(F.col("l_extendedprice").cast("decimal(18,2)"))
+         * (F.lit(100) - cents(F.col("l_discount").cast("decimal(4,2)")))).alias("rev4"),
+        (qty.cast("long") * cents(price) * F.lit(100)).alias("cost4"))
+    staged = base.withColumn("prof4", F.col("rev4") - F.col("cost4"))
+    to_money = lambda c: F.round(c.cast("decimal(18,0)") / F.lit(10000), 2).cast("decimal(18,2)")
+    return staged.select(
+        "l_orderkey", "l_linenumber", "o_orderdate", "p_name", "p_type", "p_size", LINEAGE,
+        "qty", "price",
+        to_money(F.col("rev4")).alias("revenue"),
+        to_money(F.col("prof4")).alias("profit"),
+        (F.col("cost4") / F.lit(100)).cast("long").cast("decimal(18,0)")
+        .__truediv__(F.lit(100)).cast("decimal(18,2)").alias("cost"),
+        half_away_quotient(F.col("prof4"), F.col("rev4"), 4).cast("decimal(18,0)").alias("margin_bp"),
         size_bucket(F.col("p_size")).alias("size"),
     )
 
@@ -153,6 +164,18 @@ def raw_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stage_transactions(spark: SparkSession, sf_dir: str) -> str:
+    """Write the raw master sheet as Parquet files; return the folder.
+
+    The real source of the ETL is a file of text columns; staging the
+    fixture once makes every later pass a plain scan of that text instead
+    of a re-run of the three-table join that produces it.
+    """
+    path = scratch_path(spark, "raw-transactions")
+    raw_transactions(spark, sf_dir).drop(LINEAGE).write.mode("overwrite").parquet(path)
+    return path
+
+
 def stage_monthly_sheets(spark: SparkSession, sf_dir: str) -> list[str]:
     """Write the monthly sheets as one folder per sheet; return the folders.
 
