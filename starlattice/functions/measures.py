@@ -69,7 +69,7 @@ def row_count(name: str) -> Measure:
 
 def basis_points(column: str, ratio_places: int = 4) -> Column:
     """A ratio kept at ``ratio_places`` decimals as an exact integer."""
-    return (F.col(column) * F.lit(10 ** ratio_places)).cast(INT38)
+    return (F.col(column) * F.lit(10 ** ratio_places)).cast("decimal(18,0)")
 
 
 def mean_ratio(column: str, name: str, places: int | None = 2, percent: bool = True,

@@ -34,7 +34,7 @@ def floor_div(a: Column, b: Column) -> Column:
     return ((a - a % b) / b).cast(INT38)
 
 
-def half_away_quotient(a, b, places: int = 0) -> Column:
+def half_away_quotient(a, b, places: int = 0, fast: bool = True) -> Column:
     """round_half_away_from_zero(a * 10**places / b) as an integral decimal.
 
     ``a`` and ``b`` must be integral. NULL when ``b`` is zero or NULL.
@@ -42,9 +42,17 @@ def half_away_quotient(a, b, places: int = 0) -> Column:
     path in 64-bit integers (the final exact division is done in double,
     which is exact there); larger rows take the same formula in 38-digit
     decimals. Both paths give the same integer, in every engine.
+    ``fast=False`` keeps only the decimal path (smaller code, for values
+    computed once per group rather than per row).
     """
     a = _col(a)
     b = _col(b)
+    if not fast:
+        da, db = a.cast(INT38), b.cast(INT38)
+        num = F.abs(da) * F.lit(2 * 10 ** places).cast(INT38) + F.abs(db)
+        den = F.abs(db) * F.lit(2).cast(INT38)
+        k = floor_div(num, F.when(den == 0, F.lit(1).cast(INT38)).otherwise(den))
+        return F.when(db != 0, F.when((da < 0) != (db < 0), -k).otherwise(k))
     bound = (2 ** 53 - 1) // (2 * 10 ** places + 1)
     la, lb = a.cast("long"), b.cast("long")
     fast_num = F.abs(la) * F.lit(2 * 10 ** places) + F.abs(lb)
@@ -60,6 +68,6 @@ def half_away_quotient(a, b, places: int = 0) -> Column:
     return F.when(b != 0, signed)
 
 
-def scaled_ratio(a, b, places: int) -> Column:
+def scaled_ratio(a, b, places: int, fast: bool = False) -> Column:
     """a / b rounded half away from zero to ``places``, as a double."""
-    return half_away_quotient(a, b, places).cast("double") / F.lit(10 ** places)
+    return half_away_quotient(a, b, places, fast).cast("double") / F.lit(10 ** places)

@@ -27,7 +27,13 @@ def dimension_members(master: DataFrame) -> DataFrame:
     """
     return (master.groupingSets([["date"], ["product_type", "unit_size"]],
                                 "date", "product_type", "unit_size")
-                  .agg(F.grouping_id().alias("__set")))
+                  .agg(F.grouping_id().alias("__set"), F.count(F.lit(1)).alias("__rows")))
+
+
+def member_counts(members: DataFrame) -> dict[int, int]:
+    """Number of members per set (two small numbers)."""
+    return {r["__set"]: r["n"] for r in
+            members.groupBy("__set").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
 def dates_of(members: DataFrame) -> DataFrame:
@@ -40,13 +46,13 @@ def pairs_of(members: DataFrame) -> DataFrame:
 
 
 def date_dim(master: DataFrame, spec: StarSpec = DEFAULT_SPEC,
-             dates: DataFrame | None = None) -> DataFrame:
+             dates: DataFrame | None = None, rows: int | None = None) -> DataFrame:
     """Distinct dates -> date_id 1..n in date order plus calendar attributes."""
     if dates is None:
         dates = master.select(F.col("date").alias("full_date")).distinct()
     dates = dates.where(F.col("full_date").isNotNull())
     numbered = sequential_ids(dates, [F.col("full_date").asc()], "date_id",
-                              partitions=spec.id_partitions, name="dim_date")
+                              partitions=spec.id_partitions, name="dim_date", known_rows=rows)
     cal = calendar_columns("full_date")
     return numbered.select("date_id", "full_date", *[c.alias(k) for k, c in cal.items()])
 
@@ -59,7 +65,8 @@ def category_lookup(catalogue: DataFrame) -> DataFrame:
 
 
 def product_dim(master: DataFrame, catalogue: DataFrame,
-                spec: StarSpec = DEFAULT_SPEC, pairs: DataFrame | None = None) -> DataFrame:
+                spec: StarSpec = DEFAULT_SPEC, pairs: DataFrame | None = None,
+                rows: int | None = None) -> DataFrame:
     """Distinct (product, size) pairs with their category; ids by (name, size)."""
     if pairs is None:
         pairs = master.select(F.col("product_type").alias("product_name"),
@@ -70,11 +77,12 @@ def product_dim(master: DataFrame, catalogue: DataFrame,
                              F.coalesce("category", F.lit(spec.default_category)).alias("category")))
     order = [F.col("product_name").asc_nulls_last(), F.col("package_size").asc_nulls_last()]
     numbered = sequential_ids(enriched, order, "product_id",
-                              partitions=spec.id_partitions, name="dim_product")
+                              partitions=spec.id_partitions, name="dim_product", known_rows=rows)
     return numbered.select("product_id", "product_name", "package_size", "category")
 
 
-def month_dim(dim_date: DataFrame, spec: StarSpec = DEFAULT_SPEC) -> DataFrame:
+def month_dim(dim_date: DataFrame, spec: StarSpec = DEFAULT_SPEC,
+              date_rows: int | None = None) -> DataFrame:
     """Months present in the date dimension, ids in (year, month) order.
 
     month_name is the month formatted with ``spec.month_key_format``
@@ -83,7 +91,8 @@ def month_dim(dim_date: DataFrame, spec: StarSpec = DEFAULT_SPEC) -> DataFrame:
     """
     months = dim_date.select("year", "month_num").distinct()
     numbered = sequential_ids(months, [F.col("year").asc(), F.col("month_num").asc()],
-                              "month_id", partitions=spec.id_partitions, name="dim_month")
+                              "month_id", partitions=spec.id_partitions, name="dim_month",
+                              known_rows=date_rows)
     first_day = F.make_date("year", "month_num", F.lit(1))
     name = F.date_format(first_day, spec.month_key_format)
     return numbered.select("month_id", name.alias("month_name"), F.lower(name).alias("month_key"),

@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import aggregate, mean_ratio, money_sum, row_count
 from ..operators.clean import clean_catalogue, clean_transactions
-from ..operators.dims import (date_dim, dates_of, dimension_members, month_dim, pairs_of,
-                              product_dim)
+from ..operators.dims import (date_dim, dates_of, dimension_members, member_counts, month_dim,
+                              pairs_of, product_dim)
 from ..operators.fact import fact_rows, lookup_keys, number_facts
 from ..operators.joins import dim_side
-from ..session import materialize
+from ..session import job_label, materialize
 from ..sources import fixtures, readers
 from ..spec import DEFAULT_SPEC, StarSpec
 
@@ -89,11 +89,17 @@ def build_star(master_raw: DataFrame, catalogue_raw: DataFrame | None,
         catalogue = master.sparkSession.createDataFrame(
             [], "product_type string, category string, _row bigint")
     members = materialize(dimension_members(master), "members")
-    d_date = date_dim(master, spec, dates=dates_of(members))
-    d_product = product_dim(master, catalogue, spec, pairs=pairs_of(members))
-    d_month = month_dim(d_date, spec)
-    rows = {"dim_date": d_date.count(), "dim_product": d_product.count(),
-            "dim_month": d_month.count()}
+    with job_label(master.sparkSession, "count members"):
+        counts = member_counts(members)
+    n_dates, n_pairs = counts.get(3, 0), counts.get(4, 0)
+    # each dimension is written once, so queries read small files, not the plan
+    d_date = materialize(date_dim(master, spec, dates=dates_of(members), rows=n_dates),
+                         "dim_date")
+    d_product = materialize(product_dim(master, catalogue, spec, pairs=pairs_of(members),
+                                        rows=n_pairs), "dim_product")
+    d_month = materialize(month_dim(d_date, spec, date_rows=n_dates), "dim_month")
+    # months are at most the dates; the bound is all the broadcast check needs
+    rows = {"dim_date": n_dates, "dim_product": n_pairs, "dim_month": n_dates}
     keyed = lookup_keys(master, d_date, d_product, d_month, rows, spec)
     return Star(spec, master, catalogue, d_date, d_product, d_month, rows,
                 fact_rows(keyed, spec))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,7 +77,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    with job_label(spark, f"materialize {name}"):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -93,3 +95,15 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     if len(df.inputFiles()) < cores:
         return df.repartition(cores)
     return df
+
+
+@contextmanager
+def job_label(spark: SparkSession, label: str):
+    """Name the Spark jobs started inside the block (shown in history/event log)."""
+    sc = spark.sparkContext
+    previous = sc.getLocalProperty("spark.job.description")
+    sc.setJobDescription(label)
+    try:
+        yield
+    finally:
+        sc.setJobDescription(previous)

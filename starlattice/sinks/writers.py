@@ -13,6 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import job_label
+
 STAR_TABLES = ["dim_date", "dim_product", "dim_month", "fact_sales",
                "summary_monthly", "summary_product"]
 # Key order of each table in exports (summary_product: revenue descending).
@@ -39,8 +41,11 @@ def write_star(star, root: str, partition_fact_by_month: bool = True) -> str:
         writer = df.write.mode("errorifexists")
         if name == "fact_sales" and partition_fact_by_month:
             writer = writer.partitionBy("month_id")
-        writer.parquet(f"{build}/{name}")
-    spark.createDataFrame([(build,)], "build string").write.mode("overwrite").json(_pointer(root))
+        with job_label(spark, f"write {name}"):
+            writer.parquet(f"{build}/{name}")
+    pointer = spark.range(1).select(F.lit(build).alias("build"))
+    with job_label(spark, "switch current build"):
+        pointer.write.mode("overwrite").json(_pointer(root))
     return build
 
 

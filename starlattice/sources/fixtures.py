@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import half_away_quotient
-from ..session import scratch_path, spread_small_input
+from ..session import job_label, scratch_path, spread_small_input
 
 # The five package sizes and the p_size bounds mapped onto them.
 SIZE_BUCKETS = [(10, "100g"), (20, "200g"), (30, "500g"), (40, "1kg")]
@@ -172,7 +172,8 @@ def stage_transactions(spark: SparkSession, sf_dir: str) -> str:
     of a re-run of the three-table join that produces it.
     """
     path = scratch_path(spark, "raw-transactions")
-    raw_transactions(spark, sf_dir).drop(LINEAGE).write.mode("overwrite").parquet(path)
+    with job_label(spark, "stage raw transactions"):
+        raw_transactions(spark, sf_dir).drop(LINEAGE).write.mode("overwrite").parquet(path)
     return path
 
 
