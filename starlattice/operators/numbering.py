@@ -28,7 +28,7 @@ SMALL_ROWS = 1_000_000
 
 def sequential_ids(df: DataFrame, order: Sequence[Column], id_col: str, start: int = 1,
                    partitions: int | None = None, name: str = "ids",
-                   known_rows: int | None = None) -> DataFrame:
+                   known_rows: int | None = None, keep: dict | None = None) -> DataFrame:
     """Add ``id_col`` = start .. start+n-1 following ``order``.
 
     Rows equal in every order key get adjacent ids in an unspecified order;
@@ -36,7 +36,9 @@ def sequential_ids(df: DataFrame, order: Sequence[Column], id_col: str, start: i
 
     When ``known_rows`` proves the input small (at most ``SMALL_ROWS``),
     one ordered window numbers it in a single task with no write; any
-    other input takes the distributed path below.
+    other input takes the distributed path below. When ``keep`` is given,
+    ``keep["rows"]`` receives the written rows without ids, for readers
+    that do not need them (no offsets join).
     """
     if known_rows is not None and known_rows <= SMALL_ROWS:
         ident = (F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1)).cast("bigint")
@@ -49,6 +51,8 @@ def sequential_ids(df: DataFrame, order: Sequence[Column], id_col: str, start: i
                 .withColumn(_POS, F.monotonically_increasing_id()
                             - F.col(_PART).cast("long") * F.lit(1 << 33)))
     pinned = materialize(ranged, name)
+    if keep is not None:
+        keep["rows"] = pinned.select(*df.columns)
     counts = pinned.groupBy(_PART).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(

@@ -39,6 +39,7 @@ class Star:
     rows: dict
     facts: DataFrame
     _fact: DataFrame | None = field(default=None, repr=False)
+    _fact_rows: DataFrame | None = field(default=None, repr=False)
 
     @property
     def spark(self) -> SparkSession:
@@ -48,7 +49,9 @@ class Star:
     def fact(self) -> DataFrame:
         """Fact_Sales with sales_id (numbered and written on first use)."""
         if self._fact is None:
-            self._fact = number_facts(self.facts, self.spec)
+            keep: dict = {}
+            self._fact = number_facts(self.facts, self.spec, keep)
+            self._fact_rows = keep.get("rows")
         return self._fact
 
     @property
@@ -58,6 +61,8 @@ class Star:
         Once the fact has been numbered (and so written), aggregates read
         the written fact instead of recomputing the lookups.
         """
+        if self._fact_rows is not None:
+            return self._fact_rows
         if self._fact is not None:
             return self._fact.drop("sales_id")
         return self.facts.drop("_src")
