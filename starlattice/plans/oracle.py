@@ -350,6 +350,7 @@ QUERIES = {
     "star_join": f"{STAR_JOIN} FROM {FACT_JOIN_ALL}",
     "summary_monthly": "SELECT * FROM summary_monthly",
     "summary_product": "SELECT * FROM summary_product",
+    "stream_summary_monthly": "SELECT * FROM summary_monthly",
     "kpis": f"""SELECT {money("revenue", None)} AS total_revenue,
       {money("profit", None)} AS total_profit, {money("quantity", None)} AS total_quantity,
       {margin_pct("profit_margin", None)} AS avg_margin_pct, COUNT(*) AS total_transactions

@@ -337,6 +337,13 @@ def check_not_null(star):
             .unionByName(Q.check_not_null(star.dim_month, ["month_name"], "dim_month")))
 
 
+def stream_summary_monthly(spark, sf_dir):
+    """Summary_Monthly kept by Structured Streaming over the staged raw files."""
+    from ..streaming.summaries import run_monthly_summary
+    star = star_for(spark, sf_dir)
+    return run_monthly_summary(spark, star.raw_path, star, files_per_batch=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     s = _with_star
     return {
@@ -423,4 +430,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_not_null": s(check_not_null),
         "check_month": s(Q.check_month_agreement),
         "reconcile": s(Q.reconcile),
+        # streaming
+        "stream_summary_monthly": stream_summary_monthly,
     }

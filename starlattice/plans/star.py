@@ -40,6 +40,7 @@ class Star:
     facts: DataFrame
     _fact: DataFrame | None = field(default=None, repr=False)
     _fact_rows: DataFrame | None = field(default=None, repr=False)
+    raw_path: str | None = None
 
     @property
     def spark(self) -> SparkSession:
@@ -129,8 +130,10 @@ def fixture_star(spark: SparkSession, sf_dir: str, spec: StarSpec = DEFAULT_SPEC
     transaction reader, as a real sheet export would be.
     """
     raw_path = fixtures.stage_transactions(spark, sf_dir)
-    return build_star(readers.read_transactions(spark, raw_path),
+    star = build_star(readers.read_transactions(spark, raw_path),
                       fixtures.raw_catalogue(spark, sf_dir), spec)
+    star.raw_path = raw_path
+    return star
 
 
 # --- stored summaries (A1, A2) ------------------------------------------
