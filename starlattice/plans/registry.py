@@ -173,13 +173,18 @@ def _export_back(table: str):
 
 
 def query_catalogue(spark, sf_dir):
+    """Export the eight query results as JSON (K3) and return their catalogue."""
     star = star_for(spark, sf_dir)
-    from functools import reduce
-    metas = [item["df"].agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit(item["id"]).alias("query_id"), F.lit(item["title"]).alias("title"),
-        F.lit(item["description"]).alias("description"), "rows")
-        for item in query_bundle(star)]
-    return reduce(DataFrame.unionByName, metas)
+    meta = writers.export_queries(query_bundle(star), scratch_path(spark, "query-bundle"))
+    return meta.drop("sql")
+
+
+def list_sources_q(spark, sf_dir):
+    """The staged monthly sheets found under their folder (S6): files and bytes."""
+    root = _staged_monthly(spark, sf_dir)[0].rsplit("/", 1)[0]
+    files = readers.list_sources(spark, root).where(F.col("path").endswith(".parquet"))
+    return files.groupBy("source").agg(F.count(F.lit(1)).alias("files"),
+                                       F.sum("length").alias("bytes"))
 
 
 def audit(spark, sf_dir):
@@ -305,7 +310,12 @@ def star_join(star):
 
 
 def cube_metadata_q(star):
-    return cube_metadata(_cube(star), star)
+    """Write the cube by slice with its metadata (K4); return the metadata read back."""
+    cube = _cube(star)
+    meta = cube_metadata(cube, star)
+    path = scratch_path(star.spark, "cube-export")
+    writers.export_cube(cube, meta, path)
+    return star.spark.read.schema(meta.schema).json(f"{path}/metadata")
 
 
 # --- checks ------------------------------------------------------------------
@@ -358,6 +368,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "query_catalogue": query_catalogue,
         "cube_metadata": s(cube_metadata_q),
         "audit_counts": audit,
+        "list_sources": list_sources_q,
         # projections and filters
         "normalize_columns": normalize_columns_q,
         "rename_positional": rename_positional_q,
