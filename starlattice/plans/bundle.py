@@ -32,46 +32,62 @@ QUERY_TEXTS = [
      "Each product's share of total profit across all sales."),
 ]
 
+def _round_half_away(num: str, den: str) -> str:
+    """SQL text: round_half_away(num / den) for integral num, den (NULL when den = 0)."""
+    return (f"CASE WHEN {den} = 0 THEN NULL ELSE "
+            f"(CASE WHEN ({num} < 0) <> ({den} < 0) THEN -1 ELSE 1 END) * "
+            f"((2 * abs({num}) + abs({den})) div (2 * abs({den}))) END")
+
+
+# AVG(profit_margin) * 100 rounded half away to 2 places, exactly: the margin
+# has 4 decimals, so it is an integer of basis points.
+_BP = "CAST(fs.profit_margin * 10000 AS DECIMAL(18,0))"
+MARGIN_PCT = (f"CAST({_round_half_away(f'SUM({_BP})', f'COUNT({_BP})')} AS DOUBLE) / 100")
+PROFIT_SHARE = ("CAST(" + _round_half_away(
+    "CAST(SUM(fs.profit) * 1000000 AS DECIMAL(38,0))",
+    "CAST((SELECT SUM(profit) FROM fact_sales) * 100 AS DECIMAL(38,0))") + " AS DOUBLE) / 100")
+
+# The SQL each query of the bundle runs (Spark SQL over the star's views).
 SQL_TEXTS = {
     "revenue_by_month": (
-        "SELECT dm.month_name, ROUND(SUM(fs.revenue), 2) AS revenue, "
-        "ROUND(SUM(fs.profit), 2) AS profit FROM fact_sales fs "
-        "JOIN dim_month dm ON fs.month_id = dm.month_id "
+        "SELECT dm.month_name, CAST(ROUND(SUM(fs.revenue), 2) AS DOUBLE) AS revenue,\n"
+        "       CAST(ROUND(SUM(fs.profit), 2) AS DOUBLE) AS profit\n"
+        "FROM fact_sales fs JOIN dim_month dm ON fs.month_id = dm.month_id\n"
         "GROUP BY dm.month_id, dm.month_name ORDER BY dm.month_id"),
     "products_by_revenue": (
-        "SELECT dp.product_name, ROUND(SUM(fs.revenue), 2) AS total_rev FROM fact_sales fs "
-        "JOIN dim_product dp ON fs.product_id = dp.product_id "
+        "SELECT dp.product_name, CAST(ROUND(SUM(fs.revenue), 2) AS DOUBLE) AS total_rev\n"
+        "FROM fact_sales fs JOIN dim_product dp ON fs.product_id = dp.product_id\n"
         "GROUP BY dp.product_name ORDER BY total_rev DESC, dp.product_name"),
     "daily_sales_20": (
-        "SELECT dd.full_date, ROUND(SUM(fs.revenue), 2) AS rev, "
-        "CAST(SUM(fs.quantity) AS BIGINT) AS units FROM fact_sales fs "
-        "JOIN dim_date dd ON fs.date_id = dd.date_id "
+        "SELECT dd.full_date, CAST(ROUND(SUM(fs.revenue), 2) AS DOUBLE) AS rev,\n"
+        "       CAST(SUM(fs.quantity) AS BIGINT) AS units\n"
+        "FROM fact_sales fs JOIN dim_date dd ON fs.date_id = dd.date_id\n"
         "GROUP BY dd.full_date ORDER BY dd.full_date LIMIT 20"),
     "margin_by_size": (
-        "SELECT dp.package_size, ROUND(AVG(fs.profit_margin) * 100, 2) AS avg_margin_pct "
-        "FROM fact_sales fs JOIN dim_product dp ON fs.product_id = dp.product_id "
-        "GROUP BY dp.package_size ORDER BY avg_margin_pct DESC, dp.package_size"),
+        f"SELECT dp.package_size, {MARGIN_PCT} AS avg_margin_pct\n"
+        "FROM fact_sales fs JOIN dim_product dp ON fs.product_id = dp.product_id\n"
+        "GROUP BY dp.package_size ORDER BY avg_margin_pct DESC NULLS LAST, dp.package_size"),
     "margin_by_month": (
-        "SELECT dm.month_name, ROUND(AVG(fs.profit_margin) * 100, 2) AS avg_margin_pct, "
-        "COUNT(*) AS transactions FROM fact_sales fs "
-        "JOIN dim_month dm ON fs.month_id = dm.month_id "
+        f"SELECT dm.month_name, {MARGIN_PCT} AS avg_margin_pct, COUNT(*) AS transactions\n"
+        "FROM fact_sales fs JOIN dim_month dm ON fs.month_id = dm.month_id\n"
         "GROUP BY dm.month_name ORDER BY MIN(dm.month_id)"),
     "category_size": (
-        "SELECT dp.category, dp.package_size, ROUND(SUM(fs.revenue), 2) AS revenue, "
-        "CAST(SUM(fs.quantity) AS BIGINT) AS units FROM fact_sales fs "
-        "JOIN dim_product dp ON fs.product_id = dp.product_id "
-        "GROUP BY dp.category, dp.package_size ORDER BY revenue DESC"),
+        "SELECT dp.category, dp.package_size, CAST(ROUND(SUM(fs.revenue), 2) AS DOUBLE) AS revenue,\n"
+        "       CAST(SUM(fs.quantity) AS BIGINT) AS units\n"
+        "FROM fact_sales fs JOIN dim_product dp ON fs.product_id = dp.product_id\n"
+        "GROUP BY dp.category, dp.package_size\n"
+        "ORDER BY revenue DESC, dp.category NULLS LAST, dp.package_size NULLS LAST"),
     "best_days": (
-        "SELECT dm.month_name, dd.full_date, ROUND(SUM(fs.revenue), 2) AS daily_rev "
-        "FROM fact_sales fs JOIN dim_date dd ON fs.date_id = dd.date_id "
-        "JOIN dim_month dm ON fs.month_id = dm.month_id "
-        "GROUP BY dm.month_name, dd.full_date ORDER BY daily_rev DESC, dd.full_date LIMIT 10"),
+        "SELECT dm.month_name, dd.full_date, CAST(ROUND(SUM(fs.revenue), 2) AS DOUBLE) AS daily_rev\n"
+        "FROM fact_sales fs JOIN dim_date dd ON fs.date_id = dd.date_id\n"
+        "JOIN dim_month dm ON fs.month_id = dm.month_id\n"
+        "GROUP BY dm.month_name, dd.full_date\n"
+        "ORDER BY daily_rev DESC, dd.full_date, dm.month_name LIMIT 10"),
     "profit_share": (
-        "SELECT dp.product_name, ROUND(SUM(fs.profit), 2) AS total_profit, "
-        "ROUND(SUM(fs.profit) * 100 / (SELECT SUM(profit) FROM fact_sales), 2) "
-        "AS profit_share_pct FROM fact_sales fs "
-        "JOIN dim_product dp ON fs.product_id = dp.product_id "
-        "GROUP BY dp.product_name ORDER BY total_profit DESC"),
+        "SELECT dp.product_name, CAST(ROUND(SUM(fs.profit), 2) AS DOUBLE) AS total_profit,\n"
+        f"       {PROFIT_SHARE} AS profit_share_pct\n"
+        "FROM fact_sales fs JOIN dim_product dp ON fs.product_id = dp.product_id\n"
+        "GROUP BY dp.product_name ORDER BY total_profit DESC, dp.product_name"),
 }
 
 RUNNERS = {
@@ -91,10 +107,29 @@ CUBE_MEASURE_NAMES = ["total_revenue", "total_profit", "total_units", "total_tra
                       "avg_margin_pct"]
 
 
-def query_bundle(star) -> list[dict]:
-    """[{id, title, description, sql, df}] for the eight analytical queries."""
+def register_views(star, prefix: str = "") -> None:
+    """The star's tables as temporary views for Spark SQL.
+
+    ``fact_sales`` is the fact without ``sales_id`` (none of the bundle's
+    queries reads the key), so numbering never runs for them.
+    """
+    star.measures.createOrReplaceTempView(f"{prefix}fact_sales")
+    for name in ("dim_date", "dim_product", "dim_month"):
+        star.dim(name).createOrReplaceTempView(f"{prefix}{name}")
+
+
+def query_bundle(star, use_sql: bool = True) -> list[dict]:
+    """[{id, title, description, sql, df}] for the eight analytical queries.
+
+    With ``use_sql`` each result is ``spark.sql`` of the text it shows,
+    over the star's views; otherwise the equivalent DataFrame operator.
+    """
+    if use_sql:
+        register_views(star)
+    run = (lambda qid: star.spark.sql(SQL_TEXTS[qid])) if use_sql else \
+        (lambda qid: RUNNERS[qid](star))
     return [{"id": qid, "title": title, "description": desc, "sql": SQL_TEXTS[qid],
-             "df": RUNNERS[qid](star)} for qid, title, desc in QUERY_TEXTS]
+             "df": run(qid)} for qid, title, desc in QUERY_TEXTS]
 
 
 def cube_metadata(cube: DataFrame, star, name: str = "sales cube") -> DataFrame:

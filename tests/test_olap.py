@@ -115,3 +115,11 @@ def test_second_level_rollups_match_first_level(star):
     for cat in totals:
         assert totals[cat] == pytest.approx(sum(r.revenue for r in cs if (r.category or "Other") == cat))
     _ = cube_measures
+
+
+def test_bundle_sql_equals_dataframe_operators(star):
+    from starlattice.plans.bundle import query_bundle
+    for via_sql, via_df in zip(query_bundle(star, True), query_bundle(star, False)):
+        assert via_sql["df"].columns == via_df["df"].columns, via_sql["id"]
+        assert [tuple(r) for r in via_sql["df"].collect()] == \
+            [tuple(r) for r in via_df["df"].collect()], via_sql["id"]
