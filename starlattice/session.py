@@ -83,7 +83,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster when it has fewer files than cores.
+    """Round-robin a scan over the cluster when it has fewer splits than cores.
 
     A single-file source (one Parquet row group cannot be split) would
     otherwise run every following narrow operator in one task. A source of
@@ -92,7 +92,8 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < cores:
+    # the scan's split count (planning only: no job, no file list to Python)
+    if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
 
