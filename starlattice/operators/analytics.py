@@ -111,11 +111,14 @@ def profit_share(star) -> DataFrame:
     """Profit per product and its percent of all profit (fact alone)."""
     total = star.measures.agg(F.sum("profit")).scalar()
     j = star.measures.join(_product(star), "product_id")
-    grouped = j.groupBy("product_name").agg(F.sum("profit").alias("__p"))
+    # bind the scalar subquery to a column once: the exact share refers to
+    # the total several times, and each reference would be its own subquery
+    grouped = (j.groupBy("product_name").agg(F.sum("profit").alias("__p"))
+                .withColumn("__t", total))
     out = grouped.select(
         "product_name",
         F.round("__p", _places(star)).cast("double").alias("total_profit"),
-        share_pct(F.col("__p"), total, 2, _places(star)).alias("profit_share_pct"))
+        share_pct(F.col("__p"), F.col("__t"), 2, _places(star)).alias("profit_share_pct"))
     return out.orderBy(F.desc("total_profit"), F.asc("product_name"))
 
 
@@ -201,10 +204,11 @@ def revenue_share(star, places: int = 2) -> DataFrame:
     """Revenue per product and its percent of all revenue (fact alone)."""
     total = star.measures.agg(F.sum("revenue")).scalar()
     j = star.measures.join(_product(star), "product_id")
-    grouped = j.groupBy("product_name").agg(F.sum("revenue").alias("__r"))
+    grouped = (j.groupBy("product_name").agg(F.sum("revenue").alias("__r"))
+                .withColumn("__t", total))
     out = grouped.select(
         "product_name", F.round("__r", _places(star)).cast("double").alias("revenue"),
-        share_pct(F.col("__r"), total, places, _places(star)).alias("revenue_share_pct"))
+        share_pct(F.col("__r"), F.col("__t"), places, _places(star)).alias("revenue_share_pct"))
     return out.orderBy(F.desc("revenue"), F.asc("product_name"))
 
 
