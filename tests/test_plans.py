@@ -3,6 +3,8 @@ sort, filters and column pruning at the scan, and no Python in any plan."""
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 
 import pytest
@@ -16,7 +18,15 @@ from conftest import SMALL
 
 
 def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def tree(df) -> str:
+    """The operator tree of the formatted plan (before the per-node details)."""
+    return plan(df).split("\n\n")[0]
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +36,7 @@ def star(spark):
 
 def test_cube_is_one_shuffle_over_one_scan(star):
     joined = O.denormalize(star, None, ("dim_month", "dim_product"))
-    text = plan(O.cube(joined, star.measures))
+    text = tree(O.cube(joined, star.measures))
     assert "Expand" in text
     shuffles = [ln for ln in text.splitlines()
                 if "Exchange" in ln and "BroadcastExchange" not in ln]
@@ -35,14 +45,14 @@ def test_cube_is_one_shuffle_over_one_scan(star):
 
 
 def test_top_n_is_take_ordered(star):
-    text = plan(A.top_records(star)) + plan(A.best_days(star))
+    text = tree(A.top_records(star)) + tree(A.best_days(star))
     assert text.count("TakeOrderedAndProject") == 2
 
 
 def test_filter_and_pruning_reach_the_scan(spark):
     df = readers.read_transactions(spark, f"{SMALL}/lineitem.parquet", lineage=False)
     q = df.where("l_quantity > 10").select("l_orderkey")
-    text = q._jdf.queryExecution().executedPlan().toString()
+    text = plan(q)
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,10.0)]" in text
     assert re.search(r"ReadSchema: struct<l_orderkey:bigint,l_quantity:double>", text)
 

@@ -8,6 +8,8 @@ AQE's initial plan shown (no job is run, so no runtime re-planning).
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -24,6 +26,14 @@ from starlattice.sinks.writers import write_star  # noqa: E402
 from starlattice.sources.readers import read_star  # noqa: E402
 
 
+def explain_text(df) -> str:
+    """``df.explain("formatted")`` captured as text."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]", shuffle_partitions=8)
@@ -46,13 +56,10 @@ def main() -> None:
     out = ["# Physical plans", "",
            f"Generated by `tools/dump_plans.py` at `{sf_dir}`, local[8], 8 shuffle partitions.",
            "Paths under the checkpoint root are shortened to `<ckpt>`.", ""]
-    ckpt = ""
     for title, df in plans.items():
-        text = df._jdf.queryExecution().explainString(
-            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        text = explain_text(df)
         text = re.sub(r"file:[^\]\s,]*/starlattice/", "<ckpt>/starlattice/", text)
         text = re.sub(r"-[0-9a-f]{32}", "-<id>", text)
-        del ckpt
         out += [f"## {title}", "", "```", text.strip(), "```", ""]
     with open(os.path.join(ROOT, "PLANS.md"), "w") as fh:
         fh.write("\n".join(out))
