@@ -10,7 +10,7 @@ written once, built only when a query needs the key.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +41,7 @@ class Star:
     _fact: DataFrame | None = field(default=None, repr=False)
     _fact_rows: DataFrame | None = field(default=None, repr=False)
     raw_path: str | None = None
+    id_partitions: int | None = None
 
     @property
     def spark(self) -> SparkSession:
@@ -51,7 +52,10 @@ class Star:
         """Fact_Sales with sales_id (numbered and written on first use)."""
         if self._fact is None:
             keep: dict = {}
-            self._fact = number_facts(self.facts, self.spec, keep)
+            spec = self.spec
+            if spec.id_partitions is None and self.id_partitions:
+                spec = replace(spec, id_partitions=self.id_partitions)
+            self._fact = number_facts(self.facts, spec, keep)
             self._fact_rows = keep.get("rows")
         return self._fact
 
@@ -107,8 +111,23 @@ def build_star(master_raw: DataFrame, catalogue_raw: DataFrame | None,
     # months are at most the dates; the bound is all the broadcast check needs
     rows = {"dim_date": n_dates, "dim_product": n_pairs, "dim_month": n_dates}
     keyed = lookup_keys(master, d_date, d_product, d_month, rows, spec)
-    return Star(spec, master, catalogue, d_date, d_product, d_month, rows,
+    star = Star(spec, master, catalogue, d_date, d_product, d_month, rows,
                 fact_rows(keyed, spec))
+    star.id_partitions = numbering_partitions(master_raw)
+    return star
+
+
+def numbering_partitions(source: DataFrame) -> int:
+    """Partitions for numbering the fact: at least one per split of the source.
+
+    Range partitions are never split by AQE, so their number must grow
+    with the data; the split count of the source scan (about one per
+    ``spark.sql.files.maxPartitionBytes``) does, and reading it only plans
+    the scan.
+    """
+    spark = source.sparkSession
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffle, source.rdd.getNumPartitions())
 
 
 def star_from_tables(tables: dict, spec: StarSpec = DEFAULT_SPEC) -> Star:

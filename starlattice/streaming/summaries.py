@@ -12,7 +12,6 @@ finished correctly after every micro-batch, never averaged from averages.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.clean import clean_transactions
@@ -66,4 +65,4 @@ def run_monthly_summary(spark: SparkSession, source: str, star,
     return spark.read.parquet(sink)
 
 
-__all__ = ["monthly_summary_stream", "run_monthly_summary", "F"]
+__all__ = ["monthly_summary_stream", "run_monthly_summary"]

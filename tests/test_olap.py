@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from starlattice.functions.measures import cube_measures, mean_ratio, money_sum
+from starlattice.functions.measures import mean_ratio, money_sum
 from starlattice.operators import analytics as A
 from starlattice.operators import olap as O
 from starlattice.operators.numbering import sequential_ids
@@ -114,7 +114,6 @@ def test_second_level_rollups_match_first_level(star):
     totals = {r.category: r.revenue for r in A.category_totals(star).collect()}
     for cat in totals:
         assert totals[cat] == pytest.approx(sum(r.revenue for r in cs if (r.category or "Other") == cat))
-    _ = cube_measures
 
 
 def test_bundle_sql_equals_dataframe_operators(star):

@@ -5,7 +5,6 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from starlattice.operators import analytics as A
 from starlattice.operators import checks as Q
@@ -150,4 +149,3 @@ def test_primary_and_foreign_keys_hold(published):
     assert fk.orphan_rows == 0
     dup = published.fact.unionByName(published.fact.limit(1))
     assert Q.check_primary_key(dup, "sales_id", "x").collect()[0].duplicate_keys == 1
-    _ = F
