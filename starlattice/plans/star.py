@@ -181,3 +181,39 @@ def summary_product(star: Star) -> DataFrame:
     joined = star.measures.join(products, "product_id").na.drop(subset=keys)
     return aggregate(joined.groupBy(*keys), [F.col(k) for k in keys],
                      _summary_measures(star.spec))
+
+
+MONTH_KEYS = ["month_id", "month_name", "year"]
+PRODUCT_KEYS = ["product_id", "product_name", "package_size", "category"]
+
+
+def both_summaries(star: Star) -> tuple[DataFrame, DataFrame]:
+    """Summary_Monthly and Summary_Product from ONE pass over the fact.
+
+    The fact is joined (left, map-side) to both dimensions and aggregated
+    with two grouping sets; the small result is written once and split.
+    A fact whose month or product has no member falls in the set's NULL
+    group, which is dropped - the same rows the inner joins of
+    :func:`summary_monthly` / :func:`summary_product` leave out.
+    """
+    months = star.dim("dim_month").select(*MONTH_KEYS)
+    products = star.dim("dim_product").select(*PRODUCT_KEYS)
+    joined = (star.measures.join(months, "month_id", "left")
+              .join(products, "product_id", "left")
+              .withColumn("month_id", F.when(F.col("month_name").isNotNull(), F.col("month_id")))
+              .withColumn("product_id",
+                          F.when(F.col("product_name").isNotNull(), F.col("product_id"))))
+    keys = MONTH_KEYS + PRODUCT_KEYS
+    measures = _summary_measures(star.spec)
+    partials = [p for m in measures for p in m.partials]
+    agg = joined.groupingSets([MONTH_KEYS, PRODUCT_KEYS], *keys).agg(
+        *partials, F.grouping_id().alias("__set"))
+    both = materialize(agg.select(*keys, "__set", *[m.final for m in measures]), "summaries")
+    month_set = (1 << len(PRODUCT_KEYS)) - 1          # product keys rolled up
+    product_set = ((1 << len(MONTH_KEYS)) - 1) << len(PRODUCT_KEYS)
+    finals = [m.name for m in measures]
+    monthly = (both.where((F.col("__set") == month_set) & F.col("month_id").isNotNull())
+               .select(*MONTH_KEYS, *finals))
+    product = (both.where(F.col("__set") == product_set).na.drop(subset=PRODUCT_KEYS)
+               .select(*PRODUCT_KEYS, *finals))
+    return monthly, product

@@ -34,10 +34,14 @@ def _pointer(root: str) -> str:
 
 def write_star(star, root: str, partition_fact_by_month: bool = True) -> str:
     """Write the six tables into a new build folder, then switch the pointer."""
+    from ..plans.star import both_summaries
     spark = star.spark
     build = f"{root.rstrip('/')}/build-{uuid.uuid4().hex}"
+    with job_label(spark, "summaries"):
+        monthly, product = both_summaries(star)
+    tables = {"summary_monthly": monthly, "summary_product": product}
     for name in STAR_TABLES:
-        df = star.table(name)
+        df = tables[name] if name in tables else star.table(name)
         writer = df.write.mode("errorifexists")
         if name == "fact_sales" and partition_fact_by_month:
             writer = writer.partitionBy("month_id")

@@ -60,3 +60,23 @@ def test_generic_cube_on_events(spark):
     sums = {r.slice: r.e for r in cube.groupBy("slice").agg(F.sum("events").alias("e")).collect()}
     assert set(sums) == {"full_cube", "rollup_event_type", "rollup_day", "grand_total"}
     assert all(v == n for v in sums.values())
+
+
+def test_catalogue_csv_with_a_title_row(spark):
+    from starlattice.operators.clean import clean_catalogue
+    from starlattice.operators.dims import category_lookup
+    path = scratch_path(spark, "catalogue-csv")
+    lines = ["Product Catalogue 2025,,,,,,",
+             "Product,Size,Pieces,Price,Box Price,Shelf Life,Category",
+             " Mango Pickle ,500g,10,12.5,125,12 months,",
+             "mango pickle,1kg,20,12.5,250,12 months, Sweet ",
+             "Lemon Pickle,500g,10,11,110,9 months,Sour"]
+    spark.createDataFrame([(ln,) for ln in lines], "value string").coalesce(1) \
+        .write.mode("overwrite").text(path)
+    first = F.col("_c0")
+    raw = readers.read_catalogue(
+        spark, path, fmt="csv", options={"header": "false"},
+        title_rows=lambda df: first.isin("Product Catalogue 2025", "Product"))
+    cat = clean_catalogue(raw)
+    got = {r.product_type: r.category for r in category_lookup(cat).collect()}
+    assert got == {"mango pickle": "sweet", "lemon pickle": "sour"}

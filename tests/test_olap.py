@@ -122,3 +122,12 @@ def test_bundle_sql_equals_dataframe_operators(star):
         assert via_sql["df"].columns == via_df["df"].columns, via_sql["id"]
         assert [tuple(r) for r in via_sql["df"].collect()] == \
             [tuple(r) for r in via_df["df"].collect()], via_sql["id"]
+
+
+def test_one_pass_summaries_equal_separate_ones(star):
+    from starlattice.plans.star import both_summaries
+    monthly, product = both_summaries(star)
+    for one, sep in ((monthly, star.summary_monthly), (product, star.summary_product)):
+        assert one.columns == sep.columns
+        assert sorted(map(tuple, one.collect()), key=str) == \
+            sorted(map(tuple, sep.collect()), key=str)

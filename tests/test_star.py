@@ -149,3 +149,15 @@ def test_primary_and_foreign_keys_hold(published):
     assert fk.orphan_rows == 0
     dup = published.fact.unionByName(published.fact.limit(1))
     assert Q.check_primary_key(dup, "sales_id", "x").collect()[0].duplicate_keys == 1
+
+
+def test_one_pass_summaries_with_unknown_month_and_null_size(spark):
+    from starlattice.plans.star import both_summaries
+    rows = [("2025-06-01", " June-ish ", "a", "500g", "1", "5", "1", "0.2"),
+            ("2025-06-01", "2025-06", "a", None, "2", "9", "3", ""),
+            ("2025-06-03", "2025-06", "b", "1kg", "4", "9", "3", "0.1")]
+    star = build_star(raw_master(spark, rows), None)
+    monthly, product = both_summaries(star)
+    assert sorted(map(tuple, monthly.collect())) == sorted(map(tuple, star.summary_monthly.collect()))
+    assert sorted(map(tuple, product.collect())) == sorted(map(tuple, star.summary_product.collect()))
+    assert {r.package_size for r in product.collect()} == {"500g", "1kg"}
