@@ -91,8 +91,13 @@ class Star:
 
 
 def build_star(master_raw: DataFrame, catalogue_raw: DataFrame | None,
-               spec: StarSpec = DEFAULT_SPEC) -> Star:
-    """Clean the sources and build dimensions and the (lazy) fact."""
+               spec: StarSpec = DEFAULT_SPEC, dim_month: DataFrame | None = None) -> Star:
+    """Clean the sources and build dimensions and the (lazy) fact.
+
+    ``dim_month`` replaces the month dimension derived from the dates with a
+    given table (month_id, month_name, month_key, quarter, year), e.g. a
+    fixed list of months; the master's month text is matched to month_key.
+    """
     master = clean_transactions(master_raw, spec)
     catalogue = clean_catalogue(catalogue_raw) if catalogue_raw is not None else None
     if catalogue is None:
@@ -107,9 +112,16 @@ def build_star(master_raw: DataFrame, catalogue_raw: DataFrame | None,
                          "dim_date")
     d_product = materialize(product_dim(master, catalogue, spec, pairs=pairs_of(members),
                                         rows=n_pairs), "dim_product")
-    d_month = materialize(month_dim(d_date, spec, date_rows=n_dates), "dim_month")
-    # months are at most the dates; the bound is all the broadcast check needs
-    rows = {"dim_date": n_dates, "dim_product": n_pairs, "dim_month": n_dates}
+    if dim_month is None:
+        d_month = materialize(month_dim(d_date, spec, date_rows=n_dates), "dim_month")
+        n_months = n_dates  # months are at most the dates: all the broadcast check needs
+    else:
+        d_month = materialize(dim_month.select(
+            F.col("month_id").cast("bigint"), "month_name", F.lower("month_key").alias("month_key"),
+            F.col("quarter").cast("bigint"), F.col("year").cast("bigint")), "dim_month")
+        with job_label(master.sparkSession, "count months"):
+            n_months = d_month.count()
+    rows = {"dim_date": n_dates, "dim_product": n_pairs, "dim_month": n_months}
     keyed = lookup_keys(master, d_date, d_product, d_month, rows, spec)
     star = Star(spec, master, catalogue, d_date, d_product, d_month, rows,
                 fact_rows(keyed, spec))

@@ -55,7 +55,10 @@ def write_star(star, root: str, partition_fact_by_month: bool = True) -> str:
 
 def current_build(spark: SparkSession, root: str) -> str:
     """The folder of the current build; fails when the star was never built."""
-    rows = spark.read.schema("build string").json(_pointer(root)).take(1)
+    try:
+        rows = spark.read.schema("build string").json(_pointer(root)).take(1)
+    except Exception as exc:  # a missing pointer folder: the star was never built
+        raise FileNotFoundError(f"no star built under {root}; run the build first") from exc
     if not rows:
         raise FileNotFoundError(f"no star built under {root}; run the build first")
     return rows[0].build

@@ -85,8 +85,7 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "qty", "price",
         to_money(F.col("rev4")).alias("revenue"),
         to_money(F.col("prof4")).alias("profit"),
-        (F.col("cost4") / F.lit(100)).cast("long").cast("decimal(18,0)")
-        .__truediv__(F.lit(100)).cast("decimal(18,2)").alias("cost"),
+        (F.col("qty") * F.col("price")).cast("decimal(18,2)").alias("cost"),
         half_away_quotient(F.col("prof4"), F.col("rev4"), 4).cast("decimal(18,0)").alias("margin_bp"),
         size_bucket(F.col("p_size")).alias("size"),
     )

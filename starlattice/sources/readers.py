@@ -59,14 +59,17 @@ def read_catalogue(spark: SparkSession, path: str, schema=None, fmt: str = "parq
 
 
 def read_monthly(spark: SparkSession, paths: Sequence[str], schema=None,
-                 fmt: str = "parquet", options: dict | None = None) -> DataFrame:
+                 fmt: str = "parquet", options: dict | None = None,
+                 title_rows: Callable | None = None) -> DataFrame:
     """All monthly sheets in one multi-path scan (S3 + U1).
 
     ``sheet`` is the name of the folder holding each file (a ``key=value``
     folder gives the value), taken from the scan's file metadata.
+    ``title_rows`` drops leading title/header lines of text sources.
     """
     df = _reader(spark, fmt, schema, options).load(list(paths))
-    return df.select("*", path_leaf_dir(F.col("_metadata.file_path")).alias("sheet"))
+    df = df.select("*", path_leaf_dir(F.col("_metadata.file_path")).alias("sheet"))
+    return df.where(~title_rows(df)) if title_rows is not None else df
 
 
 def first_existing(spark: SparkSession, paths: Sequence[str],

@@ -161,3 +161,16 @@ def test_one_pass_summaries_with_unknown_month_and_null_size(spark):
     assert sorted(map(tuple, monthly.collect())) == sorted(map(tuple, star.summary_monthly.collect()))
     assert sorted(map(tuple, product.collect())) == sorted(map(tuple, star.summary_product.collect()))
     assert {r.package_size for r in product.collect()} == {"500g", "1kg"}
+
+
+def test_fixed_month_dimension_as_in_the_reference(spark):
+    from starlattice.operators.dims import month_dim_from_rows
+    months = month_dim_from_rows(spark, [(1, "June", "june", 2, 2025), (2, "July", "july", 3, 2025),
+                                         (3, "August", "august", 3, 2025)])
+    rows = [("2025-06-01", " June ", "a", "500g", "1", "5", "1", "0.2"),
+            ("2025-07-01", "JULY", "a", "500g", "1", "7", "2", "0.3"),
+            ("2025-09-01", "september", "a", "500g", "1", "9", "3", "0.3")]
+    star = build_star(raw_master(spark, rows), None, dim_month=months)
+    got = {r.month_name: r.revenue for r in A.revenue_by_month(star).collect()}
+    assert got == {"June": 5.0, "July": 7.0}
+    assert A.kpis(star).collect()[0].total_transactions == 3
