@@ -54,6 +54,9 @@ def sequential_ids(df: DataFrame, order: Sequence[Column], id_col: str, start: i
     if keep is not None:
         keep["rows"] = pinned.select(*df.columns)
     counts = pinned.groupBy(_PART).agg(F.count(F.lit(1)).alias(_N))
+    if keep is not None:
+        keep["partition_rows"] = counts.select(F.col(_PART).alias("partition"),
+                                               F.col(_N).alias("rows"))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(
         counts.select(_PART, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF)),

@@ -131,3 +131,27 @@ def test_one_pass_summaries_equal_separate_ones(star):
         assert one.columns == sep.columns
         assert sorted(map(tuple, one.collect()), key=str) == \
             sorted(map(tuple, sep.collect()), key=str)
+
+
+def test_a_third_of_rows_as_exact_copies_still_spread(spark):
+    """One group of identical sales holds a third of all rows: the lineage
+    tie-breaker (file, row position) splits it across numbering partitions."""
+    from starlattice.session import scratch_path
+    from starlattice.sources.readers import read_transactions
+    copies = spark.range(0, 20000).select(F.lit(1).alias("date_id"), F.lit(7).alias("product_id"),
+                                          F.lit(5).alias("revenue"))
+    others = spark.range(0, 40000).select((F.col("id") % 900 + 2).alias("date_id"),
+                                          (F.col("id") % 13).alias("product_id"),
+                                          (F.col("id") % 101).alias("revenue"))
+    path = scratch_path(spark, "hot-copies")
+    copies.unionByName(others).repartition(6).write.parquet(path)
+    df = read_transactions(spark, path)
+    keep: dict = {}
+    order = [F.col("date_id"), F.col("product_id"), F.col("revenue"), F.col("_src")]
+    out = sequential_ids(df, order, "rid", partitions=8, keep=keep)
+    ids = sorted(r.rid for r in out.select("rid").collect())
+    assert ids == list(range(1, 60001))
+    sizes = [r.rows for r in keep["partition_rows"].collect()]
+    assert sum(sizes) == 60000 and max(sizes) < 60000 * 0.25, sizes
+    first = out.where(F.col("rid") <= 20000).agg(F.max("date_id")).first()[0]
+    assert first == 1  # the copies (date 1) are numbered first, in one block
