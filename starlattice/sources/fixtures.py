@@ -101,11 +101,11 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     margin = (F.col("margin_bp").cast("decimal(18,0)")
               * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(12,4)")
     h = RAW_MASTER_HEADERS
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
     return s.select(
-        F.when(_every(13), F.lit(None).cast("string"))
-         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias(h[0]),
+        F.when(_every(13), F.lit(None).cast("string")).otherwise(day).alias(h[0]),
         F.when(_every(19), F.lit(" Unknown "))
-         .otherwise(F.concat(F.lit(" "), F.date_format("o_orderdate", "yyyy-MM"), F.lit("  "))).alias(h[1]),
+         .otherwise(F.concat(F.lit(" "), F.substring(day, 1, 7), F.lit("  "))).alias(h[1]),
         F.concat(F.lit("  "), F.upper("p_name"), F.lit("\t")).alias(h[2]),
         F.when(_every(17), F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit(" "), F.upper("size"), F.lit(" "))).alias(h[3]),
