@@ -515,6 +515,15 @@ def _fk(child: str, col: str, parent: str, key: str) -> str:
             f"(SELECT 1 FROM {parent} p WHERE p.{key} = c.{col})))")
 
 
+MONEY_COLUMNS = ["quantity", "revenue", "profit", "profit_margin"]
+
+
+def _edge(body: str) -> str:
+    """Decimal money columns as doubles, as the Spark queries return them."""
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in MONEY_COLUMNS)
+    return f"SELECT * REPLACE ({casts}) FROM ({body})"
+
+
 def oracle_sql() -> dict[str, str]:
     from .bundle import CUBE_DIMENSION_LABELS, CUBE_MEASURE_NAMES, QUERY_TEXTS
     q = dict(QUERIES)
@@ -565,4 +574,6 @@ def oracle_sql() -> dict[str, str]:
         _fk("summary_monthly", "month_id", "dim_month", "month_id"),
         _fk("summary_product", "product_id", "dim_product", "product_id")])
         + ") t(child_table, column_name, parent_table, orphan_rows)")
+    for name in ("fact_sales", "star_build", "scan_star", "star_join", "clean_transactions"):
+        q[name] = _edge(q[name])
     return {name: _q(body) for name, body in q.items()}

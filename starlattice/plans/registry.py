@@ -44,6 +44,15 @@ CALENDAR_MONTHS = ["January", "February", "March", "April", "May", "June", "July
 _STARS: dict = {}
 
 
+def at_edge(df: DataFrame) -> DataFrame:
+    """Decimal columns as doubles: the stored tables keep exact decimals,
+    query results hand plain doubles to their consumers."""
+    from pyspark.sql.types import DecimalType
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def star_for(spark: SparkSession, sf_dir: str) -> Star:
     """The fixture star of ``sf_dir``, built and numbered once per application."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
@@ -131,7 +140,7 @@ def drop_missing_q(spark, sf_dir):
 
 
 def clean_transactions_q(spark, sf_dir):
-    return star_for(spark, sf_dir).master.drop("_src")
+    return at_edge(star_for(spark, sf_dir).master.drop("_src"))
 
 
 def clean_catalogue_q(spark, sf_dir):
@@ -144,7 +153,7 @@ def scan_star(spark, sf_dir):
     root = scratch_path(spark, "warehouse")
     writers.write_star(star, root)
     back = star_from_tables(readers.read_star(spark, root), star.spec)
-    return O.denormalize(back, back.fact).drop("month_key")
+    return at_edge(O.denormalize(back, back.fact).drop("month_key"))
 
 
 def star_roundtrip(spark, sf_dir):
@@ -160,7 +169,7 @@ def star_roundtrip(spark, sf_dir):
 
 
 def star_build(spark, sf_dir):
-    return star_for(spark, sf_dir).fact
+    return at_edge(star_for(spark, sf_dir).fact)
 
 
 def _export_back(table: str):
@@ -306,7 +315,7 @@ def olap_pivot(star):
 
 
 def star_join(star):
-    return O.denormalize(star).drop("month_key")
+    return at_edge(O.denormalize(star).drop("month_key"))
 
 
 def cube_metadata_q(star):
@@ -420,7 +429,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_date": s(lambda st: st.dim_date),
         "dim_product": s(lambda st: st.dim_product),
         "dim_month": s(lambda st: st.dim_month),
-        "fact_sales": s(lambda st: st.fact),
+        "fact_sales": s(lambda st: at_edge(st.fact)),
         "preview": s(lambda st: A.preview(A.products_by_revenue(st), 4)),
         "top_products_6": s(A.top_products),
         "union_monthly": union_monthly,
