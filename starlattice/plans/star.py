@@ -1,11 +1,13 @@
 """The star schema as lazy DataFrames plus the build composition.
 
-Dimensions are written once (they are numbered) and their exact row
-counts decide whether joins broadcast them. The fact is kept in two
-forms: ``facts`` - the lazy lookup of the cleaned master, without
-``sales_id``, which every aggregate query reads so that Catalyst prunes
-and pipelines freely - and ``fact`` - numbered with ``sales_id`` and
-written once, built only when a query needs the key.
+The master is scanned once for the members of both dimensions; the
+dimensions are numbered and written once, and their exact member counts
+decide whether joins broadcast them. The fact exists in two forms:
+``facts`` - the lazy lookup of the cleaned master, without ``sales_id`` -
+and ``fact`` - numbered with ``sales_id``, written once on first use.
+``measures`` is what aggregates read: the written fact rows once the
+fact has been numbered (no recomputation, no offsets join), else the
+lazy lookup, so a query that never needs the key never pays for it.
 """
 
 from __future__ import annotations
