@@ -5,8 +5,8 @@ The cube computes every grouping set of the joined fact in one scan:
 ``groupingSets`` plans an ``Expand`` feeding one partial aggregate, one
 shuffle and one final aggregate, instead of one scan per set. Rolled-up
 members are labelled with ``grouping()``, so a real NULL member keeps
-its NULL. The grand total is taken from the fact alone (no join), so
-facts whose keys did not resolve still count in it.
+its NULL. The grand total counts every fact, resolved keys or not, and
+is one more grouping set of the same pass, not a second scan.
 """
 
 from __future__ import annotations
@@ -133,39 +133,81 @@ def grand_total(fact: DataFrame, dims: Sequence[str], measures: Sequence[Measure
                         *[m.final for m in measures]))
 
 
-def cube(joined: DataFrame, fact: DataFrame, dims: Sequence[str] = CUBE_DIMENSIONS,
+def _empty_final(measure: Measure) -> Column:
+    """A measure's value over no rows: sums NULL, counts 0."""
+    return measure.final_over(
+        lambda k: F.lit(0).cast("bigint") if k.endswith("__n")
+        else F.lit(None).cast("decimal(38,10)"))
+
+
+def cube(df: DataFrame, dims: Sequence[str] = CUBE_DIMENSIONS,
          measures: Sequence[Measure] | None = None, all_label: str = ALL_LABEL,
-         slice_names: dict | None = None) -> DataFrame:
-    """All 2^k grouping sets in one pass, labelled, plus the unjoined grand total.
+         slice_names: dict | None = None, matched: Column | None = None,
+         rows_of: DataFrame | None = None) -> DataFrame:
+    """Every grouping set of ``dims`` and the grand total from ONE scan, labelled.
+
+    ``df`` is the fact joined (left) to its dimensions; ``matched`` is true
+    for rows whose keys all resolved (default: every row). The grouping
+    sets with at least one dimension cover matched rows only, as inner
+    joins would; the grand total covers every row (an unresolved key still
+    counts). All sets, the grand total included, come from one ``Expand``,
+    one partial aggregate and one shuffle.
+
+    On empty input an aggregate has no groups, but the grand total must
+    still be one row (sums NULL, count 0): a guard row is added when
+    ``rows_of`` (default ``df``) has no rows - a count that reads no column.
 
     Columns: ``slice`` (the set's name), ``grouping_id`` (bit i set when
     dims[i] is rolled up, first dimension most significant), the dims with
-    'All' where rolled up, then the measures.
+    'All' where rolled up (a real NULL member stays NULL), the measures.
     """
     dims = list(dims)
     measures = list(measures or cube_measures())
     names = SLICE_NAMES if slice_names is None and dims == CUBE_DIMENSIONS else slice_names
-    sets = [list(c) for k in range(len(dims), 0, -1) for c in combinations(dims, k)]
-    partials = [p for m in measures for p in m.partials]
-    agg = joined.groupingSets(sets, *dims).agg(
-        *partials, F.grouping_id().alias("grouping_id"),
+    flag = "__matched"
+    src = df.withColumn(flag, matched if matched is not None else F.lit(True))
+    sets = [list(c) + [flag] for k in range(len(dims), 0, -1) for c in combinations(dims, k)]
+    agg = src.groupingSets(sets + [[]], *dims, flag).agg(
+        *[p for m in measures for p in m.partials],
         *[F.grouping(d).alias(f"__rolled_{d}") for d in dims])
-    slice_col = F.lit(None).cast("string")
+    gid = sum((F.col(f"__rolled_{d}") * F.lit(1 << (len(dims) - 1 - i))
+               for i, d in enumerate(dims)), F.lit(0))
+    full = (1 << len(dims)) - 1
+    slice_col = F.lit(_slice_name(tuple(dims), dims, names))
     for k in range(len(dims)):
         for rolled in combinations(dims, k):
-            gid = sum(1 << (len(dims) - 1 - dims.index(d)) for d in rolled)
-            slice_col = F.when(F.col("grouping_id") == gid,
+            code = sum(1 << (len(dims) - 1 - dims.index(d)) for d in rolled)
+            slice_col = F.when(gid == code,
                                F.lit(_slice_name(rolled, dims, names))).otherwise(slice_col)
-    labelled = agg.select(
-        slice_col.alias("slice"), F.col("grouping_id").cast("bigint").alias("grouping_id"),
+    labelled = agg.where(F.coalesce(F.col(flag), F.lit(False)) | (gid == full)).select(
+        slice_col.alias("slice"), gid.cast("bigint").alias("grouping_id"),
         *[F.when(F.col(f"__rolled_{d}") == 1, F.lit(all_label)).otherwise(F.col(d)).alias(d)
           for d in dims],
         *[m.final for m in measures])
-    top = grand_total(fact, dims, measures, all_label).select(
+    empty = (rows_of if rows_of is not None else df).agg(F.count(F.lit(1)).alias("__rows"))
+    guard = empty.where(F.col("__rows") == 0).select(
         F.lit(_slice_name(tuple(dims), dims, names)).alias("slice"),
-        F.lit((1 << len(dims)) - 1).cast("bigint").alias("grouping_id"),
-        *dims, *[m.name for m in measures])
-    return labelled.unionByName(top)
+        F.lit(full).cast("bigint").alias("grouping_id"),
+        *[F.lit(all_label).alias(d) for d in dims],
+        *[_empty_final(m) for m in measures])
+    return labelled.unionByName(guard)
+
+
+def star_cube(star, measures: Sequence[Measure] | None = None) -> DataFrame:
+    """The month x product x size cube of a star.
+
+    Dimensions are left-joined (map-side) so that unresolved facts reach
+    the grand total; the other slices keep the facts whose month and
+    product both resolved, as the reference's inner joins do.
+    """
+    months = star.dim("dim_month").select("month_id", "month_name", F.lit(True).alias("__m"))
+    products = star.dim("dim_product").select("product_id", "product_name", "package_size",
+                                              F.lit(True).alias("__p"))
+    joined = (star.measures.join(months, "month_id", "left")
+              .join(products, "product_id", "left"))
+    matched = F.coalesce(F.col("__m"), F.lit(False)) & F.coalesce(F.col("__p"), F.lit(False))
+    return cube(joined, CUBE_DIMENSIONS, measures or cube_measures(star.spec), matched=matched,
+                rows_of=star.measures)
 
 
 def cube_slice(joined: DataFrame, fact: DataFrame, keep: Sequence[str],

@@ -83,7 +83,7 @@ def _cube_slice(keep):
 
 
 def _cube(star: Star) -> DataFrame:
-    return O.cube(_cube_join(star), star.measures, measures=cube_measures(star.spec))
+    return O.star_cube(star, cube_measures(star.spec))
 
 
 # --- sources --------------------------------------------------------------

@@ -55,7 +55,7 @@ def test_generic_cube_on_events(spark):
         (F.col("value") / F.lit(100)).cast("decimal(18,4)").alias("ratio"))
     measures = [row_count("events"), money_sum("value", "total_value", 2),
                 mean_ratio("ratio", "mean_ratio_pct", 2, True)]
-    cube = O.cube(ev, ev, ["event_type", "day"], measures)
+    cube = O.cube(ev, ["event_type", "day"], measures)
     n = ev.count()
     sums = {r.slice: r.e for r in cube.groupBy("slice").agg(F.sum("events").alias("e")).collect()}
     assert set(sums) == {"full_cube", "rollup_event_type", "rollup_day", "grand_total"}

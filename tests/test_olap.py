@@ -54,7 +54,7 @@ def _joined(star):
 
 
 def test_cube_sets_sum_to_the_joined_total(star):
-    cube = O.cube(_joined(star), star.measures)
+    cube = O.star_cube(star)
     joined_total = _joined(star).agg(F.count(F.lit(1)).alias("n")).collect()[0].n
     per_set = {r.slice: r.n for r in cube.groupBy("slice").agg(
         F.sum("total_transactions").alias("n")).collect()}
@@ -66,7 +66,7 @@ def test_cube_sets_sum_to_the_joined_total(star):
 
 
 def test_cube_equals_separate_slices(star):
-    cube = O.cube(_joined(star), star.measures)
+    cube = O.star_cube(star)
     one = cube.where(F.col("slice") == "rollup_month_size").drop("slice", "grouping_id")
     sep = O.cube_slice(_joined(star), star.measures, ["month_name", "package_size"])
     assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, sep.collect()), key=str)
