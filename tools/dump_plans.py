@@ -60,9 +60,36 @@ def main() -> None:
         text = re.sub(r"file:[^\]\s,]*/starlattice/", "<ckpt>/starlattice/", text)
         text = re.sub(r"-[0-9a-f]{32}", "-<id>", text)
         out += [f"## {title}", "", "```", text.strip(), "```", ""]
+    out += shape_table(spark, sf_dir)
     with open(os.path.join(ROOT, "PLANS.md"), "w") as fh:
         fh.write("\n".join(out))
 
 
+def shape_table(spark, sf_dir: str) -> list[str]:
+    """One row per registered query: what its physical plan is made of."""
+    from starlattice.plans.registry import queries
+    rows = ["## Shape of every registered query", "",
+            "Counted in the initial physical plan (AQE may still turn a shuffle join into a "
+            "broadcast at run time). `shuffles` excludes broadcasts; `scans` counts Parquet "
+            "scans of any table (dimensions included).", "",
+            "| query | scans | shuffles | broadcasts | Expand | TakeOrdered | Window | "
+            "SortMergeJoin |",
+            "|---|---|---|---|---|---|---|---|"]
+    for name, fn in sorted(queries().items()):
+        try:
+            tree = explain_text(fn(spark, sf_dir)).split("\n\n")[0]
+        except Exception as exc:  # noqa: BLE001
+            rows.append(f"| {name} | error: {str(exc)[:60]} | | | | | | |")
+            continue
+        lines = tree.splitlines()
+        count = lambda key: sum(1 for ln in lines if key in ln)
+        shuffles = sum(1 for ln in lines if "Exchange" in ln and "BroadcastExchange" not in ln
+                       and "ReusedExchange" not in ln)
+        rows.append(f"| {name} | {count('Scan ')} | {shuffles} | {count('BroadcastExchange')} | "
+                    f"{count('Expand')} | {count('TakeOrderedAndProject')} | "
+                    f"{count('Window')} | {count('SortMergeJoin')} |")
+    return rows + [""]
+
+
 if __name__ == "__main__":
     main()
