@@ -57,8 +57,14 @@ def main():
                               "__spark_entry__.py"))
     entry = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(entry)
-    from starlattice.session import get_session
-    spark = get_session("local[8]", shuffle_partitions=8)
+    from pyspark.sql import SparkSession
+    builder = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false") \
+        .config("spark.sql.shuffle.partitions", "8")
+    # a plain session, as a caller would build it; CHECK_CONF="k=v,k=v" adds settings
+    for item in filter(None, os.environ.get("CHECK_CONF", "").split(",")):
+        k, v = item.split("=", 1)
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
