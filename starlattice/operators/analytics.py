@@ -18,14 +18,6 @@ from ..functions.measures import (aggregate, int_sum, mean_ratio, money_sum, row
                                   share_pct)
 
 
-def _joined(star, *dims: str, fact: DataFrame | None = None) -> DataFrame:
-    keys = {"dim_date": "date_id", "dim_product": "product_id", "dim_month": "month_id"}
-    out = star.measures if fact is None else fact
-    for d in dims:
-        out = out.join(star.dim(d), keys[d])
-    return out
-
-
 def _date(star):
     return star.dim("dim_date").select("date_id", "full_date",
                                        F.col("month_name").alias("date_month_name"))
@@ -215,20 +207,28 @@ def revenue_share(star, places: int = 2) -> DataFrame:
 def best_members(star) -> DataFrame:
     """Best month by revenue and by margin, best product by revenue and profit.
 
-    Each is a top-1 with the member name as tie-breaker.
+    One aggregate per dimension carries both of its metrics; each metric is
+    a top-1 over it (ties: the smaller member name), and the two top-1s of a
+    dimension share that aggregate's shuffle.
     """
     def top(df: DataFrame, metric: str, member: str, value: str) -> DataFrame:
         return (df.orderBy(F.desc_nulls_last(value), F.asc(member)).limit(1)
                   .select(F.lit(metric).alias("metric"), F.col(member).alias("member"),
                           F.col(value).cast("double").alias("value")))
-    month = revenue_by_month(star)
-    margin = margin_by_month(star)
-    product = products_by_revenue(star)
-    profit = profit_share(star)
-    return (top(month, "best_month_by_revenue", "month_name", "revenue")
-            .unionByName(top(margin, "best_month_by_margin", "month_name", "avg_margin_pct"))
-            .unionByName(top(product, "top_product_by_revenue", "product_name", "total_rev"))
-            .unionByName(top(profit, "top_product_by_profit", "product_name", "total_profit")))
+    places = _places(star)
+    months = aggregate(star.measures.join(_month(star), "month_id").groupBy("month_name"),
+                       [F.col("month_name")],
+                       [money_sum("revenue", "revenue", places),
+                        mean_ratio("profit_margin", "avg_margin_pct", 2, True,
+                                   star.spec.ratio_places)])
+    products = aggregate(star.measures.join(_product(star), "product_id").groupBy("product_name"),
+                         [F.col("product_name")],
+                         [money_sum("revenue", "total_rev", places),
+                          money_sum("profit", "total_profit", places)])
+    return (top(months, "best_month_by_revenue", "month_name", "revenue")
+            .unionByName(top(months, "best_month_by_margin", "month_name", "avg_margin_pct"))
+            .unionByName(top(products, "top_product_by_revenue", "product_name", "total_rev"))
+            .unionByName(top(products, "top_product_by_profit", "product_name", "total_profit")))
 
 
 def preview(df: DataFrame, n: int = 4) -> DataFrame:

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import money_sum, row_count
+from ..functions.measures import money_sum
 
 
 def check_primary_key(df: DataFrame, key: str, table: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import calendar_columns, date_text
 from ..functions.display import currency_text, percent_text
-from ..functions.measures import cube_measures, mean_ratio, money_sum, row_count
+from ..functions.measures import cube_measures, mean_ratio, money_sum
 from ..functions.numbers import lenient_number
 from ..functions.text import clean_text, strip_ws
 from ..operators import analytics as A

@@ -59,6 +59,7 @@ def main():
     spec.loader.exec_module(entry)
     from pyspark.sql import SparkSession
     builder = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false") \
+        .config("spark.ui.showConsoleProgress", "false") \
         .config("spark.sql.shuffle.partitions", "8")
     # a plain session, as a caller would build it; CHECK_CONF="k=v,k=v" adds settings
     for item in filter(None, os.environ.get("CHECK_CONF", "").split(",")):
