@@ -44,6 +44,7 @@ class Star:
     _fact_rows: DataFrame | None = field(default=None, repr=False)
     raw_path: str | None = None
     id_partitions: int | None = None
+    stored: dict = field(default_factory=dict, repr=False)
 
     @property
     def spark(self) -> SparkSession:
@@ -80,10 +81,16 @@ class Star:
 
     @property
     def summary_monthly(self) -> DataFrame:
+        """The stored summary when the star was opened from disk, else computed."""
+        if "summary_monthly" in self.stored:
+            return self.stored["summary_monthly"]
         return summary_monthly(self)
 
     @property
     def summary_product(self) -> DataFrame:
+        """The stored summary when the star was opened from disk, else computed."""
+        if "summary_product" in self.stored:
+            return self.stored["summary_product"]
         return summary_product(self)
 
     def table(self, name: str) -> DataFrame:
@@ -153,6 +160,7 @@ def star_from_tables(tables: dict, spec: StarSpec = DEFAULT_SPEC) -> Star:
     star = Star(spec, fact, None, tables["dim_date"], tables["dim_product"],
                 tables["dim_month"], rows, fact.drop("sales_id"))
     star._fact = fact
+    star.stored = {k: tables[k] for k in ("summary_monthly", "summary_product") if k in tables}
     return star
 
 

@@ -80,3 +80,16 @@ def test_catalogue_csv_with_a_title_row(spark):
     cat = clean_catalogue(raw)
     got = {r.product_type: r.category for r in category_lookup(cat).collect()}
     assert got == {"mango pickle": "sweet", "lemon pickle": "sour"}
+
+
+def test_reconcile_reads_the_stored_summaries(spark):
+    from starlattice.operators import checks as Q
+    star = star_for(spark, SMALL)
+    root = scratch_path(spark, "wh-reconcile")
+    writers.write_star(star, root)
+    back = star_from_tables(readers.read_star(spark, root), star.spec)
+    assert "summary_monthly" in back.stored
+    rows = {r.source: r for r in Q.reconcile(back).collect()}
+    assert rows["summary_monthly"].revenue == rows["fact_with_month"].revenue
+    assert rows["summary_monthly"].transactions == rows["fact_with_month"].transactions
+    assert rows["fact"].transactions >= rows["summary_product"].transactions
