@@ -17,34 +17,47 @@ from ..spec import DEFAULT_SPEC, StarSpec
 from .numbering import sequential_ids
 
 
+# grouping ids of the three member sets (bit set = column rolled up, over
+# date, product_type, unit_size, __year, __month, first most significant)
+DATE_SET, PAIR_SET, MONTH_SET = 0b01111, 0b10011, 0b11100
+
+
 def dimension_members(master: DataFrame) -> DataFrame:
-    """Distinct dates and distinct (product, size) pairs from ONE pass.
+    """Distinct dates, (product, size) pairs and (year, month)s from ONE pass.
 
-    A two-set ``groupingSets`` aggregate: every task reduces its rows to
+    A three-set ``groupingSets`` aggregate: every task reduces its rows to
     members before the (small) shuffle, so a hot member costs nothing, and
-    the master is scanned once for both dimensions. ``__set`` tells the
-    sets apart: 3 for dates, 4 for (product, size) pairs.
+    the master is scanned once for all dimensions. ``__set`` tells the sets
+    apart (``DATE_SET``, ``PAIR_SET``, ``MONTH_SET``).
     """
-    return (master.groupingSets([["date"], ["product_type", "unit_size"]],
-                                "date", "product_type", "unit_size")
-                  .agg(F.grouping_id().alias("__set"), F.count(F.lit(1)).alias("__rows")))
+    dated = master.select("date", "product_type", "unit_size",
+                          F.year("date").cast("bigint").alias("__year"),
+                          F.month("date").cast("bigint").alias("__month"))
+    return (dated.groupingSets([["date"], ["product_type", "unit_size"], ["__year", "__month"]],
+                               "date", "product_type", "unit_size", "__year", "__month")
+                 .agg(F.grouping_id().alias("__set"), F.count(F.lit(1)).alias("__rows")))
 
 
 def member_counts(members: DataFrame) -> dict[int, int]:
-    """Number of members per set (two small numbers)."""
+    """Number of members per set (three small numbers)."""
     return {r["__set"]: r["n"] for r in
             members.groupBy("__set").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
 def dates_of(members: DataFrame) -> DataFrame:
-    return members.where(F.col("__set") == 3).select(F.col("date").alias("full_date"))
+    return members.where(F.col("__set") == DATE_SET).select(F.col("date").alias("full_date"))
 
 
 def pairs_of(members: DataFrame) -> DataFrame:
-    return members.where(F.col("__set") == 4).select(
+    return members.where(F.col("__set") == PAIR_SET).select(
         F.col("product_type").alias("product_name"), F.col("unit_size").alias("package_size"))
 
 
+def months_of(members: DataFrame) -> DataFrame:
+    return (members.where((F.col("__set") == MONTH_SET) & F.col("__year").isNotNull())
+                   .select(F.col("__year").alias("year"), F.col("__month").alias("month_num")))
+
+
 def date_dim(master: DataFrame, spec: StarSpec = DEFAULT_SPEC,
              dates: DataFrame | None = None, rows: int | None = None) -> DataFrame:
     """Distinct dates -> date_id 1..n in date order plus calendar attributes."""
@@ -82,14 +95,15 @@ def product_dim(master: DataFrame, catalogue: DataFrame,
 
 
 def month_dim(dim_date: DataFrame, spec: StarSpec = DEFAULT_SPEC,
-              date_rows: int | None = None) -> DataFrame:
+              date_rows: int | None = None, months: DataFrame | None = None) -> DataFrame:
     """Months present in the date dimension, ids in (year, month) order.
 
     month_name is the month formatted with ``spec.month_key_format``
     ('yyyy-MM' keeps several years apart); month_key is its lower-case
     form, the value the master's month text is matched against.
     """
-    months = dim_date.select("year", "month_num").distinct()
+    if months is None:
+        months = dim_date.select("year", "month_num").distinct()
     numbered = sequential_ids(months, [F.col("year").asc(), F.col("month_num").asc()],
                               "month_id", partitions=spec.id_partitions, name="dim_month",
                               known_rows=date_rows)

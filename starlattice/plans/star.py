@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import aggregate, mean_ratio, money_sum, row_count
 from ..operators.clean import clean_catalogue, clean_transactions
-from ..operators.dims import (date_dim, dates_of, dimension_members, member_counts, month_dim,
-                              pairs_of, product_dim)
+from ..operators.dims import (DATE_SET, MONTH_SET, PAIR_SET, date_dim, dates_of,
+                              dimension_members, member_counts, month_dim, months_of, pairs_of,
+                              product_dim)
 from ..operators.fact import fact_rows, lookup_keys, number_facts
 from ..operators.joins import dim_side
 from ..session import job_label, materialize
@@ -115,15 +116,16 @@ def build_star(master_raw: DataFrame, catalogue_raw: DataFrame | None,
     members = materialize(dimension_members(master), "members")
     with job_label(master.sparkSession, "count members"):
         counts = member_counts(members)
-    n_dates, n_pairs = counts.get(3, 0), counts.get(4, 0)
+    n_dates, n_pairs = counts.get(DATE_SET, 0), counts.get(PAIR_SET, 0)
     # each dimension is written once, so queries read small files, not the plan
     d_date = materialize(date_dim(master, spec, dates=dates_of(members), rows=n_dates),
                          "dim_date")
     d_product = materialize(product_dim(master, catalogue, spec, pairs=pairs_of(members),
                                         rows=n_pairs), "dim_product")
     if dim_month is None:
-        d_month = materialize(month_dim(d_date, spec, date_rows=n_dates), "dim_month")
-        n_months = n_dates  # months are at most the dates: all the broadcast check needs
+        n_months = counts.get(MONTH_SET, 0)
+        d_month = materialize(month_dim(d_date, spec, date_rows=n_months,
+                                        months=months_of(members)), "dim_month")
     else:
         d_month = materialize(dim_month.select(
             F.col("month_id").cast("bigint"), "month_name", F.lower("month_key").alias("month_key"),
