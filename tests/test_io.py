@@ -93,3 +93,22 @@ def test_reconcile_reads_the_stored_summaries(spark):
     assert rows["summary_monthly"].revenue == rows["fact_with_month"].revenue
     assert rows["summary_monthly"].transactions == rows["fact_with_month"].transactions
     assert rows["fact"].transactions >= rows["summary_product"].transactions
+
+
+def test_readme_path_with_generic_readers(spark):
+    """The README's use: generic readers over files, build, cube, write."""
+    from starlattice.operators import analytics as A
+    from starlattice.plans.star import build_star
+    from starlattice.sources import fixtures
+    master_path = fixtures.stage_transactions(spark, SMALL)
+    cat_path = scratch_path(spark, "catalogue")
+    fixtures.raw_catalogue(spark, SMALL).drop("_row").write.parquet(cat_path)
+    star = build_star(readers.read_transactions(spark, master_path),
+                      readers.read_catalogue(spark, cat_path))
+    registry_star = star_for(spark, SMALL)
+    assert star.rows == registry_star.rows
+    assert O.star_cube(star).count() == O.star_cube(registry_star).count()
+    assert sorted(map(tuple, A.profit_share(star).collect())) == \
+        sorted(map(tuple, A.profit_share(registry_star).collect()))
+    root = scratch_path(spark, "wh-readme")
+    assert writers.write_star(star, root) == writers.current_build(spark, root)
