@@ -14,10 +14,10 @@ FROM t JOIN g USING (norm)
 
 DECONTAMINATION = rf"""
 WITH words AS (
-    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_NORM}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_NORM}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 items AS (
     SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
-           regexp_extract_all({_NORM}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+           regexp_extract_all({_NORM}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 windows AS (
     SELECT DISTINCT item, least(13, len(w)) AS k, array_to_string(w[i + 1 : i + 13], ' ') AS x
     FROM (SELECT item, w, unnest(range(greatest(1, len(w) - 12))) AS i FROM items WHERE len(w) > 0)),
