@@ -32,7 +32,7 @@ from starlattice.llm.common import materialize, text_or_empty
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 2_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
