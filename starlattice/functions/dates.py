@@ -13,15 +13,15 @@ def _col(c) -> Column:
 
 
 def strict_date(c, fmt: str | None = None) -> Column:
-    """Text -> date; malformed text raises (ANSI), like ``pd.to_datetime``."""
-    c = strip_ws(_col(c).cast("string"))
+    """Text -> date; blank text is NULL, other malformed text raises (ANSI), like ``pd.to_datetime``."""
+    c = F.nullif(strip_ws(_col(c).cast("string")), F.lit(""))
     return F.to_date(c, fmt) if fmt else F.to_date(c)
 
 
 def lenient_date(c, fmt: str | None = None) -> Column:
     """Text -> date; malformed text gives NULL (``errors='coerce'``)."""
     c = strip_ws(_col(c).cast("string"))
-    return F.try_to_date(c, F.lit(fmt)) if fmt else F.try_to_date(c)
+    return F.try_to_date(c, fmt) if fmt else F.try_to_date(c)
 
 
 def calendar_columns(d) -> dict[str, Column]:

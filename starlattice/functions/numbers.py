@@ -18,8 +18,26 @@ def _col(c) -> Column:
 
 
 def lenient_number(c, parse_type: str = "decimal(38,10)") -> Column:
-    """Text -> decimal, NULL for anything that is not a number ('x', '1,200', '')."""
-    return _col(c).try_cast(parse_type)
+    """Text -> decimal, NULL for anything that is not a number ('x', '1,200', '').
+
+    A finite number too large for ``parse_type`` raises: as a NULL it would be
+    taken for missing and its row dropped without a trace.
+    """
+    value = _col(c).try_cast(parse_type)
+    wide = _col(c).try_cast("double")
+    written = _col(c).cast("string").rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$")
+    finite = wide.isNotNull() & written & (F.abs(wide) < F.lit(float("inf")))
+    return (F.when(value.isNotNull(), value)
+            .when(finite, F.raise_error(F.concat(F.lit(f"number does not fit {parse_type}: "), _col(c).cast("string")))
+                  .cast(parse_type)))
+
+
+def exact_cast(c, to: str) -> Column:
+    """Cast a decimal; raise where digits would be lost."""
+    c = _col(c)
+    out = c.try_cast(to)
+    return (F.when(c.isNull() | (out == c), out)
+            .otherwise(F.raise_error(F.concat(F.lit(f"digits lost in {to}: "), c.cast("string"))).cast(to)))
 
 
 def round_to(c, places: int, rounding: str = "half_up") -> Column:

@@ -31,11 +31,18 @@ def normalize_name(name: str) -> str:
 
 def source_tag(sheet, suffix: str) -> Column:
     """Sheet name -> tag: drop the suffix, '_' -> blank, title case."""
-    return F.initcap(F.replace(F.replace(_col(sheet), F.lit(suffix), F.lit("")),
-                               F.lit("_"), F.lit(" ")))
+    return title_case(F.replace(F.replace(_col(sheet), F.lit(suffix), F.lit("")),
+                                F.lit("_"), F.lit(" ")))
+
+
+def title_case(c) -> Column:
+    """Every run of letters capitalised, as ``str.title`` does ('june-b' -> 'June-B')."""
+    runs = F.regexp_extract_all(_col(c), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(0))
+    return F.array_join(F.transform(runs, lambda r: F.initcap(r)), "")
 
 
 def path_leaf_dir(path_col) -> Column:
-    """Name of the folder that holds a file; a ``key=value`` folder gives value."""
+    """Name of the folder that holds a file, %-escapes decoded; a ``key=value`` folder gives value."""
     parent = F.regexp_extract(_col(path_col), r"([^/]+)/[^/]+$", 1)
-    return F.regexp_replace(parent, r"^[^=]*=", "")
+    plain = F.try_url_decode(F.replace(parent, F.lit("+"), F.lit("%2B")))  # '+' is no blank in a path
+    return F.regexp_replace(F.coalesce(plain, parent), r"^[^=]*=", "")
