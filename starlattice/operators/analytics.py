@@ -99,14 +99,23 @@ def best_days(star, limit: int = 10) -> DataFrame:
     return out.orderBy(F.desc("daily_rev"), F.asc("full_date"), F.asc("month_name")).limit(limit)
 
 
+def _with_total(star, column: str, name: str) -> DataFrame:
+    """Per product_name the sum of ``column`` as ``name``, with the total over all facts as ``__t``.
+
+    The fact is grouped by its product key first, unresolved keys included;
+    names and total both come from those few rows. The scalar subquery groups
+    the same way, so its exchange is the same one and the fact is read once.
+    """
+    keyed = star.measures.groupBy("product_id").agg(F.sum(column).alias("__s"))
+    # bound to a column once: the exact share refers to the total several times
+    total = keyed.agg(F.sum("__s")).scalar()
+    return (keyed.join(_product(star), "product_id").groupBy("product_name")
+            .agg(F.sum("__s").alias(name)).withColumn("__t", total))
+
+
 def profit_share(star) -> DataFrame:
     """Profit per product and its percent of all profit (fact alone)."""
-    total = star.measures.agg(F.sum("profit")).scalar()
-    j = star.measures.join(_product(star), "product_id")
-    # bind the scalar subquery to a column once: the exact share refers to
-    # the total several times, and each reference would be its own subquery
-    grouped = (j.groupBy("product_name").agg(F.sum("profit").alias("__p"))
-                .withColumn("__t", total))
+    grouped = _with_total(star, "profit", "__p")
     out = grouped.select(
         "product_name",
         F.round("__p", _places(star)).cast("double").alias("total_profit"),
@@ -177,27 +186,24 @@ def _category_size_exact(star) -> DataFrame:
 
 
 def category_totals(star) -> DataFrame:
-    """The (category, size) revenues summed by category, NULL -> 'Other'."""
+    """The (category, size) revenues summed by category, NULL or '' -> 'Other'."""
     cs = _category_size_exact(star)
-    key = F.coalesce(F.col("category"), F.lit(star.spec.other_label)).alias("category")
+    key = F.coalesce(F.nullif(F.col("category"), F.lit("")), F.lit(star.spec.other_label)).alias("category")
     out = cs.groupBy(key).agg(F.sum("__rev").cast("double").alias("revenue"))
     return out.orderBy(F.desc("revenue"), F.asc("category"))
 
 
 def size_totals(star) -> DataFrame:
-    """The (category, size) revenues summed by size, NULL -> 'Other'."""
+    """The (category, size) revenues summed by size, NULL or '' -> 'Other'."""
     cs = _category_size_exact(star)
-    key = F.coalesce(F.col("package_size"), F.lit(star.spec.other_label)).alias("package_size")
+    key = F.coalesce(F.nullif(F.col("package_size"), F.lit("")), F.lit(star.spec.other_label)).alias("package_size")
     out = cs.groupBy(key).agg(F.sum("__rev").cast("double").alias("revenue"))
     return out.orderBy(F.desc("revenue"), F.asc("package_size"))
 
 
 def revenue_share(star, places: int = 2) -> DataFrame:
     """Revenue per product and its percent of all revenue (fact alone)."""
-    total = star.measures.agg(F.sum("revenue")).scalar()
-    j = star.measures.join(_product(star), "product_id")
-    grouped = (j.groupBy("product_name").agg(F.sum("revenue").alias("__r"))
-                .withColumn("__t", total))
+    grouped = _with_total(star, "revenue", "__r")
     out = grouped.select(
         "product_name", F.round("__r", _places(star)).cast("double").alias("revenue"),
         share_pct(F.col("__r"), F.col("__t"), places, _places(star)).alias("revenue_share_pct"))
@@ -207,14 +213,17 @@ def revenue_share(star, places: int = 2) -> DataFrame:
 def best_members(star) -> DataFrame:
     """Best month by revenue and by margin, best product by revenue and profit.
 
-    One aggregate per dimension carries both of its metrics; each metric is
-    a top-1 over it (ties: the smaller member name), and the two top-1s of a
-    dimension share that aggregate's shuffle.
+    One aggregate per dimension carries both of its metrics, and a second one
+    over its members takes both best ones (ties: the smaller member name), so
+    the fact is read once per dimension.
     """
-    def top(df: DataFrame, metric: str, member: str, value: str) -> DataFrame:
-        return (df.orderBy(F.desc_nulls_last(value), F.asc(member)).limit(1)
-                  .select(F.lit(metric).alias("metric"), F.col(member).alias("member"),
-                          F.col(value).cast("double").alias("value")))
+    def best(df: DataFrame, member: str, metrics: dict[str, str]) -> DataFrame:
+        firsts = [F.min(F.struct(F.coalesce(-F.col(v).cast("double"), F.lit(float("inf"))).alias("low"),
+                                 F.col(member).alias("member"), F.col(v).cast("double").alias("value")))
+                  .alias(m) for m, v in metrics.items()]
+        rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"{m}.member").alias("member"),
+                                  F.col(f"{m}.value").alias("value")) for m in metrics])
+        return df.agg(*firsts).select(F.explode(rows).alias("x")).select("x.*")
     places = _places(star)
     months = aggregate(star.measures.join(_month(star), "month_id").groupBy("month_name"),
                        [F.col("month_name")],
@@ -225,10 +234,10 @@ def best_members(star) -> DataFrame:
                          [F.col("product_name")],
                          [money_sum("revenue", "total_rev", places),
                           money_sum("profit", "total_profit", places)])
-    return (top(months, "best_month_by_revenue", "month_name", "revenue")
-            .unionByName(top(months, "best_month_by_margin", "month_name", "avg_margin_pct"))
-            .unionByName(top(products, "top_product_by_revenue", "product_name", "total_rev"))
-            .unionByName(top(products, "top_product_by_profit", "product_name", "total_profit")))
+    return best(months, "month_name", {"best_month_by_revenue": "revenue",
+                                       "best_month_by_margin": "avg_margin_pct"}).unionByName(
+        best(products, "product_name", {"top_product_by_revenue": "total_rev",
+                                        "top_product_by_profit": "total_profit"})).where("member is not null")
 
 
 def preview(df: DataFrame, n: int = 4) -> DataFrame:

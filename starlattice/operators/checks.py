@@ -11,11 +11,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import money_sum
-
 
 def check_primary_key(df: DataFrame, key: str, table: str) -> DataFrame:
     """rows, NULL keys and keys used more than once; valid when both are 0."""
@@ -48,23 +46,51 @@ def check_not_null(df: DataFrame, columns: Sequence[str], table: str) -> DataFra
     return stacked.select("r.*")
 
 
+def check_foreign_keys(child: DataFrame, links: Sequence[tuple[str, DataFrame, str, str]],
+                       child_name: str) -> DataFrame:
+    """Orphans of several foreign keys from ONE pass over ``child``.
+
+    ``links``: (column, parent, parent key, parent name). Parent keys are
+    unique, so each left join keeps the child's rows as they are.
+    """
+    j = child.select(*[column for column, _, _, _ in links])
+    for i, (column, parent, key, _) in enumerate(links):
+        known = parent.select(F.col(key).alias(f"__k{i}"))
+        j = j.join(known, F.col(column) == F.col(f"__k{i}"), "left")
+    counts = j.agg(*[F.count(F.when(F.col(column).isNotNull() & F.col(f"__k{i}").isNull(), F.lit(1)))
+                     .cast("bigint").alias(f"__n{i}") for i, (column, _, _, _) in enumerate(links)])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(child_name).alias("child_table"), F.lit(column).alias("column_name"),
+                 F.lit(name).alias("parent_table"), F.col(f"__n{i}").alias("orphan_rows"))
+        for i, (column, _, _, name) in enumerate(links)])).alias("r")).select("r.*")
+
+
+def month_number(name) -> Column:
+    """1-12 of a month written 'yyyy-MM' or by its English name; NULL otherwise."""
+    name = F.col(name) if isinstance(name, str) else name
+    return F.month(F.coalesce(F.try_to_date(name, "yyyy-MM"),
+                              F.try_to_date(F.concat(F.lit("1 "), F.initcap(name), F.lit(" 2000")),
+                                            "d MMMM yyyy")))
+
+
 def check_month_agreement(star) -> DataFrame:
     """Facts whose month key (from the month text) disagrees with their date.
 
     One row: facts with an unmapped month, facts whose month agrees with
-    the date's (year, month), and facts where it does not.
+    the date's (year, month), facts where it does not, and facts of a month
+    whose name tells no number.
     """
     dates = star.dim("dim_date").select("date_id", F.col("year").alias("__dy"),
                                         F.col("month_num").alias("__dm"))
     months = star.dim("dim_month").select("month_id", F.col("year").alias("__my"),
-                                          F.month(F.to_date(F.concat(F.col("month_name"), F.lit("-01"))))
-                                          .alias("__mm"))
+                                          month_number("month_name").alias("__mm"))
     j = star.measures.join(dates, "date_id").join(months, "month_id", "left")
     same = (F.col("__dy") == F.col("__my")) & (F.col("__dm") == F.col("__mm"))
-    return j.agg(
-        F.count(F.when(F.col("month_id").isNull(), F.lit(1))).cast("bigint").alias("unmapped_month"),
-        F.count(F.when(F.col("month_id").isNotNull() & same, F.lit(1))).cast("bigint").alias("agree"),
-        F.count(F.when(F.col("month_id").isNotNull() & ~same, F.lit(1))).cast("bigint").alias("disagree"))
+    count = lambda c, name: F.count(F.when(c, F.lit(1))).cast("bigint").alias(name)
+    mapped = F.col("month_id").isNotNull()
+    return j.agg(count(~mapped, "unmapped_month"), count(mapped & same, "agree"),
+                 count(mapped & F.col("__mm").isNotNull() & ~same, "disagree"),
+                 count(mapped & F.col("__mm").isNull(), "unnumbered_month"))
 
 
 def reconcile(star) -> DataFrame:
@@ -72,32 +98,36 @@ def reconcile(star) -> DataFrame:
 
     Facts with an unmapped month are absent from the monthly summary and
     facts with a NULL size from the product summary, so those rows show
-    exactly how much each stored pre-aggregate leaves out.
+    exactly how much each stored pre-aggregate leaves out. The fact is read
+    once, for both of its rows.
     """
-    def totals(df: DataFrame, source: str, rev: str, prof: str, qty: str, n: list):
+    types = {"r": "decimal(38,2)", "p": "decimal(38,2)", "q": "decimal(38,6)"}
+
+    def row(source: str, r, p, q, n):
+        return F.struct(F.lit(source).alias("source"),
+                        F.round(r, star.spec.money_places).cast("double").alias("revenue"),
+                        F.round(p, star.spec.money_places).cast("double").alias("profit"),
+                        q.cast("double").alias("quantity"), n.cast("bigint").alias("transactions"))
+
+    def rows(df: DataFrame, *structs) -> DataFrame:
+        return df.select(F.explode(F.array(*structs)).alias("x")).select("x.*")
+
+    months = star.dim("dim_month").select("month_id", F.lit(True).alias("__known"))
+    known = F.coalesce(F.col("__known"), F.lit(False))
+    names = {"r": "revenue", "p": "profit", "q": "quantity"}
+    fact = star.measures.join(months, "month_id", "left").agg(
+        *[F.sum(F.col(c)).alias(k) for k, c in names.items()], F.count(F.lit(1)).alias("n"),
+        *[F.sum(F.when(known, F.col(c))).alias(f"m{k}") for k, c in names.items()],
+        F.count(F.when(known, F.lit(1))).alias("mn"))
+    out = rows(fact, row("fact", F.col("r"), F.col("p"), F.col("q"), F.col("n")),
+               row("fact_with_month", F.col("mr"), F.col("mp"), F.col("mq"), F.col("mn")))
+    for source in ("summary_monthly", "summary_product"):
         # stored summaries hold doubles; sum them as decimals so totals stay exact
-        df = df.select(F.col(rev).cast("decimal(38,2)").alias("__r"),
-                       F.col(prof).cast("decimal(38,2)").alias("__p"),
-                       F.col(qty).cast("decimal(38,4)").alias("__q"), *df.columns)
-        ms = [money_sum("__r", "revenue", star.spec.money_places),
-              money_sum("__p", "profit", star.spec.money_places),
-              money_sum("__q", "quantity", None)]
-        partials = [p for m in ms for p in m.partials]
-        return df.agg(*partials, *n).select(F.lit(source).alias("source"),
-                                             *[m.final for m in ms], "transactions")
-    fact = star.measures
-    sm, sp = star.summary_monthly, star.summary_product
-    month_join = fact.join(star.dim("dim_month").select("month_id"), "month_id")
-    return reduce(DataFrame.unionByName, [
-        totals(fact, "fact", "revenue", "profit", "quantity",
-               [F.count(F.lit(1)).alias("transactions")]),
-        totals(month_join, "fact_with_month", "revenue", "profit", "quantity",
-               [F.count(F.lit(1)).alias("transactions")]),
-        totals(sm, "summary_monthly", "total_revenue", "total_profit", "total_quantity",
-               [F.sum("num_transactions").cast("bigint").alias("transactions")]),
-        totals(sp, "summary_product", "total_revenue", "total_profit", "total_quantity",
-               [F.sum("num_transactions").cast("bigint").alias("transactions")]),
-    ])
+        total = getattr(star, source).agg(
+            *[F.sum(F.col(f"total_{names[k]}").cast(t)).alias(k) for k, t in types.items()],
+            F.sum("num_transactions").alias("n"))
+        out = out.unionByName(rows(total, row(source, F.col("r"), F.col("p"), F.col("q"), F.col("n"))))
+    return out
 
 
 def audit_counts(stages: dict[str, DataFrame]) -> DataFrame:

@@ -17,8 +17,7 @@ from ..functions.text import clean_text, normalize_name, source_tag
 from ..spec import DEFAULT_SPEC, StarSpec
 
 # Header renames applied after normalisation.
-RENAME_MAP = {"revenue_": "revenue", "profit_": "profit",
-              "unit_size_": "unit_size", "profit_margin": "profit_margin"}
+RENAME_MAP = {"revenue_": "revenue", "profit_": "profit", "unit_size_": "unit_size"}
 # Positional names of the catalogue and monthly sheets.
 CATALOGUE_COLUMNS = ["product_type", "size", "pieces_per_box", "sell_price_per_piece",
                      "sell_price_per_box", "shelf_life", "category"]

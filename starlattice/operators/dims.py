@@ -39,9 +39,26 @@ def dimension_members(master: DataFrame) -> DataFrame:
 
 
 def member_counts(members: DataFrame) -> dict[int, int]:
-    """Number of members per set (three small numbers)."""
+    """Number of members per set (three small numbers); missing dates and months are no members."""
+    known = members.where((F.col("__set") != DATE_SET) | F.col("date").isNotNull()) \
+        .where((F.col("__set") != MONTH_SET) | F.col("__year").isNotNull())
     return {r["__set"]: r["n"] for r in
-            members.groupBy("__set").agg(F.count(F.lit(1)).alias("n")).collect()}
+            known.groupBy("__set").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def member_rows(members: DataFrame) -> int:
+    """Rows of the master, from the counts kept beside the members."""
+    return members.where(F.col("__set") == DATE_SET).agg(F.sum("__rows")).first()[0] or 0
+
+
+def require_unique(dim: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``dim`` itself; raises when a key that facts are matched by appears twice, as every
+    fact with that key would be doubled."""
+    twice = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(3).collect()
+    if twice:
+        shown = ", ".join(str(tuple(r[k] for k in keys)) for r in twice)
+        raise ValueError(f"{name}: {'/'.join(keys)} must be unique; repeated: {shown}")
+    return dim
 
 
 def dates_of(members: DataFrame) -> DataFrame:
@@ -59,13 +76,13 @@ def months_of(members: DataFrame) -> DataFrame:
 
 
 def date_dim(master: DataFrame, spec: StarSpec = DEFAULT_SPEC,
-             dates: DataFrame | None = None, rows: int | None = None) -> DataFrame:
+             dates: DataFrame | None = None) -> DataFrame:
     """Distinct dates -> date_id 1..n in date order plus calendar attributes."""
     if dates is None:
         dates = master.select(F.col("date").alias("full_date")).distinct()
     dates = dates.where(F.col("full_date").isNotNull())
     numbered = sequential_ids(dates, [F.col("full_date").asc()], "date_id",
-                              partitions=spec.id_partitions, name="dim_date", known_rows=rows)
+                              partitions=spec.id_partitions, name="dim_date")
     cal = calendar_columns("full_date")
     return numbered.select("date_id", "full_date", *[c.alias(k) for k, c in cal.items()])
 
@@ -78,8 +95,7 @@ def category_lookup(catalogue: DataFrame) -> DataFrame:
 
 
 def product_dim(master: DataFrame, catalogue: DataFrame,
-                spec: StarSpec = DEFAULT_SPEC, pairs: DataFrame | None = None,
-                rows: int | None = None) -> DataFrame:
+                spec: StarSpec = DEFAULT_SPEC, pairs: DataFrame | None = None) -> DataFrame:
     """Distinct (product, size) pairs with their category; ids by (name, size)."""
     if pairs is None:
         pairs = master.select(F.col("product_type").alias("product_name"),
@@ -90,12 +106,12 @@ def product_dim(master: DataFrame, catalogue: DataFrame,
                              F.coalesce("category", F.lit(spec.default_category)).alias("category")))
     order = [F.col("product_name").asc_nulls_last(), F.col("package_size").asc_nulls_last()]
     numbered = sequential_ids(enriched, order, "product_id",
-                              partitions=spec.id_partitions, name="dim_product", known_rows=rows)
+                              partitions=spec.id_partitions, name="dim_product")
     return numbered.select("product_id", "product_name", "package_size", "category")
 
 
 def month_dim(dim_date: DataFrame, spec: StarSpec = DEFAULT_SPEC,
-              date_rows: int | None = None, months: DataFrame | None = None) -> DataFrame:
+              months: DataFrame | None = None) -> DataFrame:
     """Months present in the date dimension, ids in (year, month) order.
 
     month_name is the month formatted with ``spec.month_key_format``
@@ -105,8 +121,7 @@ def month_dim(dim_date: DataFrame, spec: StarSpec = DEFAULT_SPEC,
     if months is None:
         months = dim_date.select("year", "month_num").distinct()
     numbered = sequential_ids(months, [F.col("year").asc(), F.col("month_num").asc()],
-                              "month_id", partitions=spec.id_partitions, name="dim_month",
-                              known_rows=date_rows)
+                              "month_id", partitions=spec.id_partitions, name="dim_month")
     first_day = F.make_date("year", "month_num", F.lit(1))
     name = F.date_format(first_day, spec.month_key_format)
     return numbered.select("month_id", name.alias("month_name"), F.lower(name).alias("month_key"),

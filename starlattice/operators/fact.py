@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import round_to
+from ..functions.numbers import exact_cast, round_to
 from ..spec import DEFAULT_SPEC, StarSpec
 from .joins import dim_side
 from .numbering import sequential_ids
@@ -43,7 +43,7 @@ def fact_rows(keyed: DataFrame, spec: StarSpec = DEFAULT_SPEC) -> DataFrame:
     r = spec.rounding
     return keyed.select(
         "date_id", "product_id", "month_id",
-        F.col("quantity").cast(spec.quantity_type).alias("quantity"),
+        exact_cast("quantity", spec.quantity_type).alias("quantity"),
         round_to("revenue", spec.money_places, r).cast(spec.money_type).alias("revenue"),
         round_to("profit", spec.money_places, r).cast(spec.money_type).alias("profit"),
         round_to("profit_margin", spec.ratio_places, r).cast(spec.ratio_type).alias("profit_margin"),

@@ -22,27 +22,17 @@ from ..session import materialize
 _PART, _POS, _OFF, _N = "__part", "__pos", "__off", "__n"
 
 
-# Largest row count numbered with one ordered window (a single task).
-SMALL_ROWS = 1_000_000
-
-
 def sequential_ids(df: DataFrame, order: Sequence[Column], id_col: str, start: int = 1,
                    partitions: int | None = None, name: str = "ids",
-                   known_rows: int | None = None, keep: dict | None = None) -> DataFrame:
+                   keep: dict | None = None) -> DataFrame:
     """Add ``id_col`` = start .. start+n-1 following ``order``.
 
     Rows equal in every order key get adjacent ids in an unspecified order;
     add a lineage column as the last key to make the order total.
 
-    When ``known_rows`` proves the input small (at most ``SMALL_ROWS``),
-    one ordered window numbers it in a single task with no write; any
-    other input takes the distributed path below. When ``keep`` is given,
-    ``keep["rows"]`` receives the written rows without ids, for readers
-    that do not need them (no offsets join).
+    When ``keep`` is given, ``keep["rows"]`` receives the written rows
+    without ids, for readers that do not need them (no offsets join).
     """
-    if known_rows is not None and known_rows <= SMALL_ROWS:
-        ident = (F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1)).cast("bigint")
-        return df.select(ident.alias(id_col), *df.columns)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order)

@@ -1,9 +1,10 @@
 """OLAP operators over a star: denormalize, roll-up, drill-down, slice,
 dice, pivot and the full cube (A4-A12, A26, A27, P8-P11, J5-J9).
 
-The cube computes every grouping set of the joined fact in one scan:
-``groupingSets`` plans an ``Expand`` feeding one partial aggregate, one
-shuffle and one final aggregate, instead of one scan per set. Rolled-up
+The cube reads the fact once. The fact is first aggregated to its cells (for
+a star: by the surrogate keys, before any dimension is joined), and the
+grouping sets run over the cells: their ``Expand`` copies cells, not facts.
+All measures are additive partials, so this loses nothing. Rolled-up
 members are labelled with ``grouping()``, so a real NULL member keeps
 its NULL. The grand total counts every fact, resolved keys or not, and
 is one more grouping set of the same pass, not a second scan.
@@ -133,42 +134,56 @@ def grand_total(fact: DataFrame, dims: Sequence[str], measures: Sequence[Measure
                         *[m.final for m in measures]))
 
 
-def _empty_final(measure: Measure) -> Column:
-    """A measure's value over no rows: sums NULL, counts 0."""
-    return measure.final_over(
-        lambda k: F.lit(0).cast("bigint") if k.endswith("__n")
-        else F.lit(None).cast("decimal(38,10)"))
+def _merged(measures: Sequence[Measure]) -> list[Measure]:
+    """The same measures over cells: every partial is a sum or a count, and merges by adding."""
+    return [Measure(m.name, [(key, F.sum(F.col(key))) for key, _ in m.parts], m.finish)
+            for m in measures]
 
 
 def cube(df: DataFrame, dims: Sequence[str] = CUBE_DIMENSIONS,
          measures: Sequence[Measure] | None = None, all_label: str = ALL_LABEL,
-         slice_names: dict | None = None, matched: Column | None = None,
-         rows_of: DataFrame | None = None) -> DataFrame:
+         slice_names: dict | None = None, matched: Column | None = None) -> DataFrame:
     """Every grouping set of ``dims`` and the grand total from ONE scan, labelled.
 
     ``df`` is the fact joined (left) to its dimensions; ``matched`` is true
-    for rows whose keys all resolved (default: every row). The grouping
-    sets with at least one dimension cover matched rows only, as inner
-    joins would; the grand total covers every row (an unresolved key still
-    counts). All sets, the grand total included, come from one ``Expand``,
-    one partial aggregate and one shuffle.
+    for rows whose keys all resolved (default: every row). It is aggregated
+    to its cells first; see :func:`cube_of_cells`.
+    """
+    measures = list(measures or cube_measures())
+    flag = matched if matched is not None else F.lit(True)
+    cells = (df.withColumn("__matched", F.coalesce(flag, F.lit(False))).groupBy(*dims, "__matched")
+             .agg(*[p for m in measures for p in m.partials]))
+    return cube_of_cells(cells, dims, measures, all_label, slice_names)
+
+
+def cube_of_cells(cells: DataFrame, dims: Sequence[str], measures: Sequence[Measure],
+                  all_label: str = ALL_LABEL, slice_names: dict | None = None) -> DataFrame:
+    """The cube over cells: ``dims``, ``__matched`` and the measures' partials.
+
+    The grouping sets with at least one dimension cover matched cells only,
+    as inner joins would; the grand total covers every cell (an unresolved
+    key still counts).
 
     On empty input an aggregate has no groups, but the grand total must
-    still be one row (sums NULL, count 0): a guard row is added when
-    ``rows_of`` (default ``df``) has no rows - a count that reads no column.
+    still be one row (sums NULL, count 0): one neutral cell, unmatched and
+    without any value, joins the cells, so the grand total always exists.
 
     Columns: ``slice`` (the set's name), ``grouping_id`` (bit i set when
     dims[i] is rolled up, first dimension most significant), the dims with
     'All' where rolled up (a real NULL member stays NULL), the measures.
     """
     dims = list(dims)
-    measures = list(measures or cube_measures())
     names = SLICE_NAMES if slice_names is None and dims == CUBE_DIMENSIONS else slice_names
-    flag = "__matched"
-    src = df.withColumn(flag, matched if matched is not None else F.lit(True))
+    flag, merged = "__matched", _merged(measures)
+    keys = [key for m in measures for key, _ in m.parts]
+    cells = cells.select(*dims, flag, *keys)
+    types = {f.name: f.dataType for f in cells.schema.fields}
+    neutral = cells.sparkSession.range(1).select(
+        *[F.lit(None).cast(types[d]).alias(d) for d in dims], F.lit(False).alias(flag),
+        *[F.lit(0 if k.endswith("__n") else None).cast(types[k]).alias(k) for k in keys])
     sets = [list(c) + [flag] for k in range(len(dims), 0, -1) for c in combinations(dims, k)]
-    agg = src.groupingSets(sets + [[]], *dims, flag).agg(
-        *[p for m in measures for p in m.partials],
+    agg = cells.unionByName(neutral).groupingSets(sets + [[]], *dims, flag).agg(
+        *[p for m in merged for p in m.partials],
         *[F.grouping(d).alias(f"__rolled_{d}") for d in dims])
     gid = sum((F.col(f"__rolled_{d}") * F.lit(1 << (len(dims) - 1 - i))
                for i, d in enumerate(dims)), F.lit(0))
@@ -179,35 +194,35 @@ def cube(df: DataFrame, dims: Sequence[str] = CUBE_DIMENSIONS,
             code = sum(1 << (len(dims) - 1 - dims.index(d)) for d in rolled)
             slice_col = F.when(gid == code,
                                F.lit(_slice_name(rolled, dims, names))).otherwise(slice_col)
-    labelled = agg.where(F.coalesce(F.col(flag), F.lit(False)) | (gid == full)).select(
+    return agg.where(F.coalesce(F.col(flag), F.lit(False)) | (gid == full)).select(
         slice_col.alias("slice"), gid.cast("bigint").alias("grouping_id"),
         *[F.when(F.col(f"__rolled_{d}") == 1, F.lit(all_label)).otherwise(F.col(d)).alias(d)
           for d in dims],
-        *[m.final for m in measures])
-    empty = (rows_of if rows_of is not None else df).agg(F.count(F.lit(1)).alias("__rows"))
-    guard = empty.where(F.col("__rows") == 0).select(
-        F.lit(_slice_name(tuple(dims), dims, names)).alias("slice"),
-        F.lit(full).cast("bigint").alias("grouping_id"),
-        *[F.lit(all_label).alias(d) for d in dims],
-        *[_empty_final(m) for m in measures])
-    return labelled.unionByName(guard)
+        *[m.final for m in merged])
 
 
 def star_cube(star, measures: Sequence[Measure] | None = None) -> DataFrame:
     """The month x product x size cube of a star.
 
-    Dimensions are left-joined (map-side) so that unresolved facts reach
-    the grand total; the other slices keep the facts whose month and
-    product both resolved, as the reference's inner joins do.
+    The fact is aggregated by (month_id, product_id) before anything is
+    joined; the dimensions are left-joined to those cells, so that
+    unresolved facts reach the grand total. The other slices keep the cells
+    whose month and product both resolved, as the reference's inner joins do.
     """
+    measures = list(measures or cube_measures(star.spec))
     months = star.dim("dim_month").select("month_id", "month_name", F.lit(True).alias("__m"))
     products = star.dim("dim_product").select("product_id", "product_name", "package_size",
                                               F.lit(True).alias("__p"))
-    joined = (star.measures.join(months, "month_id", "left")
-              .join(products, "product_id", "left"))
+    cells = (star.measures.groupBy("month_id", "product_id")
+             .agg(*[p for m in measures for p in m.partials])
+             .join(months, "month_id", "left").join(products, "product_id", "left"))
     matched = F.coalesce(F.col("__m"), F.lit(False)) & F.coalesce(F.col("__p"), F.lit(False))
-    return cube(joined, CUBE_DIMENSIONS, measures or cube_measures(star.spec), matched=matched,
-                rows_of=star.measures)
+    return cube_of_cells(cells.withColumn("__matched", matched), CUBE_DIMENSIONS, measures,
+                         star.spec.all_label)
+
+
+# Slices by one dimension other than the month come by revenue, the others by their members.
+REVENUE_ORDER = (["product_name"], ["package_size"])
 
 
 def cube_slice(joined: DataFrame, fact: DataFrame, keep: Sequence[str],
@@ -218,5 +233,9 @@ def cube_slice(joined: DataFrame, fact: DataFrame, keep: Sequence[str],
     if not keep:
         return grand_total(fact, dims, measures, all_label)
     out = roll_up(joined, list(keep), measures)
-    return out.select(*[F.col(d) if d in keep else F.lit(all_label).alias(d) for d in dims],
-                      *[m.name for m in measures])
+    out = out.select(*[F.col(d) if d in keep else F.lit(all_label).alias(d) for d in dims],
+                     *[m.name for m in measures])
+    members = [F.col(d).asc_nulls_first() for d in keep]
+    if list(keep) in REVENUE_ORDER:
+        return out.orderBy(F.desc(measures[0].name), *members)
+    return out.orderBy(*members)

@@ -17,11 +17,12 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.measures import aggregate, mean_ratio, money_sum, row_count
+from ..functions.measures import mean_ratio, money_sum, row_count
 from ..operators.clean import clean_catalogue, clean_transactions
 from ..operators.dims import (DATE_SET, MONTH_SET, PAIR_SET, date_dim, dates_of,
-                              dimension_members, member_counts, month_dim, months_of, pairs_of,
-                              product_dim)
+                              dimension_members, member_counts, member_rows, month_dim,
+                              month_dim_from_rows, months_of,
+                              pairs_of, product_dim, require_unique)
 from ..operators.fact import fact_rows, lookup_keys, number_facts
 from ..operators.joins import dim_side
 from ..session import job_label, materialize
@@ -82,17 +83,18 @@ class Star:
 
     @property
     def summary_monthly(self) -> DataFrame:
-        """The stored summary when the star was opened from disk, else computed."""
-        if "summary_monthly" in self.stored:
-            return self.stored["summary_monthly"]
-        return summary_monthly(self)
+        """The stored summary; computed together with the other one when there is none."""
+        return self._summary("summary_monthly")
 
     @property
     def summary_product(self) -> DataFrame:
-        """The stored summary when the star was opened from disk, else computed."""
-        if "summary_product" in self.stored:
-            return self.stored["summary_product"]
-        return summary_product(self)
+        """The stored summary; computed together with the other one when there is none."""
+        return self._summary("summary_product")
+
+    def _summary(self, name: str) -> DataFrame:
+        if name not in self.stored:
+            self.stored["summary_monthly"], self.stored["summary_product"] = both_summaries(self)
+        return self.stored[name]
 
     def table(self, name: str) -> DataFrame:
         if name == "fact_sales":
@@ -118,39 +120,44 @@ def build_star(master_raw: DataFrame, catalogue_raw: DataFrame | None,
         counts = member_counts(members)
     n_dates, n_pairs = counts.get(DATE_SET, 0), counts.get(PAIR_SET, 0)
     # each dimension is written once, so queries read small files, not the plan
-    d_date = materialize(date_dim(master, spec, dates=dates_of(members), rows=n_dates),
-                         "dim_date")
-    d_product = materialize(product_dim(master, catalogue, spec, pairs=pairs_of(members),
-                                        rows=n_pairs), "dim_product")
+    d_date = materialize(date_dim(master, spec, dates=dates_of(members)), "dim_date")
+    d_product = materialize(product_dim(master, catalogue, spec, pairs=pairs_of(members)),
+                            "dim_product")
     if dim_month is None:
         n_months = counts.get(MONTH_SET, 0)
-        d_month = materialize(month_dim(d_date, spec, date_rows=n_months,
-                                        months=months_of(members)), "dim_month")
+        d_month = materialize(month_dim(d_date, spec, months=months_of(members)), "dim_month")
     else:
         d_month = materialize(dim_month.select(
             F.col("month_id").cast("bigint"), "month_name", F.lower("month_key").alias("month_key"),
             F.col("quarter").cast("bigint"), F.col("year").cast("bigint")), "dim_month")
         with job_label(master.sparkSession, "count months"):
             n_months = d_month.count()
+    with job_label(master.sparkSession, "check dimension keys"):
+        require_unique(d_date, ["full_date"], "dim_date")
+        require_unique(d_product, ["product_name", "package_size"], "dim_product")
+        require_unique(d_month, ["month_key"], "dim_month")
+        require_unique(d_month, ["month_id"], "dim_month")
     rows = {"dim_date": n_dates, "dim_product": n_pairs, "dim_month": n_months}
     keyed = lookup_keys(master, d_date, d_product, d_month, rows, spec)
     star = Star(spec, master, catalogue, d_date, d_product, d_month, rows,
                 fact_rows(keyed, spec))
-    star.id_partitions = numbering_partitions(master_raw)
+    star.id_partitions = numbering_partitions(master.sparkSession, member_rows(members))
     return star
 
 
-def numbering_partitions(source: DataFrame) -> int:
-    """Partitions for numbering the fact: at least one per split of the source.
+# A fact row is eight columns of at most 8 bytes; a numbering partition holds about this many bytes.
+FACT_ROW_BYTES = 64
+NUMBERING_BYTES = 512 * 1024 * 1024
+
+
+def numbering_partitions(spark: SparkSession, fact_rows: int) -> int:
+    """Range partitions for numbering the fact, from the bytes of the typed fact.
 
-    Range partitions are never split by AQE, so their number must grow
-    with the data; the split count of the source scan (about one per
-    ``spark.sql.files.maxPartitionBytes``) does, and reading it only plans
-    the scan.
+    Adaptive execution never splits range partitions, so their number grows
+    with the data; it starts from the session's shuffle partitions.
     """
-    spark = source.sparkSession
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(shuffle, source.rdd.getNumPartitions())
+    return max(shuffle, -(-fact_rows * FACT_ROW_BYTES // NUMBERING_BYTES))
 
 
 def star_from_tables(tables: dict, spec: StarSpec = DEFAULT_SPEC) -> Star:
@@ -166,6 +173,21 @@ def star_from_tables(tables: dict, spec: StarSpec = DEFAULT_SPEC) -> Star:
     return star
 
 
+# A month dimension of three named months, as a plan for one summer.
+NAMED_MONTHS = [(1, "June", "1998-06", 2, 1998), (2, "July", "1998-07", 3, 1998),
+                (3, "August", "1998-08", 3, 1998)]
+
+
+def named_star(star: Star) -> Star:
+    """The same sales against the fixed list of named months (other months stay unmapped)."""
+    months = month_dim_from_rows(star.spark, NAMED_MONTHS)
+    d_month = require_unique(materialize(months, "dim_month"), ["month_key"], "dim_month")
+    rows = {**star.rows, "dim_month": len(NAMED_MONTHS)}
+    keyed = lookup_keys(star.master, star.dim_date, star.dim_product, d_month, rows, star.spec)
+    return Star(star.spec, star.master, star.catalogue, star.dim_date, star.dim_product, d_month,
+                rows, fact_rows(keyed, star.spec))
+
+
 def fixture_star(spark: SparkSession, sf_dir: str, spec: StarSpec = DEFAULT_SPEC) -> Star:
     """The star built from the test tables (see ``sources.fixtures``).
 
@@ -189,24 +211,6 @@ def _summary_measures(spec: StarSpec):
             row_count("num_transactions")]
 
 
-def summary_monthly(star: Star) -> DataFrame:
-    """Summary_Monthly: per month, revenue, profit, quantity, mean margin, count."""
-    months = star.dim("dim_month").select("month_id", "month_name", "year")
-    joined = star.measures.join(months, "month_id")
-    keys = ["month_id", "month_name", "year"]
-    return aggregate(joined.groupBy(*keys), [F.col(k) for k in keys],
-                     _summary_measures(star.spec))
-
-
-def summary_product(star: Star) -> DataFrame:
-    """Summary_Product: per product; groups with a NULL key are left out."""
-    products = star.dim("dim_product")
-    keys = ["product_id", "product_name", "package_size", "category"]
-    joined = star.measures.join(products, "product_id").na.drop(subset=keys)
-    return aggregate(joined.groupBy(*keys), [F.col(k) for k in keys],
-                     _summary_measures(star.spec))
-
-
 MONTH_KEYS = ["month_id", "month_name", "year"]
 PRODUCT_KEYS = ["product_id", "product_name", "package_size", "category"]
 
@@ -217,8 +221,7 @@ def both_summaries(star: Star) -> tuple[DataFrame, DataFrame]:
     The fact is joined (left, map-side) to both dimensions and aggregated
     with two grouping sets; the small result is written once and split.
     A fact whose month or product has no member falls in the set's NULL
-    group, which is dropped - the same rows the inner joins of
-    :func:`summary_monthly` / :func:`summary_product` leave out.
+    group, which is dropped - the rows that inner joins leave out.
     """
     months = star.dim("dim_month").select(*MONTH_KEYS)
     products = star.dim("dim_product").select(*PRODUCT_KEYS)

@@ -23,7 +23,8 @@ class StarSpec:
     """Types, rounding and labels of one star schema."""
 
     money_type: str = "decimal(18,2)"
-    quantity_type: str = "decimal(18,4)"
+    # A quantity with more decimals than this raises; nothing is rounded away.
+    quantity_type: str = "decimal(18,6)"
     ratio_type: str = "decimal(18,4)"
     parse_type: str = "decimal(38,10)"
     money_places: int = 2
