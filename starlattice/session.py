@@ -82,22 +82,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster when it has fewer splits than cores.
-
-    A single-file source (one Parquet row group cannot be split) would
-    otherwise run every following narrow operator in one task. A source of
-    many files - any real one - is returned unchanged, so no shuffle is
-    added at scale.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    # the scan's split count (planning only: no job, no file list to Python)
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 @contextmanager
 def job_label(spark: SparkSession, label: str):
     """Name the Spark jobs started inside the block (shown in history/event log)."""

@@ -9,8 +9,11 @@
 The dirt is deterministic, so DuckDB can rebuild every value from the
 same tables: text padded and upper-cased, every 7th order's quantity
 'x', every 13th order's date missing, every 17th order's size missing,
-every 19th order's month 'Unknown', every 23rd order's margin empty; in
-the monthly sheets every 11th order's date is a repeated header text.
+every 19th order's month 'Unknown', every 23rd order's margin empty,
+every 29th order's quantity with six decimals, every 37th order's date
+blank, every 41st order's size blank; in the monthly sheets every 11th
+order's date is a repeated header text, and the sheets of June and
+November have other headers.
 
 Money is exact: revenue = extended price x (1 - discount) in decimals,
 profit = unrounded revenue - quantity x retail price, margin = profit /
@@ -23,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import half_away_quotient
-from ..session import job_label, scratch_path, spread_small_input
+from ..session import job_label, scratch_path
 
 # The five package sizes and the p_size bounds mapped onto them.
 SIZE_BUCKETS = [(10, "100g"), (20, "200g"), (30, "500g"), (40, "1kg")]
@@ -52,18 +55,23 @@ def size_bucket(p_size: Column) -> Column:
     return expr.otherwise(F.lit(LARGEST_SIZE))
 
 
-def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_lines(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """lineitem x orders x part with the exact money columns (no dirt yet).
 
+    ``partitions`` deals the lines anew first: a table of one file that cannot be
+    split would otherwise be one task.
+
     Money is computed in exact 64-bit integers of 1/10000: extended price
     in cents times (100 - discount in percent), minus quantity times
     retail price in cents times 100. The values equal the decimal formulas
     (price x (1 - discount), revenue - quantity x price) exactly.
     """
-    li = spread_small_input(_table(spark, sf_dir, "lineitem").select(
+    li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount",
-        F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(LINEAGE)))
+        F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(LINEAGE))
+    if partitions:
+        li = li.repartition(partitions)
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type",
                                                 "p_size", "p_retailprice")
@@ -95,21 +103,24 @@ def _every(n: int) -> Column:
     return F.col("l_orderkey") % n == 0
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_transactions(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """The master sheet as text, with messy headers and deterministic dirt."""
-    s = sales_lines(spark, sf_dir)
+    s = sales_lines(spark, sf_dir, partitions)
     margin = (F.col("margin_bp").cast("decimal(18,0)")
               * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(12,4)")
     h = RAW_MASTER_HEADERS
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     return s.select(
-        F.when(_every(13), F.lit(None).cast("string")).otherwise(day).alias(h[0]),
+        F.when(_every(13), F.lit(None).cast("string")).when(_every(37), F.lit("   "))
+         .otherwise(day).alias(h[0]),
         F.when(_every(19), F.lit(" Unknown "))
          .otherwise(F.concat(F.lit(" "), F.substring(day, 1, 7), F.lit("  "))).alias(h[1]),
         F.concat(F.lit("  "), F.upper("p_name"), F.lit("\t")).alias(h[2]),
-        F.when(_every(17), F.lit(None).cast("string"))
+        F.when(_every(17), F.lit(None).cast("string")).when(_every(41), F.lit("   "))
          .otherwise(F.concat(F.lit(" "), F.upper("size"), F.lit(" "))).alias(h[3]),
-        F.when(_every(7), F.lit("x")).otherwise(F.col("qty").cast("string")).alias(h[4]),
+        F.when(_every(7), F.lit("x"))
+         .when(_every(29), F.concat(F.col("qty").cast("string"), F.lit(".000004")))
+         .otherwise(F.col("qty").cast("string")).alias(h[4]),
         F.col("revenue").cast("string").alias(h[5]),
         F.col("profit").cast("string").alias(h[6]),
         F.when(_every(23), F.lit("")).otherwise(margin.cast("string")).alias(h[7]),
@@ -172,19 +183,29 @@ def stage_transactions(spark: SparkSession, sf_dir: str) -> str:
     """
     path = scratch_path(spark, "raw-transactions")
     with job_label(spark, "stage raw transactions"):
-        raw_transactions(spark, sf_dir).drop(LINEAGE).write.mode("overwrite").parquet(path)
+        cores = spark.sparkContext.defaultParallelism
+        raw_transactions(spark, sf_dir, cores).drop(LINEAGE).write.mode("overwrite").parquet(path)
     return path
 
 
+# The twelve sheets, and the two whose headers differ from the others'.
+SHEETS = [f"{m}_month_sales" for m in (
+    "january", "february", "march", "april", "may", "june", "july", "august", "september",
+    "october", "november", "december")]
+OTHER_HEADERS = {"june_month_sales": ["Sale Date", "Item"], "november_month_sales": ["Day"]}
+
+
 def stage_monthly_sheets(spark: SparkSession, sf_dir: str) -> list[str]:
     """Write the monthly sheets as one folder per sheet; return the folders.
 
-    Stands in for the workbook's separate sheets so the multi-path reader
-    (one scan over all files, tagged by folder) is exercised for real.
+    Stands in for the workbook's separate sheets. The sheets of
+    ``OTHER_HEADERS`` get other names for their first columns.
     """
     root = scratch_path(spark, "monthly-sheets")
-    raw_monthly(spark, sf_dir).write.mode("overwrite").partitionBy("sheet").parquet(root)
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", "*.parquet").load(root).select("path"))
-    folders = listing.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("d")).distinct()
-    return sorted(r.d for r in folders.collect())
+    rows = raw_monthly(spark, sf_dir)
+    special = list(OTHER_HEADERS)
+    rows.where(~F.col("sheet").isin(special)).write.mode("overwrite").partitionBy("sheet").parquet(root)
+    for sheet, headers in OTHER_HEADERS.items():
+        one = rows.where(F.col("sheet") == sheet).drop("sheet")
+        one.toDF(*headers, *one.columns[len(headers):]).write.parquet(f"{root}/sheet={sheet}")
+    return [f"{root}/sheet={s}" for s in SHEETS]

@@ -7,6 +7,7 @@ Every reader returns a DataFrame without running a job, except
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.text import path_leaf_dir
+from ..operators.clean import MONTHLY_COLUMNS
 
 STAR_TABLES = ["dim_date", "dim_product", "dim_month", "fact_sales",
                "summary_monthly", "summary_product"]
@@ -31,12 +33,14 @@ def _reader(spark: SparkSession, fmt: str, schema: StructType | str | None, opti
 def read_transactions(spark: SparkSession, path: str | Sequence[str], schema=None,
                       fmt: str = "parquet", options: dict | None = None,
                       lineage: bool = True) -> DataFrame:
-    """The core transaction sheet (S1). ``lineage`` adds ``_src``, a stable
-    per-row hash of (file, row position) used only to split ties."""
+    """The core transaction sheet (S1). ``lineage`` adds ``_src``, a per-row hash of
+    the file and the row's place, used only to split ties. Parquet tells a row's
+    place in its file; for text formats it is the place within the scan's task."""
     paths = [path] if isinstance(path, str) else list(path)
     df = _reader(spark, fmt, schema, options).load(paths)
-    if lineage and fmt == "parquet":
-        df = df.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_src"))
+    if lineage:
+        place = F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id()
+        df = df.select("*", F.xxhash64(F.col("_metadata.file_path"), place).alias("_src"))
     return df
 
 
@@ -60,16 +64,26 @@ def read_catalogue(spark: SparkSession, path: str, schema=None, fmt: str = "parq
 
 def read_monthly(spark: SparkSession, paths: Sequence[str], schema=None,
                  fmt: str = "parquet", options: dict | None = None,
-                 title_rows: Callable | None = None) -> DataFrame:
-    """All monthly sheets in one multi-path scan (S3 + U1).
+                 title_rows: Callable | None = None,
+                 names: Sequence[str] = MONTHLY_COLUMNS) -> DataFrame:
+    """All monthly sheets, named by position and united.
 
+    Sheets need not agree on their headers: each one is read by itself, must
+    have ``names`` many columns, and takes these names before the union.
     ``sheet`` is the name of the folder holding each file (a ``key=value``
     folder gives the value), taken from the scan's file metadata.
     ``title_rows`` drops leading title/header lines of text sources.
     """
-    df = _reader(spark, fmt, schema, options).load(list(paths))
-    df = df.select("*", path_leaf_dir(F.col("_metadata.file_path")).alias("sheet"))
-    return df.where(~title_rows(df)) if title_rows is not None else df
+    def one(path: str) -> DataFrame:
+        df = _reader(spark, fmt, schema, options).load(path)
+        columns = df.columns
+        if len(columns) != len(names):
+            raise ValueError(f"{path}: expected {len(names)} columns, found {len(columns)}: {columns}")
+        df = df.select("*", path_leaf_dir(F.col("_metadata.file_path")).alias("__sheet"))
+        if title_rows is not None:
+            df = df.where(~title_rows(df))
+        return df.toDF(*names, "sheet")
+    return reduce(DataFrame.unionByName, [one(p) for p in paths])
 
 
 def first_existing(spark: SparkSession, paths: Sequence[str],
