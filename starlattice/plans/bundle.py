@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import analytics as A
+from ..sinks.writers import STAR_TABLES
 
 # Titles and descriptions of the eight analytical queries.
 QUERY_TEXTS = [
@@ -133,12 +134,23 @@ def query_bundle(star, use_sql: bool = True) -> list[dict]:
 
 
 def cube_metadata(cube: DataFrame, star, name: str = "sales cube") -> DataFrame:
-    """One row: name, dimensions, measures, period (first - last month), cells."""
-    period = star.dim_month.agg(
-        F.concat_ws(" - ", F.min("month_name"), F.max("month_name"))).scalar()
+    """One row: name, dimensions, measures, period (first - last month), cells.
+
+    The first and last months are those of the smallest and largest month_id,
+    whatever their names. ``cube`` may be the written cube, read back.
+    """
+    period = star.dim_month.agg(F.concat_ws(" - ", F.min_by("month_name", "month_id"),
+                                            F.max_by("month_name", "month_id"))).scalar()
     cells = cube.agg(F.count(F.when(F.col("grouping_id") == 0, F.lit(1))).alias("total_cells"))
     return cells.select(F.lit(name).alias("cube_name"),
-                        F.lit(", ".join(CUBE_DIMENSION_LABELS)).alias("dimensions"),
-                        F.lit(", ".join(CUBE_MEASURE_NAMES)).alias("measures"),
+                        F.array(*[F.lit(x) for x in CUBE_DIMENSION_LABELS]).alias("dimensions"),
+                        F.array(*[F.lit(x) for x in CUBE_MEASURE_NAMES]).alias("measures"),
                         period.alias("period"),
                         F.col("total_cells").cast("bigint").alias("total_cells"))
+
+
+def dashboard_datasets(star) -> dict[str, DataFrame]:
+    """The eleven datasets of the dashboard: six tables, five queries."""
+    return {**{t: star.table(t) for t in STAR_TABLES}, "kpis": A.kpis(star),
+            "product_revenue": A.revenue_by_product(star), "size_revenue": A.revenue_by_size(star),
+            "daily_trend": A.daily_trend(star), "top_records": A.top_records(star)}
