@@ -83,12 +83,16 @@ sales AS (
 ),
 raw_master AS (
   SELECT
-    CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS " Date",
+    CASE WHEN l_orderkey % 13 = 0 THEN NULL WHEN l_orderkey % 37 = 0 THEN '   '
+         ELSE strftime(o_orderdate, '%Y-%m-%d') END AS " Date",
     CASE WHEN l_orderkey % 19 = 0 THEN ' Unknown '
          ELSE ' ' || strftime(o_orderdate, '%Y-%m') || '  ' END AS "Month ",
     '  ' || upper(p_name) || chr(9) AS "Product Type",
-    CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE ' ' || upper(size) || ' ' END AS "Unit Size",
-    CASE WHEN l_orderkey % 7 = 0 THEN 'x' ELSE CAST(qty AS VARCHAR) END AS "Quantity",
+    CASE WHEN l_orderkey % 17 = 0 THEN NULL WHEN l_orderkey % 41 = 0 THEN '   '
+         ELSE ' ' || upper(size) || ' ' END AS "Unit Size",
+    CASE WHEN l_orderkey % 7 = 0 THEN 'x'
+         WHEN l_orderkey % 29 = 0 THEN CAST(qty AS VARCHAR) || '.000004'
+         ELSE CAST(qty AS VARCHAR) END AS "Quantity",
     CAST(revenue AS VARCHAR) AS "Revenue_",
     CAST(profit AS VARCHAR) AS "Profit_",
     CASE WHEN l_orderkey % 23 = 0 THEN ''
@@ -103,7 +107,7 @@ normalized AS (
   FROM raw_master
 ),
 master_typed AS (
-  SELECT CAST(trim(date, {WS}) AS DATE) AS date,
+  SELECT CAST(nullif(trim(date, {WS}), '') AS DATE) AS date,
          {clean("month")} AS month, {clean("product_type")} AS product_type,
          {clean("unit_size")} AS unit_size,
          TRY_CAST(quantity AS DECIMAL(38,10)) AS quantity,
@@ -174,7 +178,7 @@ keyed AS (
 ),
 facts AS (
   SELECT date_id, product_id, month_id,
-         CAST(quantity AS DECIMAL(18,4)) AS quantity,
+         CAST(quantity AS DECIMAL(18,6)) AS quantity,
          CAST(ROUND(revenue, 2) AS DECIMAL(18,2)) AS revenue,
          CAST(ROUND(profit, 2) AS DECIMAL(18,2)) AS profit,
          CAST(ROUND(profit_margin, 4) AS DECIMAL(18,4)) AS profit_margin
@@ -245,6 +249,14 @@ monthly_dated AS (
 )
 """
 
+# the same prefix with the fixed list of named months as its month dimension
+_HEAD, _, _TAIL = PREFIX.partition("dim_month AS (")
+NAMED_PREFIX = (_HEAD + """dim_month AS (
+  SELECT * FROM (VALUES (1, 'June', '1998-06', 2, 1998), (2, 'July', '1998-07', 3, 1998),
+    (3, 'August', '1998-08', 3, 1998)) t(month_id, month_name, month_key, quarter, year)
+),
+""" + _TAIL[_TAIL.index("keyed AS ("):])
+
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August",
           "September", "October", "November", "December"]
 
@@ -299,7 +311,7 @@ def _by_product(measures: str) -> str:
 QUERIES = {
     "scan_transactions": "SELECT * FROM raw_master",
     "scan_catalogue": "SELECT * EXCLUDE (_row) FROM raw_catalogue",
-    "scan_monthly": "SELECT * FROM raw_monthly",
+    "scan_monthly": "SELECT * FROM monthly_named",
     "star_roundtrip": """SELECT * FROM (VALUES ('dim_date', (SELECT COUNT(*) FROM dim_date)),
       ('dim_product', (SELECT COUNT(*) FROM dim_product)),
       ('dim_month', (SELECT COUNT(*) FROM dim_month)),
@@ -393,16 +405,16 @@ QUERIES = {
         f'{money("f.revenue", None)} AS revenue, {money("f.profit", None)} AS profit'),
     "revenue_by_size": f"""SELECT dp.package_size, {money("f.revenue", None)} AS revenue
       FROM facts f JOIN dim_product dp ON f.product_id = dp.product_id GROUP BY dp.package_size""",
-    "category_totals": """SELECT coalesce(category, 'Other') AS category,
+    "category_totals": """SELECT coalesce(nullif(category, ''), 'Other') AS category,
       CAST(SUM(r) AS DOUBLE) AS revenue FROM (SELECT dp.category, dp.package_size,
       ROUND(SUM(f.revenue), 2) AS r FROM facts f JOIN dim_product dp
       ON f.product_id = dp.product_id GROUP BY dp.category, dp.package_size)
-      GROUP BY coalesce(category, 'Other')""",
-    "size_totals": """SELECT coalesce(package_size, 'Other') AS package_size,
+      GROUP BY coalesce(nullif(category, ''), 'Other')""",
+    "size_totals": """SELECT coalesce(nullif(package_size, ''), 'Other') AS package_size,
       CAST(SUM(r) AS DOUBLE) AS revenue FROM (SELECT dp.category, dp.package_size,
       ROUND(SUM(f.revenue), 2) AS r FROM facts f JOIN dim_product dp
       ON f.product_id = dp.product_id GROUP BY dp.category, dp.package_size)
-      GROUP BY coalesce(package_size, 'Other')""",
+      GROUP BY coalesce(nullif(package_size, ''), 'Other')""",
     "olap_drill_down": f"""SELECT dd.month_name, dd.full_date,
       {money("f.revenue", None)} AS daily_revenue, {money("f.quantity", None)} AS units
       FROM facts f JOIN dim_date dd ON f.date_id = dd.date_id
@@ -449,7 +461,8 @@ QUERIES = {
       COUNT(*) FILTER (WHERE f.month_id IS NOT NULL AND dd.year = dm.year
                        AND dd.month_num = month(CAST(dm.month_name || '-01' AS DATE))) AS agree,
       COUNT(*) FILTER (WHERE f.month_id IS NOT NULL AND NOT (dd.year = dm.year
-                       AND dd.month_num = month(CAST(dm.month_name || '-01' AS DATE)))) AS disagree
+                       AND dd.month_num = month(CAST(dm.month_name || '-01' AS DATE)))) AS disagree,
+      CAST(0 AS BIGINT) AS unnumbered_month
       FROM facts f JOIN dim_date dd ON f.date_id = dd.date_id
       LEFT JOIN dim_month dm ON f.month_id = dm.month_id""",
     "reconcile": f"""SELECT 'fact' AS source, {money("revenue")} AS revenue, {money("profit")} AS profit,
@@ -458,11 +471,11 @@ QUERIES = {
         {money("f.quantity", None)}, COUNT(*) FROM facts f JOIN dim_month dm ON f.month_id = dm.month_id
       UNION ALL SELECT 'summary_monthly', {money("CAST(total_revenue AS DECIMAL(38,2))")},
         {money("CAST(total_profit AS DECIMAL(38,2))")},
-        {money("CAST(total_quantity AS DECIMAL(38,4))", None)},
+        {money("CAST(total_quantity AS DECIMAL(38,6))", None)},
         CAST(SUM(num_transactions) AS BIGINT) FROM summary_monthly
       UNION ALL SELECT 'summary_product', {money("CAST(total_revenue AS DECIMAL(38,2))")},
         {money("CAST(total_profit AS DECIMAL(38,2))")},
-        {money("CAST(total_quantity AS DECIMAL(38,4))", None)},
+        {money("CAST(total_quantity AS DECIMAL(38,6))", None)},
         CAST(SUM(num_transactions) AS BIGINT) FROM summary_product""",
 }
 
@@ -525,6 +538,7 @@ def _edge(body: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    from ..sinks.writers import STAR_TABLES
     from .bundle import CUBE_DIMENSION_LABELS, CUBE_MEASURE_NAMES, QUERY_TEXTS
     q = dict(QUERIES)
     q["scan_star"] = (f"{STAR_JOIN}, f.sales_id FROM fact_sales f "
@@ -550,7 +564,8 @@ def oracle_sql() -> dict[str, str]:
     q["cube_metadata"] = (
         f"SELECT 'sales cube' AS cube_name, '{', '.join(CUBE_DIMENSION_LABELS)}' AS dimensions, "
         f"'{', '.join(CUBE_MEASURE_NAMES)}' AS measures, "
-        "(SELECT min(month_name) || ' - ' || max(month_name) FROM dim_month) AS period, "
+        "(SELECT arg_min(month_name, month_id) || ' - ' || arg_max(month_name, month_id) "
+        "FROM dim_month) AS period, "
         "(SELECT COUNT(*) FROM (SELECT DISTINCT month_name, product_name, package_size "
         "FROM cube_joined)) AS total_cells")
     q["best_members"] = " UNION ALL ".join([
@@ -574,6 +589,27 @@ def oracle_sql() -> dict[str, str]:
         _fk("summary_monthly", "month_id", "dim_month", "month_id"),
         _fk("summary_product", "product_id", "dim_product", "product_id")])
         + ") t(child_table, column_name, parent_table, orphan_rows)")
-    for name in ("fact_sales", "star_build", "scan_star", "star_join", "clean_transactions"):
+    q["list_sources"] = "SELECT DISTINCT sheet AS source FROM raw_monthly"
+    q["stored_summary_monthly"] = "SELECT * FROM summary_monthly"
+    q["stored_summary_product"] = "SELECT * FROM summary_product"
+    for t in ("dim_product", "dim_month", "fact_sales", "summary_monthly"):
+        q[f"export_{t}"] = f"SELECT * FROM {t}"
+    for qid, _, _ in QUERY_TEXTS:
+        q[f"query_export_{qid}"] = QUERIES[qid]
+    q["cube_export_back"] = q["cube"]
+    dashboard = {**{t: f"SELECT * FROM {t}" for t in STAR_TABLES}, "kpis": QUERIES["kpis"],
+                 "product_revenue": QUERIES["revenue_by_product"],
+                 "size_revenue": QUERIES["revenue_by_size"], "daily_trend": QUERIES["daily_trend"],
+                 "top_records": q["top_records"]}
+    q["export_dashboard"] = ("SELECT * FROM (VALUES " + ", ".join(
+        f"('{name}', {_count(body)})" for name, body in dashboard.items()) + ") t(dataset, rows)")
+    for name in ("fact_sales", "star_build", "scan_star", "star_join", "clean_transactions",
+                 "export_fact_sales"):
         q[name] = _edge(q[name])
-    return {name: _q(body) for name, body in q.items()}
+    out = {name: _q(body) for name, body in q.items()}
+    for name in ("cube_metadata", "kpis", "summary_monthly"):
+        out[f"{name}_named"] = NAMED_PREFIX + q[name]
+    out["check_month_named"] = NAMED_PREFIX + q["check_month"].replace(
+        "month(CAST(dm.month_name || '-01' AS DATE))",
+        "(CASE dm.month_name WHEN 'June' THEN 6 WHEN 'July' THEN 7 ELSE 8 END)")
+    return out

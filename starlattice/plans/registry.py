@@ -30,8 +30,8 @@ from ..session import scratch_path
 from ..sinks import writers
 from ..sources import fixtures, readers
 from ..spec import DEFAULT_SPEC
-from .bundle import cube_metadata, query_bundle
-from .star import Star, fixture_star, star_from_tables
+from .bundle import QUERY_TEXTS, cube_metadata, dashboard_datasets, query_bundle
+from .star import Star, fixture_star, named_star, star_from_tables
 
 # Parameters of the OLAP report queries (the member values are the feature).
 SLICE_MONTH = "1998-07"
@@ -110,8 +110,7 @@ def scan_monthly(spark, sf_dir):
 def union_monthly(spark, sf_dir):
     from functools import reduce
     sheets = [readers.read_monthly(spark, [p]) for p in _staged_monthly(spark, sf_dir)]
-    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sheets)
-    return rename_positional(both, MONTHLY_COLUMNS)
+    return reduce(DataFrame.unionByName, sheets)
 
 
 def clean_monthly_q(spark, sf_dir):
@@ -147,29 +146,77 @@ def clean_catalogue_q(spark, sf_dir):
     return star_for(spark, sf_dir).catalogue.drop("_row")
 
 
+def _written(spark, sf_dir) -> Star:
+    """The star written (K1) and opened again (S7), once per application."""
+    key = ("written", spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _STARS:
+        star = star_for(spark, sf_dir)
+        root = scratch_path(spark, "warehouse")
+        writers.write_star(star, root)
+        _STARS[key] = (star_from_tables(readers.read_star(spark, root), star.spec),
+                       readers.read_star(spark, root))
+    return _STARS[key][0]
+
+
 def scan_star(spark, sf_dir):
-    """Write the star (K1), open it again (S7) and denormalize it."""
-    star = star_for(spark, sf_dir)
-    root = scratch_path(spark, "warehouse")
-    writers.write_star(star, root)
-    back = star_from_tables(readers.read_star(spark, root), star.spec)
+    """The written star, opened again and denormalized."""
+    back = _written(spark, sf_dir)
     return at_edge(O.denormalize(back, back.fact).drop("month_key"))
 
 
 def star_roundtrip(spark, sf_dir):
-    """Rows and money totals of each table after a write and read-back."""
-    star = star_for(spark, sf_dir)
-    root = scratch_path(spark, "warehouse")
-    writers.write_star(star, root)
-    tables = readers.read_star(spark, root)
+    """Rows of each table after a write and read-back."""
     from functools import reduce
+    _written(spark, sf_dir)
+    tables = _STARS[("written", spark.sparkContext.applicationId, sf_dir.rstrip("/"))][1]
     parts = [df.agg(F.count(F.lit(1)).alias("rows"))
                .select(F.lit(name).alias("table_name"), "rows") for name, df in tables.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _stored(table: str):
+    """A stored summary, as read back from the written star."""
+    return lambda spark, sf_dir: _written(spark, sf_dir).stored[table]
+
+
+def _named(fn: Callable[[Star], DataFrame]):
+    """The query over the star with three named months."""
+    def run(spark, sf_dir):
+        key = ("named", spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        if key not in _STARS:
+            _STARS[key] = named_star(star_for(spark, sf_dir))
+        return fn(_STARS[key])
+    return run
+
+
+def export_dashboard(spark, sf_dir):
+    """Write the dashboard's eleven datasets; rows of each, read back."""
+    from functools import reduce
+    back = writers.export_dashboard(dashboard_datasets(star_for(spark, sf_dir)),
+                                    scratch_path(spark, "dashboard"))
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("dataset"), "rows")
+        for name, df in back.items()])
+
+
+def _query_back(query_id: str):
+    """One result of the query bundle, written as JSON and read back."""
+    def run(spark, sf_dir):
+        item = next(x for x in query_bundle(star_for(spark, sf_dir)) if x["id"] == query_id)
+        path = scratch_path(spark, "query-export")
+        writers.export_queries([item], path)
+        return readers.read_bundle(spark, f"{path}/{query_id}", item["df"].schema)
+    return run
+
+
+def cube_export_back(star):
+    """The cube written by slice (K4) and read back."""
+    return writers.export_cube(_cube(star), scratch_path(star.spark, "cube-export"))
+
+
 def star_build(spark, sf_dir):
-    return at_edge(star_for(spark, sf_dir).fact)
+    """The fact of the whole built warehouse, written and read back."""
+    return at_edge(_written(spark, sf_dir).fact)
 
 
 def _export_back(table: str):
@@ -177,7 +224,8 @@ def _export_back(table: str):
         star = star_for(spark, sf_dir)
         path = scratch_path(spark, "export")
         writers.export_tables({table: star.table(table)}, path)
-        return readers.read_bundle(spark, f"{path}/{table}", star.table(table).schema)
+        back = readers.read_bundle(spark, f"{path}/{table}", star.table(table).schema)
+        return at_edge(back)
     return run
 
 
@@ -189,17 +237,16 @@ def query_catalogue(spark, sf_dir):
 
 
 def list_sources_q(spark, sf_dir):
-    """The staged monthly sheets found under their folder (S6): files and bytes."""
+    """The staged monthly sheets found under their folder."""
     root = _staged_monthly(spark, sf_dir)[0].rsplit("/", 1)[0]
     files = readers.list_sources(spark, root).where(F.col("path").endswith(".parquet"))
-    return files.groupBy("source").agg(F.count(F.lit(1)).alias("files"),
-                                       F.sum("length").alias("bytes"))
+    return files.select("source").distinct()
 
 
 def audit(spark, sf_dir):
     star = star_for(spark, sf_dir)
     return Q.audit_counts({
-        "raw_master": scan_transactions(spark, sf_dir),
+        "raw_master": readers.read_transactions(spark, star.raw_path),
         "master_clean": star.master,
         "catalogue_clean": star.catalogue,
         "dim_date": star.dim_date,
@@ -320,11 +367,11 @@ def star_join(star):
 
 def cube_metadata_q(star):
     """Write the cube by slice with its metadata (K4); return the metadata read back."""
-    cube = _cube(star)
-    meta = cube_metadata(cube, star)
     path = scratch_path(star.spark, "cube-export")
-    writers.export_cube(cube, meta, path)
-    return star.spark.read.schema(meta.schema).json(f"{path}/metadata")
+    cube = writers.export_cube(_cube(star), path)
+    meta = writers.export_metadata(cube_metadata(cube, star), path)
+    lists = [F.array_join(c, ", ").alias(c) for c in ("dimensions", "measures")]
+    return meta.select("cube_name", *lists, "period", "total_cells")
 
 
 # --- checks ------------------------------------------------------------------
@@ -338,16 +385,13 @@ def check_pk(star):
 
 
 def check_fk(star):
-    from functools import reduce
-    f = star.fact
-    links = [(f, "date_id", "dim_date", "date_id", "fact_sales"),
-             (f, "product_id", "dim_product", "product_id", "fact_sales"),
-             (f, "month_id", "dim_month", "month_id", "fact_sales"),
-             (star.summary_monthly, "month_id", "dim_month", "month_id", "summary_monthly"),
-             (star.summary_product, "product_id", "dim_product", "product_id", "summary_product")]
-    return reduce(DataFrame.unionByName, [
-        Q.check_foreign_key(child, col, star.dim(parent), pkey, cname, parent)
-        for child, col, parent, pkey, cname in links])
+    links = [(k, star.dim(d), k, d) for k, d in (("date_id", "dim_date"), ("product_id", "dim_product"),
+                                                 ("month_id", "dim_month"))]
+    return (Q.check_foreign_keys(star.measures, links, "fact_sales")
+            .unionByName(Q.check_foreign_key(star.summary_monthly, "month_id", star.dim("dim_month"),
+                                             "month_id", "summary_monthly", "dim_month"))
+            .unionByName(Q.check_foreign_key(star.summary_product, "product_id", star.dim("dim_product"),
+                                             "product_id", "summary_product", "dim_product")))
 
 
 def check_not_null(star):
@@ -373,7 +417,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_star": scan_star,
         "star_roundtrip": star_roundtrip,
         "export_summary_product": _export_back("summary_product"),
-        "export_dim_date": _export_back("dim_date"),
+        **{f"export_{t}": _export_back(t) for t in ("dim_date", "dim_product", "dim_month",
+                                                    "fact_sales", "summary_monthly")},
+        "export_dashboard": export_dashboard,
+        "stored_summary_monthly": _stored("summary_monthly"),
+        "stored_summary_product": _stored("summary_product"),
+        **{f"query_export_{qid}": _query_back(qid) for qid, _, _ in QUERY_TEXTS},
+        "cube_export_back": s(cube_export_back),
+        "cube_metadata_named": _named(cube_metadata_q),
+        "check_month_named": _named(Q.check_month_agreement),
+        "kpis_named": _named(A.kpis),
+        "summary_monthly_named": _named(lambda st: st.summary_monthly),
         "query_catalogue": query_catalogue,
         "cube_metadata": s(cube_metadata_q),
         "audit_counts": audit,
@@ -449,7 +503,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_fk": s(check_fk),
         "check_not_null": s(check_not_null),
         "check_month": s(Q.check_month_agreement),
-        "reconcile": s(Q.reconcile),
+        "reconcile": lambda spark, sf_dir: Q.reconcile(_written(spark, sf_dir)),
         # streaming
         "stream_summary_monthly": stream_summary_monthly,
     }
