@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlattice.llm.common import is_empty, materialize, ship_with_tasks
+from starlattice.llm.common import is_empty, materialize, ship_with_tasks, text_or_empty
 
 ship_with_tasks(sys.modules[__name__])
 
@@ -70,16 +70,17 @@ def fingerprint(text: str, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): fp holds the 64 bits as a long."""
+    """(doc_id, text_hash, fp): fp holds the 64 bits as a long."""
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            fps = np.array([fingerprint(t or "", shingle_words) for t in batch.column(1).to_pylist()],
+            fps = np.array([fingerprint(t, shingle_words) for t in batch.column(2).to_pylist()],
                            np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)],
+                                             ["doc_id", "text_hash", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(batches, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_hash"),
+                       text_or_empty().alias("text"))
+    return rows.mapInArrow(batches, "doc_id long, text_hash long, fp long")
 
 
 # ---- self-join over the trie
@@ -271,24 +272,32 @@ def component_roots(links: DataFrame) -> DataFrame:
         state = tuple(now)
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-                    node_rows: int = NODE_ROWS) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
+def _labelled(docs: DataFrame, shingle_words: int, max_bits: int, node_rows: int) -> DataFrame:
+    """One row per document: doc_id, text_hash, fp, root (one fingerprint for each component), component_id."""
     fps = materialize(fingerprints(docs, shingle_words), "fingerprints")
     classes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-classes")
     roots = component_roots(near_links(classes.select("fp"), max_bits, node_rows))
     rooted = materialize(classes.join(roots, classes["fp"] == roots["node"], "left")
                          .select("fp", "rep", F.coalesce("root", "fp").alias("root")), "fingerprint-roots")
     lowest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = materialize(rooted.join(lowest, "root").select("fp", "component_id"), "fingerprint-components")
-    return (fps.join(named, "fp")
+    named = materialize(rooted.join(lowest, "root").select("fp", "root", "component_id"), "fingerprint-components")
+    return fps.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                    node_rows: int = NODE_ROWS) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
+    return (_labelled(docs, shingle_words, max_bits, node_rows)
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents with the smallest doc_id of their component, with all their columns."""
-    kept = (near_duplicates(docs, shingle_words, max_bits)
-            .filter("doc_id = component_id or component_id is null").select(F.col("doc_id").alias("__id")).distinct())
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__id"]))
-    # of repeated rows with one doc_id, one stays
-    return out.dropDuplicates(["__id"]).select(*[out[f"`{c}`"] for c in docs.columns])
+def drop_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                         node_rows: int = NODE_ROWS) -> DataFrame:
+    """One document of each component, with all its columns: the one with the smallest doc_id (null after all
+    numbers), of several texts under that doc_id the one with the smallest hash, of repeated rows any one."""
+    kept = (_labelled(docs, shingle_words, max_bits, node_rows).groupBy("root")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
+            .select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash")))
+    out = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["__id"])
+                    & (F.xxhash64(text_or_empty(docs["text"])) == kept["__hash"]))
+    return out.dropDuplicates(["__id", "__hash"]).select(*[out[f"`{c}`"] for c in docs.columns])
