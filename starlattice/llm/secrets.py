@@ -55,7 +55,7 @@ RULES = [
     ("pem", 1, _least(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----)?",
                       "PRIVATE KEY-----")),
     ("github", 1, _least(r"gh[opsur]_[A-Za-z0-9]{36,}", "gh")),
-    ("jwt", 1, _least(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", "eyJ")),
+    ("jwt", 2, _least(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", "eyJ")),
 ]
 BASE = ("assign", "access", "hex")
 LEDGER = "blob binary, rules array<string>, findings array<struct<start:int,place:int,end:int,rule:string>>"
