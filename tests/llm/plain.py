@@ -100,9 +100,9 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def op6(docs, bits=2):
-    fps = [(d, fingerprint(t)) for d, t in docs]
-    keys = sorted({f for _, f in fps})
+def op6_roots(docs, bits=2):
+    """For each fingerprint one fingerprint of its component."""
+    keys = sorted({fingerprint(t) for _, t in docs})
     at = {f: f for f in keys}
 
     def root(f):
@@ -114,11 +114,17 @@ def op6(docs, bits=2):
         for b in keys[:i]:
             if (a ^ b).bit_count() <= bits:
                 at[root(a)] = root(b)
+    return {f: root(f) for f in keys}
+
+
+def op6(docs, bits=2):
+    root = op6_roots(docs, bits)
+    fps = [(d, fingerprint(t)) for d, t in docs]
     low = defaultdict(list)
     for d, f in fps:
-        low[root(f)].append(d)
+        low[root[f]].append(d)
     low = {r: min((d for d in ids if d is not None), default=None) for r, ids in low.items()}
-    return [(d, f"{f:016x}", low[root(f)]) for d, f in fps]
+    return [(d, f"{f:016x}", low[root[f]]) for d, f in fps]
 
 
 def op7(docs, least=50):

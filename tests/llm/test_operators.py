@@ -168,6 +168,15 @@ def test_ledger_scans_unseen_pairs_only(spark, tmp_path, monkeypatch):
     assert got == {1: "assign:0:12", 2: "assign:0:12", 3: "", 4: "access:0:20"}
 
 
+def test_added_rules_take_linear_time():
+    import time
+
+    began = time.monotonic()
+    for text in ("eyJ" * 100_000, "-----BEGIN " + "A " * 100_000, "gh" * 200_000, "token" + " " * 400_000):
+        assert secrets.scan_text(text, {f"{k}@{v}" for k, v, _ in secrets.RULES}) == []
+    assert time.monotonic() - began < 20
+
+
 def test_token_counts(docs):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -223,12 +232,23 @@ def test_components_of_a_long_chain(spark):
     assert len(got) == 199 and {r["root"] for r in got} == {0}
 
 
-def test_drop_near_duplicates(tables):
-    docs = tables["hard"]
-    out = simhash.drop_near_duplicates(docs)
+@pytest.mark.parametrize("node_rows", [simhash.NODE_ROWS, 2])
+def test_drop_near_duplicates(docs, node_rows):
+    out = simhash.drop_near_duplicates(docs, node_rows=node_rows)
     assert out.columns == docs.columns
-    left = [r["doc_id"] for r in out.select("doc_id").collect()]
-    assert sorted(left, key=repr) == sorted({c for _, _, c in plain.op6(pairs(docs))}, key=repr)
+    # one row of each component, with its smallest doc_id; fingerprints tell the components apart
+    root = plain.op6_roots(pairs(docs))
+    left = sorted(((root[plain.fingerprint(r["text"])], r["doc_id"]) for r in out.collect()), key=repr)
+    low = {}
+    for d, t in pairs(docs):
+        low.setdefault(root[plain.fingerprint(t)], []).append(d)
+    assert left == sorted(((f, min((d for d in ids if d is not None), default=None)) for f, ids in low.items()), key=repr)
+
+
+def test_drop_near_duplicates_keeps_other_texts_of_null_and_repeated_ids(spark):
+    rows = [(None, "a b c"), (None, "d e f"), (None, "d e f"), (1, "g h i"), (1, "j k l"), (1, "j k l"), (2, "j k l")]
+    out = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, out), key=repr) == sorted({(None, "a b c"), (None, "d e f"), (1, "g h i"), (1, "j k l")}, key=repr)
 
 
 @pytest.mark.parametrize("bucket_bytes", [suffix_dedup.BUCKET_BYTES, 3000])
@@ -237,6 +257,23 @@ def test_remove_repeats(docs, bucket_bytes):
     same(out, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], plain.op7(pairs(docs)))
 
 
+@pytest.mark.parametrize("bucket_bytes", [suffix_dedup.BUCKET_BYTES, 3000])
+def test_remove_repeats_of_runs_within_and_across_documents(spark, bucket_bytes):
+    rows = [(3, "a" * 400 + "x" + "a" * 200), (7, "b" + "a" * 130), (5, "ab" * 90 + "a" * 70), (5, "ab" * 40), (2, "ba" * 60),
+            (None, "a" * 55 + "ab" * 30), (9, "-" * 49 + "a" * 51), (4, " word" * 300), (8, "word " * 120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = suffix_dedup.remove_repeats(docs, bucket_bytes=bucket_bytes)
+    same(out, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], plain.op7(rows))
+
+
+def test_long_runs_travel_as_their_places():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([0]), pa.array(["a" * 100_000])], ["doc_id", "mark", "text"])
+    sent = [row for out in suffix_dedup._send(50, 4)(iter([batch])) for row in out.to_pylist()]
+    assert sum(len(suffix_dedup._unpack(row["bytes"], "u1")) for row in sent) < 1000
+
+
 def test_remove_repeats_by_segments(tables, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", 777)
     docs = tables["hard"].filter("length(text) < 9000 or text is null")
