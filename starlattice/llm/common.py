@@ -28,8 +28,16 @@ def ascii_lower(text: Column) -> Column:
             .otherwise(F.translate(text, UPPER, UPPER.lower())))
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that docs does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.limit(1).count()
 
 
-__all__ = ["ascii_lower", "is_empty", "materialize", "ship_with_tasks", "text_or_empty"]
+__all__ = ["ascii_lower", "is_empty", "materialize", "ship_with_tasks", "text_or_empty", "unused"]

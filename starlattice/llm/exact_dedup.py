@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlattice.llm.common import ascii_lower, is_empty, materialize, text_or_empty
+from starlattice.llm.common import ascii_lower, is_empty, materialize, text_or_empty, unused
 
 BLOCK_CHARS = 4096
 
@@ -118,10 +118,10 @@ def exact_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFra
 
 def drop_exact_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents that stay, with all their columns."""
+    of_id, of_sha, own = (unused(docs, name) for name in ("__id", "__sha", "__own"))
     kept = (exact_duplicates(docs, block_chars).filter("kept")
-            .select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha")))
-    sha = F.unhex(F.sha2(ascii_lower(text_or_empty()), 256))
-    rows = docs.withColumn("__own", sha)
-    out = rows.join(kept, rows["doc_id"].eqNullSafe(kept["__id"]) & (rows["__own"] == kept["__sha"]))
+            .select(F.col("doc_id").alias(of_id), F.unhex("text_sha256").alias(of_sha)))
+    rows = docs.withColumn(own, F.unhex(F.sha2(ascii_lower(text_or_empty()), 256)))
+    out = rows.join(kept, rows["doc_id"].eqNullSafe(kept[of_id]) & (rows[own] == kept[of_sha]))
     # repeated rows of one doc_id share a digest; one of them stays
-    return out.dropDuplicates(["__id", "__sha"]).select(*[out[f"`{c}`"] for c in docs.columns])
+    return out.dropDuplicates([of_id, of_sha]).select(*[out[f"`{c}`"] for c in docs.columns])

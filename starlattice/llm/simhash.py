@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlattice.llm.common import is_empty, materialize, ship_with_tasks, text_or_empty
+from starlattice.llm.common import is_empty, materialize, ship_with_tasks, text_or_empty, unused
 
 ship_with_tasks(sys.modules[__name__])
 
@@ -295,9 +295,10 @@ def drop_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, ma
                          node_rows: int = NODE_ROWS) -> DataFrame:
     """One document of each component, with all its columns: the one with the smallest doc_id (null after all
     numbers), of several texts under that doc_id the one with the smallest hash, of repeated rows any one."""
+    of_id, of_hash = unused(docs, "__id"), unused(docs, "__hash")
     kept = (_labelled(docs, shingle_words, max_bits, node_rows).groupBy("root")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
-            .select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash")))
-    out = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["__id"])
-                    & (F.xxhash64(text_or_empty(docs["text"])) == kept["__hash"]))
-    return out.dropDuplicates(["__id", "__hash"]).select(*[out[f"`{c}`"] for c in docs.columns])
+            .select(F.col("first.doc_id").alias(of_id), F.col("first.text_hash").alias(of_hash)))
+    out = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept[of_id])
+                    & (F.xxhash64(text_or_empty(docs["text"])) == kept[of_hash]))
+    return out.dropDuplicates([of_id, of_hash]).select(*[out[f"`{c}`"] for c in docs.columns])

@@ -349,3 +349,17 @@ def test_toxicity_flipped_held_out_labels_change_nothing(spark, tables):
 def test_toxicity_without_labels(spark, tables):
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.toxicity(tables["hard"], labels).collect()} == {0.0}
+
+
+def test_filters_of_tables_whose_columns_clash(spark):
+    names = ["__id", "__hash", "__sha", "__own", "text_hash", "fp", "root", "again"]
+    rows = [(i, t, *range(len(names))) for i, t in enumerate(["you stupid idiot", "A b c", "a B c", "x y z", None, ""])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    labels = spark.createDataFrame([(1, None)], "doc_id long, toxic int")
+    bench = spark.createDataFrame([("i", "x y z")], "item_id string, text string")
+    outs = [(toxicity.drop_toxic(docs, labels), [0, 1, 2, 3, 4, 5]), (exact_dedup.drop_exact_duplicates(docs), [0, 2, 3, 5]),
+            (simhash.drop_near_duplicates(docs), [0, 1, 3, 4]), (decontam.drop_contaminated(docs, bench), [0, 1, 2, 4, 5])]
+    for out, ids in outs:
+        assert out.columns == docs.columns
+        got = sorted(tuple(r) for r in out.collect())
+        assert [r[0] for r in got] == ids and all(r[2:] == tuple(range(len(names))) for r in got)
