@@ -38,6 +38,7 @@ ship_with_tasks(sys.modules[__name__])
 
 THRESHOLD = 0.7
 SAMPLE_ROWS = 20_000
+SAMPLE_GRAIN = 1 << 53  # so fine that the share of any number of labels is met
 MAX_FEATURES = 4096
 PREFIXES = (4, 5, 6)
 G_LEAST = 30.0
@@ -142,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ma
              .groupBy("id").agg(F.max("toxic").alias("toxic")))
     share = sample_rows / max(1, marks.count())
     if share < 1:
-        marks = marks.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < int(share * 1_000_003))
+        marks = marks.filter(F.pmod(F.xxhash64("id"), F.lit(SAMPLE_GRAIN)) < int(share * SAMPLE_GRAIN))
     # about sample_rows rows of two numbers, whatever the input's size
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("text"))
     sample = materialize(rows.join(F.broadcast(materialize(marks, "toxicity-labels")), "id")

@@ -363,3 +363,13 @@ def test_filters_of_tables_whose_columns_clash(spark):
         assert out.columns == docs.columns
         got = sorted(tuple(r) for r in out.collect())
         assert [r[0] for r in got] == ids and all(r[2:] == tuple(range(len(names))) for r in got)
+
+
+def test_toxicity_sample_keeps_its_size(spark, monkeypatch):
+    labels = spark.range(50_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    docs = labels.select("doc_id", F.lit("some words").alias("text"))
+    sizes = []
+    monkeypatch.setattr(toxicity, "significant_features", lambda sample, most: sizes.append(sample.count()) or [])
+    for rows in (300, 3000):
+        toxicity.train(docs, labels, sample_rows=rows)
+    assert 240 <= sizes[0] <= 360 and 2800 <= sizes[1] <= 3200
