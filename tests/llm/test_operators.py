@@ -274,6 +274,38 @@ def test_long_runs_travel_as_their_places():
     assert sum(len(suffix_dedup._unpack(row["bytes"], "u1")) for row in sent) < 1000
 
 
+def bordered_passage(n):
+    """Documents with one passage in common and other text around it, every third with one more line in common."""
+    rnd = random.Random(11)
+    text = lambda k: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(k))
+    passage, line = text(391), text(90)
+    return [(i, text(rnd.randrange(20, 200)) + passage + (line if i % 3 == 0 else "") + text(rnd.randrange(20, 200))) for i in range(n)]
+
+
+@pytest.mark.parametrize("hot", [32, 2])
+def test_remove_repeats_deals_hot_anchors_by_window(spark, tables, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "SAMPLE", 1)
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    rows = bordered_passage(200) + [(7, "a" * 300), (None, "a" * 90), (7, "a" * 70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    same(suffix_dedup.remove_repeats(docs, bucket_bytes=3000), columns, plain.op7(rows))
+    same(suffix_dedup.remove_repeats(tables["hard"], bucket_bytes=3000), columns, plain.op7(pairs(tables["hard"])))
+
+
+def test_borders_of_a_common_passage_spread_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SAMPLE", 1, raising=False)
+    held, real = [], suffix_dedup._send
+    monkeypatch.setattr(suffix_dedup, "_send", lambda least, buckets, *hot: held.append(real(least, 1 << 20, *hot)) or real(least, buckets, *hot))
+    rows = [(d, 0, t) for d, t in bordered_passage(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, mark long, text string")
+    suffix_dedup.repeated_ranges(docs)
+    sizes = defaultdict(int)
+    for r in docs.coalesce(1).mapInArrow(held[0], suffix_dedup.BLOCK).filter("bucket >= 0").collect():
+        sizes[r["bucket"]] += len(suffix_dedup._unpack(r["lens"], "u1"))
+    assert max(sizes.values()) < 64  # 499 when an anchor's stretches all meet
+
+
 def test_remove_repeats_by_segments(tables, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", 777)
     docs = tables["hard"].filter("length(text) < 9000 or text is null")
