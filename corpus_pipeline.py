@@ -42,7 +42,7 @@ STAGES = [
     ("mixing", _mixing),
 ]
 
-#: training and trie join are not expressible in SQL; tests/llm compares each stage with a plain version
+#: training and trie join are not expressible in SQL; tests/llm/test_pipeline.py compares each stage with a plain version
 ORACLE_SQL = None
 
 

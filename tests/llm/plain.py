@@ -167,6 +167,20 @@ def targets(docs, weights=(5, 2, 1), share=1.5, cap=2):
         full |= over
 
 
+def op8(docs, cap=2):
+    """Source by source, documents in order of their key."""
+    out, of = [], targets(docs, cap=cap)
+    for source, (source_size, target) in of.items():
+        rows = [(hashlib.md5((str(d) if d is not None else t or "").encode()).hexdigest(), d is not None, d or 0,
+                 len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), d) for d, t, s in docs if s == source]
+        start = 0
+        for _, _, _, size, d in sorted(rows, key=lambda r: r[:4]):
+            taken = sum(max(0, min(size, int(target) - copy * source_size - start)) for copy in range(cap))
+            out.append((d, source, size, source_size, target, (start + size) / target if target else None, taken))
+            start += size
+    return out
+
+
 def op9(turns):
     convs = defaultdict(list)
     for conv, turn, role, text in turns:
