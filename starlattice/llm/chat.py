@@ -8,7 +8,9 @@ Every assistant turn is an example of its own: all preceding turns, and the head
 context, and only its reply is trainable. An example holds its context as the length of a prefix of the
 conversation's text, and its target as a range that follows it. Written out, the contexts of a
 conversation take the square of its turns, which for one with a third of all rows no cluster holds;
-``written_examples`` writes them out for those who want that.
+``written_examples`` writes them out for those who want that. ``targets`` expands to one row per example and
+reads each target from the text by its range alone; ``read_back`` takes the loss from those rows. The text is cut once
+into parts of ``PART`` characters, so that a range is read without counting from the text's start.
 
 Defined results: null text and null role count as empty; null turns come first, equal turns go by
 role and text, and repeated rows are turns of their own. Rows without a conv_id are one conversation. A
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 TRAINABLE = "assistant"
 END = "</turn>\n"
+PART = 1000
 ESCAPES = (("\\", "\\b"), ("<", "\\l"), ("#", "\\h"))
 ROLE_ESCAPES = (*ESCAPES, (":", "\\c"))
 
@@ -78,6 +81,22 @@ def written_examples(formatted: DataFrame) -> DataFrame:
                     F.expr("substring(formatted, e.context + 1, e.target_end - e.context)").alias("target")))
 
 
+def targets(formatted: DataFrame, *keep: str) -> DataFrame:
+    """One row per example: conv_id, keep, example, turns, context, target_end and target, the characters of the
+    range; a conversation without examples gives one row whose example is null."""
+    number = lambda place: F.floor(place / PART)
+
+    def read(parts: Column, e: Column) -> Column:
+        met = F.transform(F.sequence(number(e["context"]), number(e["target_end"])), lambda k: F.get(parts, k.cast("int")))
+        return F.substr(F.array_join(met, ""), (e["context"] % PART + 1).cast("int"), (e["target_end"] - e["context"]).cast("int"))
+
+    # the text's parts are bound to a name, so that they are made once and not per example
+    parts = F.array(F.regexp_extract_all("formatted", F.lit("(?s).{1,%d}" % PART), F.lit(0)))
+    read_all = F.element_at(F.transform(parts, lambda p: F.transform("examples", lambda e: e.withField("target", read(p, e)))), 1)
+    return (formatted.select("conv_id", *keep, F.posexplode_outer(read_all).alias("example", "e"))
+            .select("conv_id", *keep, "example", "e.turns", "e.context", "e.target_end", "e.target"))
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of what the formatted texts hold: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
     formatted_chars."""
@@ -85,11 +104,15 @@ def read_back(formatted: DataFrame) -> DataFrame:
     head = lambda p: F.substring_index(p, ": ", 1)
     role = lambda p: unescape(F.substr(head(p), F.lit(len("### ") + 1)), ROLE_ESCAPES)
     text = lambda p: unescape(F.substr(p, F.char_length(head(p)) + 3))
-    rows = formatted.select("conv_id", F.char_length("formatted").cast("long").alias("formatted_chars"), "examples",
+    rows = formatted.select("conv_id", F.char_length("formatted").cast("long").alias("formatted_chars"), "formatted", "examples",
                             F.slice(pieces, F.lit(1), F.size(pieces) - 1).alias("pieces"))
-    rows = rows.withColumn("loss", F.array_join(F.transform(
-        "examples", lambda e: text(F.element_at("pieces", (e["turns"] + 1).cast("int")))), ""))
     turns = F.array_join(F.transform("pieces", lambda p: F.concat(role(p), F.lit("\n"), text(p), F.lit("\n"))), "")
-    return rows.select("conv_id", F.size("pieces").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
-                       F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
-                       "formatted_chars")
+    whole = ["n_turns", "turns_sha256", "formatted_chars"]
+    rows = rows.select("conv_id", F.size("pieces").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
+                       "formatted_chars", "formatted", "examples")
+    # one row per example from here on; the loss is what their target ranges hold
+    told = F.when(F.col("example").isNotNull(), F.struct("example", unescape(F.col("target")).alias("target")))
+    loss = F.array_join(F.transform(F.array_sort(F.collect_list(told)), lambda t: t["target"]), "")
+    return (targets(rows, *whole).groupBy("conv_id", *whole).agg(loss.alias("loss"))
+            .select("conv_id", "n_turns", "turns_sha256", F.char_length("loss").cast("long").alias("loss_chars"),
+                    F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars"))

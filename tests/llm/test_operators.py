@@ -349,6 +349,20 @@ def test_chat_round_trip(spark):
             assert r["prompt"].endswith("### assistant: ") and "<" not in r["target"]
 
 
+def test_chat_loss_is_read_through_the_target_ranges(spark):
+    rnd = random.Random(2)
+    rows = [(c, t, "assistant" if t % 2 else "user", "".join(rnd.choice("ab<#\\é世😀") for _ in range(rnd.choice((0, 3, 300, 2500)))))
+            for c in range(3) for t in range(40)]
+    formatted = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    same(chat.read_back(formatted), ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256"], plain.op9(rows))
+    written = chat.written_examples(formatted).select("conv_id", "example", "target")
+    same(chat.targets(formatted), ["conv_id", "example", "target"], [tuple(r) for r in written.collect()])
+    right = {r["conv_id"]: r["loss_sha256"] for r in chat.read_back(formatted).collect()}
+    for field, by in (("context", 1), ("target_end", 3)):
+        moved = formatted.withColumn("examples", F.transform("examples", lambda e: e.withField(field, e[field] + by)))
+        assert all(r["loss_sha256"] != right[r["conv_id"]] for r in chat.read_back(moved).collect())
+
+
 def test_toxicity_learns_from_training_folds_only(spark, docs):
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     out = toxicity.toxicity(docs, labels).collect()
