@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlattice.llm import chat, decontam, exact_dedup, mixing, pii, secrets, simhash, suffix_dedup, tokens, toxicity
+from starlattice.llm.common import materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +20,9 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans")
+    hits = decontam.benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), with_clean_text=True)
+    # the texts without their spans are written with the verdicts; the contract's columns hold no text
+    return materialize(hits.drop("spans"), "decontaminated").drop("clean_text")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

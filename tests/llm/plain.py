@@ -75,6 +75,26 @@ def op2(docs, items):
     return out
 
 
+def op2_clean(docs, items):
+    """(doc_id, text without its marked runs of words and what stands between their words)."""
+    windows = {tuple(w[i:i + 13]) for _, t in items if (w := words13(t)) for i in range(max(1, len(w) - 12))}
+    out = []
+    for doc_id, text in docs:
+        text = text or ""
+        w = [m.span() for m in re.finditer("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOWER))]
+        x = words13(text)
+        spans = {(i, i + k) for k in {len(v) for v in windows} for i in range(len(x) - k + 1) if tuple(x[i:i + k]) in windows}
+        gone = bytearray(len(text))
+        for a, b in spans:
+            gone[w[a][0]:w[b - 1][1]] = b"\1" * (w[b - 1][1] - w[a][0])
+        # runs that touch leave nothing of what stands between them
+        for i in range(len(w) - 1):
+            if any(b == i + 1 for _, b in spans) and any(a == i + 1 for a, _ in spans):
+                gone[w[i][1]:w[i + 1][0]] = b"\1" * (w[i + 1][0] - w[i][1])
+        out.append((doc_id, "".join(c for c, g in zip(text, gone) if not g)))
+    return out
+
+
 def op3(docs):
     groups = defaultdict(list)
     for doc_id, text in docs:

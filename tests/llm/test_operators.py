@@ -9,7 +9,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from starlattice.llm import chat, decontam, exact_dedup, mixing, pii, secrets, simhash, suffix_dedup, tokens, toxicity
+from starlattice.llm import chat, decontam, exact_dedup, mixing, pii, queries, secrets, simhash, suffix_dedup, tokens, toxicity
 
 from . import plain
 
@@ -121,6 +121,22 @@ def test_clean_text_lacks_the_marked_words(spark):
     assert [r["doc_id"] for r in decontam.drop_contaminated(docs, bench).orderBy("doc_id").collect()] == [2, 3]
 
 
+def test_decontamination_query_writes_the_cleaned_texts(spark, tables, tmp_path, monkeypatch):
+    docs, bench = tables["hard"].select("doc_id", "text"), items(spark, tables["hard"])
+    for name, table in (("documents", docs), ("benchmark", bench)):
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    written, real = [], queries.materialize
+    monkeypatch.setattr(queries, "materialize", lambda df, name: written.append(real(df, name)) or written[-1])
+    out = queries.op2_decontamination(spark, str(tmp_path))
+    expected = plain.op2(pairs(docs), [tuple(r) for r in bench.collect()])
+    assert out.columns == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    same(out, out.columns, expected)
+    # what is left of a text are its words that no item has
+    texts = [tuple(r) for r in written[0].select("doc_id", "n_words", "n_hit", "clean_text").collect()]
+    assert all(len(plain.words13(t)) == n - hit for _, n, hit, t in texts)
+    same(written[0], ["doc_id", "clean_text"], plain.op2_clean(pairs(docs), [tuple(r) for r in bench.collect()]))
+
+
 @pytest.mark.parametrize("block", [exact_dedup.BLOCK_CHARS, 7])
 def test_exact_duplicates(docs, block):
     out = exact_dedup.exact_duplicates(docs, block)
