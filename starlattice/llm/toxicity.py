@@ -11,7 +11,8 @@ Those enter that are significantly more frequent in toxic training documents (G-
 at most ``max_features``, the most significant first).
 
 Training takes a bounded sample: about ``sample_rows`` labelled documents of the training folds, chosen
-by a hash of the doc_id, so reruns agree. Features are counted by the tasks that hold the sample; only the
+by a hash of the doc_id, so reruns agree. Where rows of a sampled doc_id have different texts, the one with the
+smallest XXH64 is trained on (of equal hashes the first text in order) and its other texts are not. Features are counted by the tasks that hold the sample; only the
 active features of its sentences meet in the one task that fits the weights. Scoring covers every
 whole text and shuffles nothing. Labels, lang, source and doc_id are no inputs of a score.
 
@@ -146,8 +147,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ma
         marks = marks.filter(F.pmod(F.xxhash64("id"), F.lit(SAMPLE_GRAIN)) < int(share * SAMPLE_GRAIN))
     # about sample_rows rows of two numbers, whatever the input's size
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("text"))
+    least = F.min(F.struct(F.xxhash64("text").alias("text_hash"), "text"))["text"]
     sample = materialize(rows.join(F.broadcast(materialize(marks, "toxicity-labels")), "id")
-                         .dropDuplicates(["id"]).select("id", "text", "toxic"), "toxicity-sample")
+                         .groupBy("id", "toxic").agg(least.alias("text")).select("id", "text", "toxic"), "toxicity-sample")
     features = significant_features(sample, max_features)
     if not features:
         return {}

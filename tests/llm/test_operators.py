@@ -427,6 +427,20 @@ def test_filters_of_tables_whose_columns_clash(spark):
         assert [r[0] for r in got] == ids and all(r[2:] == tuple(range(len(names))) for r in got)
 
 
+def test_toxicity_trains_on_one_text_of_repeated_ids_in_any_order(spark, monkeypatch):
+    import xxhash
+
+    rows = [(i % 20, f"text {i}") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    samples = []
+    monkeypatch.setattr(toxicity, "significant_features", lambda sample, most: samples.append(sorted(map(tuple, sample.collect()))) or [])
+    for order in (rows, rows[::-1], random.Random(1).sample(rows, len(rows))):
+        toxicity.train(spark.createDataFrame(order, "doc_id long, text string").coalesce(1), labels)
+    signed = lambda t: (h := xxhash.xxh64(t.encode(), seed=42).intdigest()) - (h >> 63 << 64)
+    trained = {d for d, *_ in samples[0]}
+    assert samples == 3 * [[(d, min((t for e, t in rows if e == d), key=signed), d % 2) for d in sorted(trained)]] and len(trained) > 5
+
+
 def test_toxicity_sample_keeps_its_size(spark, monkeypatch):
     labels = spark.range(50_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
     docs = labels.select("doc_id", F.lit("some words").alias("text"))
