@@ -349,6 +349,22 @@ def test_mixing(docs, bucket_rows):
     assert sorted(map(repr, again)) == sorted(map(repr, out))
 
 
+@pytest.mark.parametrize("bucket_rows", [mixing.BUCKET_ROWS, 5])
+def test_mixing_of_repeated_ids(spark, monkeypatch, bucket_rows):
+    rnd = random.Random(4)
+    rows = [(i, "w " * rnd.randrange(30), "abc"[i % 3]) for i in range(60)]
+    rows += [(7, "x y z", "b")] * 100 + [(7, "x", "b")] * 3 + [(None, None, "a")] * 50 + [(None, "", None)] * 2 + [(None, "v v", "c")] * 40
+    rnd.shuffle(rows)
+    written, real = {}, mixing.materialize
+    monkeypatch.setattr(mixing, "materialize", lambda df, name: written.setdefault(name, real(df, name)))
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), bucket_rows=bucket_rows).collect()
+    near = lambda row: tuple(pytest.approx(x) if isinstance(x, float) else x for x in row)
+    by = lambda r: (repr(r[1]), r[5] is None, r[5] or 0, repr(r[0]), r[2], r[6])
+    assert sorted(map(tuple, out), key=by) == [near(r) for r in sorted(plain.op8(rows), key=by)]
+    # what the windows sort: each kind of row once
+    assert written["mix-sizes"].count() == 60 + 5
+
+
 def test_chat_round_trip(spark):
     small = spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text")
     rows = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok"),
