@@ -1,4 +1,4 @@
-"""Operators for large-scale training-data pipelines (ten of them, one module each).
+"""Operators for large-scale training-data pipelines, one module each.
 
 Nothing else in the library imports this subpackage.
 """

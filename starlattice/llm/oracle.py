@@ -86,6 +86,38 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
 FROM d
 """
 
+COLLOCATIONS = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all({_NORM}, '[^.,;:!?\x0A-\x0D]+')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+spots AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+f1 AS (SELECT lang, w[i] AS p, count(*) AS f FROM spots GROUP BY ALL),
+f2 AS (SELECT lang, w[i] AS x, w[i + 1] AS y, count(*) AS f FROM spots WHERE i < len(w) GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z, count(*) AS f FROM spots WHERE i < len(w) - 1
+       GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (
+    SELECT t.lang, t.x || ' ' || t.y AS phrase, t.f AS a, 1 AS k, u.f AS l, v.f AS r
+    FROM f2 t JOIN f1 u ON u.lang = t.lang AND u.p = t.x JOIN f1 v ON v.lang = t.lang AND v.p = t.y
+    UNION ALL
+    SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 1, u.f, v.f
+    FROM f3 t JOIN f1 u ON u.lang = t.lang AND u.p = t.x JOIN f2 v ON v.lang = t.lang AND v.x = t.y AND v.y = t.z
+    UNION ALL
+    SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 2, u.f, v.f
+    FROM f3 t JOIN f2 u ON u.lang = t.lang AND u.x = t.x AND u.y = t.y JOIN f1 v ON v.lang = t.lang AND v.p = t.z),
+scored AS (SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+    SELECT lang, phrase, max(f) AS most FROM (
+        SELECT lang, x || ' ' || y AS phrase, f FROM f3 UNION ALL SELECT lang, y || ' ' || z, f FROM f3) GROUP BY ALL),
+kept AS (
+    SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+    WHERE i.most IS NULL OR 100 * i.most < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept),
+sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang)
+SELECT r.lang, rank, phrase, a, l, r.r, n, score FROM ranked r JOIN sizes s ON s.lang = r.lang WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": DECONTAMINATION, "op3_exact_dedup": EXACT_DEDUP, "op8_mixing": MIXING, "op9_chat": CHAT}
+    return {"op2_decontamination": DECONTAMINATION, "op3_exact_dedup": EXACT_DEDUP, "op8_mixing": MIXING, "op9_chat": CHAT,
+            "op12_collocations": COLLOCATIONS}

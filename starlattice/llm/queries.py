@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlattice.llm import chat, decontam, exact_dedup, mixing, pii, secrets, simhash, suffix_dedup, tokens, toxicity
+from starlattice.llm import chat, collocations, decontam, exact_dedup, mixing, pii, quality, repair, secrets, simhash, suffix_dedup, tokens, toxicity
 from starlattice.llm.common import materialize
 
 
@@ -68,6 +68,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.drop("offending", "text_hash")
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.conversation_repairs(_table(spark, sf_dir, "conversations"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,4 +88,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_pii, op2_decontamination, op3_exact_dedup, op4_secrets, op5_token_counts,
-                                    op6_simhash, op7_suffix_dedup, op8_mixing, op9_chat, op10_toxicity, pipeline)}
+                                    op6_simhash, op7_suffix_dedup, op8_mixing, op9_chat, op10_toxicity, op11_repair, op12_collocations,
+                                    op13_quality, pipeline)}

@@ -211,3 +211,149 @@ def op9(turns):
         loss = "".join(t for _, _, r, t in rows if r == "assistant")
         out.append((conv, len(rows), sha("".join(f"{r}\n{t}\n" for _, _, r, t in rows)), len(loss), sha(loss)))
     return out
+
+
+def collocations(rows, least=10, max_words=3, top=2000, inside=50):
+    """Phrases of (lang, text) rows, counted and ranked by plain loops: lang, rank, phrase, a, l, r, n, score."""
+    counts: dict = {}
+    for lang, text in rows:
+        f = counts.setdefault("und" if lang is None else lang, {})
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for k in range(1, max_words + 1):
+                for i in range(len(words) - k + 1):
+                    key = tuple(words[i:i + k])
+                    f[key] = f.get(key, 0) + 1
+    out = []
+    for lang, f in counts.items():
+        n = sum(x for w, x in f.items() if len(w) == 1)
+        found = {w: x for w, x in f.items() if len(w) > 1 and x >= least}
+        scored = []
+        for w, a in found.items():
+            longer = [x for v, x in found.items() if len(v) > len(w)
+                      and any(v[i:i + len(w)] == w for i in range(len(v) - len(w) + 1))]
+            if any(100 * x >= inside * a for x in longer):
+                continue
+            score, _, left, right = min((1000000 * a * a // (f[w[:k]] * f[w[k:]]), k, f[w[:k]], f[w[k:]]) for k in range(1, len(w)))
+            scored.append((-score, -a, " ".join(w).encode(), left, right))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n, -score))
+    return sorted(out)
+
+
+def repairs(rows):
+    """The contract of operator 11 for (conv_id, turn, role, text) rows: one tuple per conv_id."""
+    import zlib
+
+    step = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+    blank = lambda x: not x.strip(" \t\n\x0b\x0c\r")
+    by_conv = defaultdict(list)
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        key = ":".join(" " if x is None else str(x) for x in (conv, turn))
+        kind = zlib.crc32(key.encode()) % 20
+        by_conv[conv]
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        by_conv[conv] += [(turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    out = []
+    for conv, turns in by_conv.items():
+        turns.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.sha256(r[2].encode()).digest()))
+        faults, seen = [], set()
+        for _, role, text in turns:
+            cut = not blank(text) and text.rstrip(" \t\n\x0b\x0c\r")[-1] not in ".!?"
+            faults.append(1 if blank(text) else 2 if (role, text) in seen else 3 if cut else 0)
+            seen.add((role, text))
+        wanted = "uuau"
+        best = {0: (0, "", []), 3: (0, "", [])}  # from the end: state -> cost, audit, lines
+
+        def inserted(column):
+            for _ in range(4):
+                for q in range(4):
+                    to = step[q][wanted[q]]
+                    if to in column:
+                        role = {"u": "user", "a": "assistant"}[wanted[q]]
+                        c, a, lines = column[to]
+                        column[q] = min(column.get(q, (10**9, "", [])), (c + 3, "I" + a, [role + ":"] + lines))
+            return column
+
+        best = inserted(best)
+        for (_, role, text), fault in reversed(list(zip(turns, faults))):
+            now = {}
+            for q in range(4):
+                ways = [(best[q][0] + 4, "D" + best[q][1], best[q][2])]
+                if fault not in (1, 2):
+                    extra = 3 if fault == 3 else 0
+                    if role[:1] in step[q]:
+                        c, a, lines = best[step[q][role[:1]]]
+                        ways.append((c + extra, "K" + a, [f"{role}:{text}"] + lines))
+                    c, a, lines = best[step[q][wanted[q]]]
+                    ways.append((c + 3 + extra, "R" + a, [{"u": "user", "a": "assistant"}[wanted[q]] + f":{text}"] + lines))
+                now[q] = min(ways)
+            best = inserted(now)
+        cost, audit, lines = best[0]
+        numbers = [t for t, _, _ in turns if t is not None]
+        initials = [r[:1] for _, r, _ in turns]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        out.append((conv, max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0, faults.count(1), faults.count(2),
+                    faults.count(3), illegal, cost, audit, sha("\n".join(lines))))
+    return out
+
+
+def quality_base(doc_id, text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    places = defaultdict(list)
+    for i in range(len(words) - 7):
+        places[tuple(words[i:i + 8])].append(i)
+    hit = {j for starts in places.values() if len(starts) > 1 for i in starts for j in range(i, i + 8)}
+    return (doc_id, len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)),
+            len(hit), len(words) < 20 or 100 * len(hit) > 30 * len(words))
+
+
+def quality_distances(Q, rows, least_rows):
+    """Squared distances by doc_id: the same starts and steps over whole arrays, with the h nearest rows picked by sorting."""
+    import numpy as np
+
+    good = []
+    for doc, text, lang, source in rows:
+        base = quality_base(doc, text)
+        if not base[6]:
+            counts = Q.plain_counts((text or "").encode())
+            good.append((doc, lang, source, np.array(Q.vector(base[1], base[5], counts)) / 1024))
+    own = defaultdict(list)
+    for r in good:
+        own[r[1], r[2]].append(r)
+    groups, rest = [g for g in own.values() if len(g) >= least_rows], defaultdict(list)
+    for (lang, _), g in own.items():
+        if len(g) < least_rows:
+            rest[lang] += g
+    groups += [g for g in rest.values() if len(g) >= least_rows]
+    last = [r for g in rest.values() if len(g) < least_rows for r in g]
+    out = {r[0]: None for r in last}
+    groups += [last] if len(last) >= least_rows else []
+    floor = np.diag(np.square(Q.FLOOR))
+
+    def far(x, mean, scatter):
+        return np.einsum("ni,ij,nj->n", x - mean, np.linalg.inv(scatter), x - mean)
+
+    def fit(x, share):
+        return x.mean(0), np.cov(x.T, bias=True) * Q.consistency(share) + floor
+
+    for g in groups:
+        x = np.array([r[3] for r in g])
+        h = int(0.75 * len(x))
+        middle = np.sort(x, 0)[(len(x) - 1) // 2]
+        mad = np.maximum(1.4826 * np.sort(abs(x - middle), 0)[(len(x) - 1) // 2], Q.FLOOR)
+        best = None
+        for start in ((middle, np.diag(mad ** 2) + floor), fit(x, 1)):
+            for _ in range(30):
+                start = fit(x[np.argsort(far(x, *start), kind="stable")[:h]], 0.75)
+            det = np.linalg.det(start[1])
+            if best is None or det < best[0]:
+                best = det, start
+        near = x[far(x, *best[1]) <= Q.chi2_quantile(0.975, Q.P)]
+        out |= dict(zip((r[0] for r in g), far(x, *fit(near, 0.975)).tolist()))
+    return out
