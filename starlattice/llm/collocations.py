@@ -8,18 +8,18 @@ the drop rule are in :func:`collocations`.
 Level by level, for phrases of k words:
 
 1. every place whose two phrases of k - 1 words passed the level before is hashed into one of 2^26
-   counters, of which Spark sums the ones in use. A counter never falls short of the count of a phrase
+   counters (in the pass that counts the level before), which are summed over the tasks. A counter never falls short of the count of a phrase
    in it, so counters below ``least`` rule their phrases out, and no frequent phrase is lost;
 2. phrases of the remaining places are made distinct, and those of which either part of k - 1 words is
    not frequent go (two semi-joins): that leaves the Apriori-safe candidates;
-3. candidates are range-partitioned into shards of about 50,000 phrases. A task packs each shard into a
-   double-array trie (language, then two digits a word); shards of 48 MB together are broadcast at a time. Every task then holds the
+3. candidates are range-partitioned into shards of about 200,000 phrases. A task packs each shard into a
+   double-array trie (language, then two digits a word); shards of 24 MB together are broadcast at a time. Every task then holds the
    words of a stretch of text as one array of symbols and moves the states of all its positions
    through the trie at the same time, one level after the other; positions without a transition
    leave. ``bincount`` counts the accepting states, a task sends its counts once, and Spark sums
    them over the tasks.
 
-What is broadcast is bounded: a bit per counter (8 MB), or 48 MB of shards. With more candidates there are more
+What is broadcast is bounded: a bit per counter (8 MB), or 24 MB of shards. With more candidates there are more
 passes, each over the texts of the languages in its shards. Words of one text never need a
 dictionary of the whole corpus: a shard brings the words that it uses.
 
@@ -33,10 +33,12 @@ from __future__ import annotations
 
 import io
 import sys
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,12 +51,13 @@ LEAST = 10
 MAX_WORDS = 3
 TOP = 2_000
 INSIDE_PERCENT = 50
-SHARD_PHRASES = 50_000
+SHARD_PHRASES = 200_000
 #: size of the packed tries that are broadcast at a time
-PASS_BYTES = 48 << 20
+PASS_BYTES = 24 << 20
 #: bytes of text handled at once, and entries of a task's tables before they are sent
-STRETCH, FLUSH = 4 << 20, 1_000_000
+STRETCH, FLUSH = 4 << 20, 400_000
 COUNTER_BITS = 26
+PAGE = 4_096
 RANKED_AT_ONCE = 100_000
 DIGIT = 2_048
 
@@ -99,124 +102,131 @@ def stretches(batches) -> Iterator[tuple[str, bytes]]:
         yield lang, BREAK.join(texts)
 
 
-def numbered(data: bytes) -> tuple[list[bytes], np.ndarray]:
-    """The distinct words (number 0 is the piece end) and the text as their numbers."""
-    tokens = list(filter(None, data.replace(BREAK, b" \n ").split(b" ")))
-    words = dict.fromkeys([BREAK])
-    words.update(dict.fromkeys(tokens))
-    index = dict(zip(words, range(len(words))))
-    return list(words), np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens))
+def numbered(data: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words, the text as their numbers, and the number of the piece of each word."""
+    tokens = data.split()  # of ASCII white space only spaces and piece ends are left
+    index: defaultdict = defaultdict(count().__next__)
+    ids = np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens))
+    raw = np.frombuffer(data, np.uint8)
+    ends = raw == 10
+    gap = ends | (raw == 32)
+    starts = np.flatnonzero(~gap & np.r_[True, gap[:-1]]) if len(raw) else np.empty(0, np.int64)
+    return list(index), ids, np.searchsorted(np.flatnonzero(ends), starts)
 
 
-def whole(ids: np.ndarray, k: int) -> np.ndarray:
+def whole(piece: np.ndarray, k: int) -> np.ndarray:
     """Positions at which k words of one piece begin."""
-    n = len(ids) - k + 1
-    if n <= 0:
-        return np.empty(0, np.int64)
-    ok = ids[:n] > 0
-    for j in range(1, k):
-        ok &= ids[j:j + n] > 0
-    return np.flatnonzero(ok)
+    n = max(0, len(piece) - k + 1)
+    return np.flatnonzero(piece[:n] == piece[k - 1:]) if n else np.empty(0, np.int64)
 
 
 # ---- counters
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(29))
+class Hashes:
+    """Counters of the phrases in a stretch of text."""
 
+    def __init__(self, lang: str, words: list[bytes], ids: np.ndarray, bits: int):
+        from xxhash import xxh64_intdigest
 
-def counters(lang: str, words: list[bytes], ids: np.ndarray, pos: np.ndarray, k: int, bits: int) -> np.ndarray:
-    """The counter of the phrase of k words at each position."""
-    from xxhash import xxh64_intdigest
+        self.bits, self.start = bits, xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
+        self.of = np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))[ids]
 
-    hashes = np.fromiter((xxh64_intdigest(w) for w in words), np.uint64, len(words))
-    out = np.full(len(pos), xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), k), np.uint64)
-    for j in range(k):
-        out = _mixed(out * np.uint64(31) + hashes[ids[pos + j]])
-    return (out >> np.uint64(64 - bits)).astype(np.int64)
+    def counters(self, pos: np.ndarray, k: int) -> np.ndarray:
+        """The counter of the phrase of k words at each position."""
+        out = np.full(len(pos), self.start, np.uint64)
+        for j in range(k):
+            out = out * np.uint64(31) + self.of[pos + j]
+            out = (out ^ (out >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+        return (out >> np.uint64(64 - self.bits)).astype(np.int64)
 
 
 def has(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _in_use(texts: DataFrame, k: int, below: dict[int, object], bits: int) -> DataFrame:
-    """(counter, seen) of the phrases of k words whose parts of k - 1 words may be frequent."""
-    def run(batches):
-        kept: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
+class Sketch:
+    """A task's counters, each stopping at 255; they leave as pages of one byte a counter."""
 
-        def sent():
-            at = np.concatenate([x for x, _ in kept])
-            at, place = np.unique(at, return_inverse=True)
-            seen = np.bincount(place, np.concatenate([x for _, x in kept])).astype(np.int64)
-            return pa.RecordBatch.from_pydict({"counter": pa.array(at), "seen": pa.array(seen)})
+    def __init__(self, bits: int):
+        self.counts = np.zeros(1 << bits, np.uint16)
 
-        for lang, data in stretches(batches):
-            words, ids = numbered(data)
-            pos = whole(ids, k)
-            if k - 1 in below and len(pos):
-                likely = np.zeros(len(ids) + 1, bool)
-                part = whole(ids, k - 1)
-                likely[part] = has(below[k - 1].value, counters(lang, words, ids, part, k - 1, bits))
-                pos = pos[likely[pos] & likely[pos + 1]]
-            if len(pos):
-                kept.append(np.unique(counters(lang, words, ids, pos, k, bits), return_counts=True))
-                size += len(kept[-1][0])
-            if size > FLUSH:
-                yield sent()
-                kept, size = [], 0
-        if kept:
-            yield sent()
+    def add(self, at: np.ndarray) -> None:
+        for i in range(0, len(at), 1 << 15):  # no counter passes its type in one round
+            some = at[i:i + (1 << 15)]
+            np.add.at(self.counts, some, 1)
+            self.counts[some] = np.minimum(self.counts[some], 255)
 
-    return (texts.mapInArrow(run, "counter long, seen long")
-            .groupBy("counter").agg(F.sum("seen").alias("seen")))
+    def pages(self):
+        width = min(PAGE, len(self.counts))
+        used = np.flatnonzero(self.counts.reshape(-1, width).any(axis=1))
+        for i in range(0, len(used), 512):
+            some = used[i:i + 512]
+            rows = self.counts.reshape(-1, width)[some].astype(np.uint8)
+            yield some, [r.tobytes() for r in rows]
 
 
-def _bitmap(used: DataFrame, least: int, bits: int) -> np.ndarray:
+def _bitmap(pages: DataFrame, least: int, bits: int) -> np.ndarray:
     """One bit per counter, set where it reached ``least``: 2^bits / 8 bytes, however large the corpus."""
-    pages = (used.filter(F.col("seen") >= least)
-             .groupBy((F.col("counter") / 64).cast("long").alias("page"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(counter % 64 as int))")).alias("set"))
-             .groupBy((F.col("page") / 1024).cast("long").alias("block"))
-             .agg(F.collect_list("page").alias("pages"), F.collect_list("set").alias("sets")))
-    bitmap = np.zeros(max(1, (1 << bits) // 64), "<i8")
-    for block in pages.collect():
-        bitmap[np.array(block["pages"])] = np.array(block["sets"], "<i8")
-    return bitmap.view(np.uint8)
+    enough = min(least, 255)
+
+    def run(batches):
+        page, total = None, None
+
+        def sent():
+            return pa.RecordBatch.from_pydict({"page": pa.array([page], pa.int64()), "bits": pa.array(
+                [np.packbits(total >= enough, bitorder="little").tobytes()], pa.binary())})
+
+        for batch in batches:
+            for at, counts in zip(batch.column("page").to_pylist(), batch.column("counts").to_pylist()):
+                if at != page:
+                    if total is not None:
+                        yield sent()
+                    page, total = at, np.zeros(len(counts), np.int64)
+                total += np.frombuffer(counts, np.uint8)
+        if total is not None:
+            yield sent()
+
+    width = min(PAGE, 1 << bits)
+    bitmap = np.zeros((1 << bits) // width * max(1, width // 8), np.uint8).reshape(-1, max(1, width // 8))
+    summed = (pages.filter(F.col("page").isNotNull()).select("page", "counts")
+              .repartition("page").sortWithinPartitions("page").mapInArrow(run, "page long, bits binary"))
+    for row in summed.collect():
+        bitmap[row["page"]] = np.frombuffer(row["bits"], np.uint8)
+    return bitmap.reshape(-1)
 
 
 # ---- candidates
 
 def _distinct_phrases(texts: DataFrame, k: int, bitmap, bits: int) -> DataFrame:
-    """(lang, words as an array) of the phrases of k words whose counter reached the threshold."""
+    """(lang, phrase) of the phrases of k words whose counter reached the threshold."""
     def run(batches):
         found: dict[str, set] = {}
         size = 0
 
         def sent():
-            rows = [(lang, phrase) for lang, phrases in found.items() for phrase in sorted(phrases)]
+            langs = [lang for lang, phrases in found.items() for _ in phrases]
             return pa.RecordBatch.from_pydict({
-                "lang": pa.array([x for x, _ in rows], pa.string()),
-                "phrase": pa.array([b" ".join(x).decode("utf-8", "surrogatepass") for _, x in rows], pa.string())})
+                "lang": pa.array(langs, pa.string()),
+                "phrase": pa.array([x for phrases in found.values() for x in phrases], pa.binary()).cast(pa.string())})
 
         for lang, data in stretches(batches):
-            words, ids = numbered(data)
-            pos = whole(ids, k)
+            words, ids, piece = numbered(data)
+            pos = whole(piece, k)
             if len(pos):
-                pos = pos[has(bitmap.value, counters(lang, words, ids, pos, k, bits))]
+                pos = pos[has(bitmap.value, Hashes(lang, words, ids, bits).counters(pos, k))]
             if not len(pos):
                 continue
             code = ids[pos]
-            for j in range(1, k):  # phrases are numbered anew with every word, so codes stay small
-                code = np.unique(code, return_inverse=True)[1] * len(words) + ids[pos + j]
-            first = pos[np.unique(code, return_index=True)[1]]
+            for j in range(1, k):  # numbered anew with every further word, so codes stay small
+                code = pd.factorize(code * len(words) + ids[pos + j])[0]
+            first = np.empty(int(code.max()) + 1, np.int64)
+            first[code] = pos
             mine = found.setdefault(lang, set())
             before = len(mine)
-            mine.update(zip(*[map(words.__getitem__, ids[first + j].tolist()) for j in range(k)]))
+            mine.update(map(b" ".join, zip(*[map(words.__getitem__, ids[first + j].tolist()) for j in range(k)])))
             size += len(mine) - before
-            if size > FLUSH // 4:
+            if size > FLUSH:
                 yield sent()
                 found, size = {}, 0
         if found:
@@ -230,17 +240,14 @@ def _parts(k: int) -> tuple:
     return F.substring_index("phrase", " ", k - 1), F.substring_index("phrase", " ", -(k - 1))
 
 
-def safe_candidates(texts: DataFrame, k: int, frequent: DataFrame, below: dict[int, object], least: int,
-                    bits: int) -> tuple[DataFrame, object]:
-    """(lang, phrase) of k words all of whose parts are frequent, and the broadcast bits of level k."""
-    sc = texts.sparkSession.sparkContext
-    bitmap = sc.broadcast(_bitmap(_in_use(texts, k, below, bits), least, bits))
+def safe_candidates(texts: DataFrame, k: int, frequent: DataFrame, bitmap, bits: int) -> DataFrame:
+    """(lang, phrase) of k words all of whose parts are frequent."""
     found = _distinct_phrases(texts, k, bitmap, bits)
     for part in _parts(k):
         own = found.withColumn("part", part)
         known = frequent.select(F.col("lang").alias("l"), F.col("phrase").alias("p"))
         found = own.join(known, (own["lang"] == known["l"]) & (own["part"] == known["p"]), "left_semi").drop("part")
-    return materialize(found, f"phrase-candidates-{k}"), bitmap
+    return materialize(found, f"phrase-candidates-{k}")
 
 
 # ---- double arrays
@@ -326,13 +333,11 @@ def pack(phrases: list[tuple[str, str]]) -> bytes:
         nodes += len(key)
     parent, label = np.concatenate(parents), np.concatenate(labels)
     cell, base, size = _placed(parent, label, nodes)
-    bases, check, answer = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
-    bases[cell] = base
-    check[cell[1:]] = cell[parent]
-    answer[cell[node + nodes - len(parents[-1])]] = np.arange(len(rows), dtype=np.int32)
+    ends = cell[node + nodes - len(parents[-1])]  # of the phrases, in their order
     out = io.BytesIO()
-    np.savez(out, base=bases, check=check, answer=answer, n=np.array([len(rows)]),
-             text=np.frombuffer(b"".join(words), np.uint8), lengths=np.array([len(w) for w in words], np.int64))
+    np.savez(out, size=np.array([size]), cell=cell.astype(np.int32), parent=parent.astype(np.int32),
+             base=base[:nodes - len(parents[-1])].astype(np.int32), ends=ends.astype(np.int32),
+             text=np.frombuffer(b"".join(words), np.uint8), lengths=np.array([len(w) for w in words], np.int32))
     return out.getvalue()
 
 
@@ -341,18 +346,22 @@ class Trie:
 
     def __init__(self, packed: bytes):
         arrays = np.load(io.BytesIO(packed))
-        self.base, self.check, self.answer = arrays["base"], arrays["check"], arrays["answer"]
-        self.size = int(arrays["n"][0])
-        text, ends = arrays["text"].tobytes(), np.cumsum(arrays["lengths"]).tolist()
-        self.numbers = {text[a:b]: i for i, (a, b) in enumerate(zip([0, *ends], ends), 1)}
+        size, cell, ends = int(arrays["size"][0]), arrays["cell"], arrays["ends"]
+        self.base, self.check, self.answer = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
+        self.base[cell[:len(arrays["base"])]] = arrays["base"]
+        self.check[cell[1:]] = cell[arrays["parent"]]
+        self.answer[ends] = np.arange(len(ends), dtype=np.int32)
+        self.size = len(ends)
+        text, until = arrays["text"].tobytes(), np.cumsum(arrays["lengths"]).tolist()
+        self.numbers = {text[a:b]: i for i, (a, b) in enumerate(zip([0, *until], until), 1)}
 
     def step(self, state: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The cells reached, and which of the states have such a transition."""
         cell = self.base[state] + digit
         return cell, self.check[cell] == state
 
-    def counts(self, lang: str, words: list[bytes], ids: np.ndarray, k: int) -> np.ndarray | None:
-        """How often each accepted phrase of k words occurs, by its id."""
+    def counts(self, lang: str, words: list[bytes], ids: np.ndarray, piece: np.ndarray, k: int) -> np.ndarray | None:
+        """How often each accepted phrase of k words occurs, by its place in the shard."""
         known = self.numbers.get(_marked(lang))
         if known is None:
             return None
@@ -361,40 +370,58 @@ class Trie:
             state, ok = self.step(state, np.array([digit]))
             if not ok[0]:
                 return None
-        symbol = np.fromiter((self.numbers.get(w, 0) for w in words), np.int64, len(words))
-        symbol[0] = 0
-        symbols = symbol[ids]
-        pos = np.flatnonzero(symbols[:max(0, len(ids) - k + 1)] > 0)
+        symbols = np.fromiter((self.numbers.get(w, 0) for w in words), np.int64, len(words))[ids]
+        likely = symbols > 0
+        if k > 1:
+            likely[1 - k:] = False
+            likely[:len(ids) - k + 1] &= piece[:max(0, len(ids) - k + 1)] == piece[k - 1:]
+            likely[:-1] &= symbols[1:] > 0
+        pos = np.flatnonzero(likely)
         state = np.full(len(pos), state[0])
         for level in range(k):
             now = symbols[pos + level]
-            alive = now > 0
-            for digit in (now // DIGIT, now % DIGIT):
-                cell, ok = self.step(state, digit)
-                alive &= ok
-                state = np.where(alive, cell, 0)
+            state, alive = self.step(state, now // DIGIT)
+            pos, state, now = pos[alive], state[alive], now[alive]
+            state, alive = self.step(state, now % DIGIT)
             pos, state = pos[alive], state[alive]
         return np.bincount(self.answer[state], minlength=self.size)
 
 
-def _count(texts: DataFrame, k: int, shards) -> DataFrame:
-    """(shard, id, f) of the phrases in a few broadcast shards."""
+def _count(texts: DataFrame, k: int, shards, likely, bits: int) -> DataFrame:
+    """(shard, id, f) of the phrases in a few broadcast shards, per task. With ``likely``, the bits of level k, also
+    (page, counts) of the phrases of k + 1 words whose parts may both be frequent."""
     def run(batches):
-        tries = [(shard, Trie(packed)) for shard, packed in shards.value]
+        tries = [(shard, Trie(packed)) for shard, packed in shards.value] if shards else []
         totals = [np.zeros(trie.size, np.int64) for _, trie in tries]
+        sketch = Sketch(bits) if likely else None
         for lang, data in stretches(batches):
-            words, ids = numbered(data)
+            words, ids, piece = numbered(data)
+            if sketch:
+                hashes, part, pos = Hashes(lang, words, ids, bits), whole(piece, k), whole(piece, k + 1)
+                passed = np.zeros(len(ids) + 1, bool)
+                passed[part] = has(likely.value, hashes.counters(part, k))
+                sketch.add(hashes.counters(pos[passed[pos] & passed[pos + 1]], k + 1))
             for (_, trie), total in zip(tries, totals):
-                seen = trie.counts(lang, words, ids, k)
+                seen = trie.counts(lang, words, ids, piece, k) if len(ids) >= k else None
                 if seen is not None:
                     total += seen
         for (shard, _), total in zip(tries, totals):
             at = np.flatnonzero(total)
             if len(at):
-                yield pa.RecordBatch.from_pydict({"shard": pa.array(np.full(len(at), shard, np.int32)),
-                                                  "id": pa.array(at), "f": pa.array(total[at])})
+                yield _row_batch(shard=pa.array(np.full(len(at), shard, np.int32)), id=pa.array(at), f=pa.array(total[at]))
+        if sketch:
+            for pages, counts in sketch.pages():
+                yield _row_batch(page=pa.array(pages), counts=pa.array(counts, pa.binary()))
+
+    return texts.mapInArrow(run, "shard int, id long, f long, page long, counts binary")
+
 
-    return texts.mapInArrow(run, "shard int, id long, f long").groupBy("shard", "id").agg(F.sum("f").alias("f"))
+_COUNTED = pa.schema([("shard", pa.int32()), ("id", pa.int64()), ("f", pa.int64()), ("page", pa.int64()), ("counts", pa.binary())])
+
+
+def _row_batch(schema: pa.Schema = _COUNTED, **columns) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
 
 
 def _packed(batches):
@@ -419,9 +446,9 @@ def _packed(batches):
         yield sent()
 
 
-def frequent_phrases(texts: DataFrame, candidates: DataFrame, k: int, least: int, shard_phrases: int,
-                     pass_bytes: int) -> DataFrame:
-    """(lang, phrase, f) of the candidates of k words with f of ``least`` or more."""
+def frequent_phrases(texts: DataFrame, candidates: DataFrame, k: int, least: int, shard_phrases: int, pass_bytes: int,
+                     likely, bits: int) -> tuple[DataFrame, DataFrame | None]:
+    """(lang, phrase, f) of the candidates of k words with f of ``least`` or more; pages of the next level's counters."""
     sc = texts.sparkSession.sparkContext
     rows, size = candidates.agg(F.count(F.lit(1)), F.sum(F.octet_length("phrase") + F.octet_length("lang"))).first()
     shards = max(1, -(-rows // shard_phrases), -(-(size or 0) // (64 * shard_phrases)))
@@ -433,47 +460,57 @@ def frequent_phrases(texts: DataFrame, candidates: DataFrame, k: int, least: int
     tries = materialize(keyed.repartition(shards, "shard").sortWithinPartitions("shard", "id").select("shard", "lang", "phrase")
                         .mapInArrow(_packed, "shard int, first_lang string, last_lang string, phrases long, size long, packed binary"),
                         f"phrase-tries-{k}")
-    counted, todo = None, tries.drop("packed").orderBy("shard").collect()
+    counted, pages, todo = None, None, tries.drop("packed").orderBy("shard").collect()
     while todo:  # as many shards as the bound allows, at least one, per pass over the texts of their languages
         some, held = [todo.pop(0)], 0
         while todo and (held := held + some[-1]["size"]) + todo[0]["size"] <= pass_bytes:
             some.append(todo.pop(0))
-        packed = tries.filter(F.col("shard").between(some[0]["shard"], some[-1]["shard"])).select("shard", "packed").collect()
-        sent = sc.broadcast([(r["shard"], bytes(r["packed"])) for r in packed])
-        mine = texts.filter(F.col("lang").between(some[0]["first_lang"], some[-1]["last_lang"]))
-        done = materialize(_count(mine, k, sent), f"phrase-counts-{k}")
-        sent.unpersist()
+        packed = tries.filter(F.col("shard").between(some[0]["shard"], some[-1]["shard"])).select("shard", "packed")
+        sent = sc.broadcast([(r["shard"], bytes(r["packed"])) for r in packed.collect()])
+        sketch = likely if pages is None else None  # once, with the first shards
+        mine = texts if sketch else texts.filter(F.col("lang").between(some[0]["first_lang"], some[-1]["last_lang"]))
+        done = materialize(_count(mine, k, sent, sketch, bits), f"phrase-counts-{k}")
+        sent.destroy()
+        pages = done if pages is None else pages
         counted = done if counted is None else counted.unionByName(done)
     if counted is None:
-        return keyed.select("lang", "phrase", F.col("id").alias("f"))  # no candidates, no rows
-    return materialize(keyed.join(counted.filter(F.col("f") >= least), ["shard", "id"]).select("lang", "phrase", "f"),
-                       f"phrases-{k}")
+        return keyed.select("lang", "phrase", F.col("id").alias("f")), None  # no candidates, no rows
+    sums = counted.filter("shard is not null").groupBy("shard", "id").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+    return materialize(keyed.join(sums, ["shard", "id"]).select("lang", "phrase", "f"), f"phrases-{k}"), pages
 
 
 # ---- words
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(lang, phrase, f) of all words."""
+_WORDS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64()), ("page", pa.int64()), ("counts", pa.binary())])
+
+
+def word_counts(texts: DataFrame, bits: int) -> DataFrame:
+    """(lang, phrase, f) of all words, per task, and (page, counts) of the counters of all pairs."""
     def run(batches):
         seen: dict[str, Counter] = {}
+        sketch = Sketch(bits)
 
         def sent():
             rows = [(lang, w, n) for lang, of in seen.items() for w, n in of.items()]
-            return pa.RecordBatch.from_pydict({
-                "lang": pa.array([r[0] for r in rows], pa.string()),
-                "phrase": pa.array([r[1].decode("utf-8", "surrogatepass") for r in rows], pa.string()),
-                "f": pa.array([r[2] for r in rows], pa.int64())})
+            return _row_batch(_WORDS, lang=pa.array([r[0] for r in rows], pa.string()),
+                              phrase=pa.array([r[1] for r in rows], pa.binary()).cast(pa.string()),
+                              f=pa.array([r[2] for r in rows], pa.int64()))
 
         for lang, data in stretches(batches):
-            seen.setdefault(lang, Counter()).update(filter(None, data.replace(BREAK, b" ").split(b" ")))
-            if sum(map(len, seen.values())) > FLUSH // 4:
+            words, ids, piece = numbered(data)
+            if not len(ids):
+                continue
+            sketch.add(Hashes(lang, words, ids, bits).counters(whole(piece, 2), 2))
+            seen.setdefault(lang, Counter()).update(dict(zip(words, np.bincount(ids).tolist())))
+            if sum(map(len, seen.values())) > FLUSH:
                 yield sent()
                 seen = {}
         if seen:
             yield sent()
+        for pages, counts in sketch.pages():
+            yield _row_batch(_WORDS, page=pa.array(pages), counts=pa.array(counts, pa.binary()))
 
-    return (texts.mapInArrow(run, "lang string, phrase string, f long")
-            .groupBy("lang", "phrase").agg(F.sum("f").alias("f")))
+    return texts.mapInArrow(run, "lang string, phrase string, f long, page long, counts binary")
 
 
 # ---- the operator
@@ -512,14 +549,17 @@ def collocations(docs: DataFrame, least: int = LEAST, max_words: int = MAX_WORDS
     100 * f(longer) >= ``inside_percent`` * a.
     """
     texts = docs.select(text_or_empty().alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    words = materialize(word_counts(texts), "phrases-1")
+    raw = materialize(word_counts(texts, counter_bits), "phrase-words")
+    words = materialize(raw.filter("page is null").groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "phrases-1")
     sizes = words.groupBy(F.col("lang").alias("of")).agg(F.sum("f").alias("n"))
-    levels, bitmaps = {1: words.filter(F.col("f") >= least)}, {}
+    levels, pages = {1: words.filter(F.col("f") >= least)}, raw
     for k in range(2, max_words + 1):
-        candidates, bitmaps[k] = safe_candidates(texts, k, levels[k - 1], bitmaps, least, counter_bits)
-        levels[k] = frequent_phrases(texts, candidates, k, least, shard_phrases, pass_bytes)
-        if k - 1 in bitmaps:
-            bitmaps.pop(k - 1).unpersist()
+        bitmap = texts.sparkSession.sparkContext.broadcast(
+            _bitmap(pages, least, counter_bits) if pages is not None else np.zeros(max(1, (1 << counter_bits) // 8), np.uint8))
+        candidates = safe_candidates(texts, k, levels[k - 1], bitmap, counter_bits)
+        levels[k], pages = frequent_phrases(texts, candidates, k, least, shard_phrases, pass_bytes,
+                                            bitmap if k < max_words else None, counter_bits)
+        bitmap.destroy()
     scored = materialize(_scored(levels), "phrase-scores")
     # the most frequent longer candidate that holds a phrase
     holders = None

@@ -40,7 +40,7 @@ def test_collocations(spark, shape, monkeypatch):
     rows = phrase_rows()
     docs = spark.createDataFrame(rows, DOCS).repartition(3)
     least, top = (3, 7) if shape == "many" else (10, 2000)
-    more = dict(shard_phrases=60, pass_bytes=800_000, counter_bits=8) if shape == "many" else {}
+    more = dict(shard_phrases=60, pass_bytes=800_000, counter_bits=8) if shape == "many" else dict(counter_bits=18)
     got = sorted(tuple(r) for r in C.collocations(docs, least=least, top=top, **more).collect())
     assert got == plain.collocations([(r[2], r[1]) for r in rows], least, 3, top)
     assert got
@@ -51,8 +51,8 @@ def test_collocations_of_longer_phrases_and_none(spark):
     docs = spark.createDataFrame(rows, DOCS)
     got = sorted(tuple(r) for r in C.collocations(docs, least=4, max_words=4, counter_bits=14).collect())
     assert got == plain.collocations([(r[2], r[1]) for r in rows], 4, 4)
-    assert C.collocations(docs.limit(0)).collect() == []
-    assert C.collocations(docs.filter("doc_id in (1000, 1001, 1002)")).collect() == []
+    assert C.collocations(docs.limit(0), counter_bits=10).collect() == []
+    assert C.collocations(docs.filter("doc_id in (1000, 1001, 1002)"), counter_bits=10).collect() == []
 
 
 def test_double_array_holds_exactly_its_phrases():
@@ -60,8 +60,8 @@ def test_double_array_holds_exactly_its_phrases():
     phrases = sorted({(rnd.choice(["en", "fr"]), f"w{rnd.randrange(300)} w{int(rnd.paretovariate(0.5)) % 5000}") for _ in range(20000)})
     trie = C.Trie(C.pack(phrases))
     text = [f"w{rnd.randrange(350)}" for _ in range(30000)]
-    words, ids = C.numbered(" ".join(text).encode())
-    counts = trie.counts("fr", words, ids, 2)
+    words, ids, piece = C.numbered(" ".join(text).encode())
+    counts = trie.counts("fr", words, ids, piece, 2)
     place = {p: i for i, p in enumerate(phrases)}
     expected = np.zeros(len(phrases), np.int64)
     for pair in zip(text, text[1:]):
@@ -69,7 +69,7 @@ def test_double_array_holds_exactly_its_phrases():
         if at is not None:
             expected[at] += 1
     assert expected.sum() and (counts == expected).all()
-    assert trie.counts("xx", words, ids, 2) is None
+    assert trie.counts("xx", words, ids, piece, 2) is None
 
 
 TURNS = "conv_id long, turn long, role string, text string, kind string, sha string, copy int, place long, of int"
