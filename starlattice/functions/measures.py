@@ -96,6 +96,12 @@ def share_pct(part: Column, whole: Column, places: int = 2, money_places: int =
                         (whole * scale).cast(INT38), places)
 
 
+def merged_measures(measures) -> list[Measure]:
+    """The same measures over cells: every partial is a sum or a count, and merges by adding."""
+    return [Measure(m.name, [(key, F.sum(F.col(key))) for key, _ in m.parts], m.finish)
+            for m in measures]
+
+
 def aggregate(grouped: GroupedData, keys: list[Column], measures: list[Measure]):
     """Run all partial aggregates in one pass, then the final expressions."""
     partials = [p for m in measures for p in m.partials]

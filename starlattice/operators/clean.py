@@ -92,6 +92,50 @@ def clean_transactions(raw: DataFrame, spec: StarSpec = DEFAULT_SPEC) -> DataFra
     return drop_missing(typed, ["quantity", "revenue", "profit"])
 
 
+# Why a raw sale is not loaded, in the order in which the rows are looked at.
+REJECTIONS = ["corrupt_record", "no_date", "no_product", "bad_quantity", "bad_revenue", "bad_profit"]
+CORRUPT_COLUMN = "_corrupt_record"
+
+
+def _rejections(df: DataFrame, spec: StarSpec):
+    """(all fields are there, why a sale is dropped) as expressions over normalised raw columns."""
+    corrupt = F.col(CORRUPT_COLUMN).isNotNull() if CORRUPT_COLUMN in df.columns else F.lit(False)
+    present = ~corrupt & F.col("date").isNotNull() & F.col("product_type").isNotNull()
+    bad = [present & F.when(present, lenient_number(c, spec.parse_type)).isNull() for c in ("quantity", "revenue", "profit")]
+    tests = [corrupt, ~corrupt & F.col("date").isNull(), ~corrupt & F.col("product_type").isNull(), *bad]
+    return present, F.array_compact(F.array(*[F.when(t, F.lit(r)) for t, r in zip(tests, REJECTIONS)]))
+
+
+def flag_transactions(raw: DataFrame, spec: StarSpec = DEFAULT_SPEC) -> DataFrame:
+    """Every raw sale with its typed columns and ``reasons``, the array of why it would be dropped.
+
+    The rows without a reason are exactly those of :func:`clean_transactions`. As there,
+    numbers are looked at only where date and product are present, so a row has reasons of one
+    stage: a corrupt record or missing fields, else bad numbers. A text source read with a
+    ``_corrupt_record`` column brings the records that could not be parsed.
+    """
+    df = normalize_columns(raw)
+    present, reasons = _rejections(df, spec)
+    return df.select(
+        F.when(present, strict_date(F.col("date"), spec.date_format)).alias("date"),
+        clean_text("month").alias("month"), clean_text("product_type").alias("product_type"),
+        clean_text("unit_size").alias("unit_size"),
+        *[F.when(present, lenient_number(c, spec.parse_type)).alias(c)
+          for c in ("quantity", "revenue", "profit", "profit_margin")],
+        *[c for c in df.columns if c in LINEAGE_COLUMNS], reasons.alias("reasons"))
+
+
+def kept_transactions(flagged: DataFrame) -> DataFrame:
+    """The flagged sales that are loaded, without their (empty) reasons."""
+    return flagged.where(F.size("reasons") == 0).drop("reasons")
+
+
+def quarantine_transactions(raw: DataFrame, spec: StarSpec = DEFAULT_SPEC) -> DataFrame:
+    """The raw sales that are not loaded, as they were read (column names normalised), with their reasons."""
+    df = normalize_columns(raw)
+    return df.withColumn("reasons", _rejections(df, spec)[1]).where(F.size("reasons") > 0)
+
+
 def clean_catalogue(raw: DataFrame) -> DataFrame:
     """Catalogue -> (product_type, category, ...) by position (B2)."""
     df = drop_missing(rename_positional(raw, CATALOGUE_COLUMNS), ["product_type"])

@@ -76,12 +76,12 @@ def months_of(members: DataFrame) -> DataFrame:
 
 
 def date_dim(master: DataFrame, spec: StarSpec = DEFAULT_SPEC,
-             dates: DataFrame | None = None) -> DataFrame:
-    """Distinct dates -> date_id 1..n in date order plus calendar attributes."""
+             dates: DataFrame | None = None, start: int = 1) -> DataFrame:
+    """Distinct dates -> date_id from ``start`` on in date order plus calendar attributes."""
     if dates is None:
         dates = master.select(F.col("date").alias("full_date")).distinct()
     dates = dates.where(F.col("full_date").isNotNull())
-    numbered = sequential_ids(dates, [F.col("full_date").asc()], "date_id",
+    numbered = sequential_ids(dates, [F.col("full_date").asc()], "date_id", start,
                               partitions=spec.id_partitions, name="dim_date")
     cal = calendar_columns("full_date")
     return numbered.select("date_id", "full_date", *[c.alias(k) for k, c in cal.items()])
@@ -95,7 +95,8 @@ def category_lookup(catalogue: DataFrame) -> DataFrame:
 
 
 def product_dim(master: DataFrame, catalogue: DataFrame,
-                spec: StarSpec = DEFAULT_SPEC, pairs: DataFrame | None = None) -> DataFrame:
+                spec: StarSpec = DEFAULT_SPEC, pairs: DataFrame | None = None,
+                start: int = 1) -> DataFrame:
     """Distinct (product, size) pairs with their category; ids by (name, size)."""
     if pairs is None:
         pairs = master.select(F.col("product_type").alias("product_name"),
@@ -105,13 +106,18 @@ def product_dim(master: DataFrame, catalogue: DataFrame,
                      .select("product_name", "package_size",
                              F.coalesce("category", F.lit(spec.default_category)).alias("category")))
     order = [F.col("product_name").asc_nulls_last(), F.col("package_size").asc_nulls_last()]
-    numbered = sequential_ids(enriched, order, "product_id",
+    numbered = sequential_ids(enriched, order, "product_id", start,
                               partitions=spec.id_partitions, name="dim_product")
     return numbered.select("product_id", "product_name", "package_size", "category")
 
 
+def month_name_of(year, month_num, spec: StarSpec = DEFAULT_SPEC):
+    """The month's name as the spec formats it."""
+    return F.date_format(F.make_date(year, month_num, F.lit(1)), spec.month_key_format)
+
+
 def month_dim(dim_date: DataFrame, spec: StarSpec = DEFAULT_SPEC,
-              months: DataFrame | None = None) -> DataFrame:
+              months: DataFrame | None = None, start: int = 1) -> DataFrame:
     """Months present in the date dimension, ids in (year, month) order.
 
     month_name is the month formatted with ``spec.month_key_format``
@@ -121,9 +127,9 @@ def month_dim(dim_date: DataFrame, spec: StarSpec = DEFAULT_SPEC,
     if months is None:
         months = dim_date.select("year", "month_num").distinct()
     numbered = sequential_ids(months, [F.col("year").asc(), F.col("month_num").asc()],
-                              "month_id", partitions=spec.id_partitions, name="dim_month")
+                              "month_id", start, partitions=spec.id_partitions, name="dim_month")
     first_day = F.make_date("year", "month_num", F.lit(1))
-    name = F.date_format(first_day, spec.month_key_format)
+    name = month_name_of(F.col("year"), F.col("month_num"), spec)
     return numbered.select("month_id", name.alias("month_name"), F.lower(name).alias("month_key"),
                            F.quarter(first_day).cast("bigint").alias("quarter"),
                            F.col("year").cast("bigint").alias("year"))

@@ -56,16 +56,16 @@ FACT_ORDER = ["date_id", "product_id", "month_id", "quantity", "revenue", "profi
 
 
 def number_facts(facts: DataFrame, spec: StarSpec = DEFAULT_SPEC,
-                 keep: dict | None = None) -> DataFrame:
-    """sales_id 1..n in content order (NULLs first), ties split by lineage.
+                 keep: dict | None = None, start: int = 1) -> DataFrame:
+    """sales_id from ``start`` on in content order (NULLs first), ties split by lineage.
 
     ``keep["rows"]`` (when given) receives the written facts without ids.
     """
     order = [F.col(c).asc_nulls_first() for c in FACT_ORDER]
     if "_src" in facts.columns:
         order.append(F.col("_src").asc())
-    numbered = sequential_ids(facts, order, "sales_id", partitions=spec.id_partitions,
-                              name="fact_sales", keep=keep)
+    numbered = sequential_ids(facts, order, "sales_id", start,
+                              partitions=spec.id_partitions, name="fact_sales", keep=keep)
     if keep is not None and "rows" in keep:
         keep["rows"] = keep["rows"].select(*FACT_COLUMNS[1:])
     return numbered.select(*FACT_COLUMNS)

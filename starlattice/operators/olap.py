@@ -18,7 +18,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import Measure, aggregate, cube_measures
+from ..functions.measures import Measure, aggregate, cube_measures, merged_measures
 from ..spec import ALL_LABEL
 
 # The reference's names for the eight slices of the cube.
@@ -134,12 +134,6 @@ def grand_total(fact: DataFrame, dims: Sequence[str], measures: Sequence[Measure
                         *[m.final for m in measures]))
 
 
-def _merged(measures: Sequence[Measure]) -> list[Measure]:
-    """The same measures over cells: every partial is a sum or a count, and merges by adding."""
-    return [Measure(m.name, [(key, F.sum(F.col(key))) for key, _ in m.parts], m.finish)
-            for m in measures]
-
-
 def cube(df: DataFrame, dims: Sequence[str] = CUBE_DIMENSIONS,
          measures: Sequence[Measure] | None = None, all_label: str = ALL_LABEL,
          slice_names: dict | None = None, matched: Column | None = None) -> DataFrame:
@@ -174,7 +168,7 @@ def cube_of_cells(cells: DataFrame, dims: Sequence[str], measures: Sequence[Meas
     """
     dims = list(dims)
     names = SLICE_NAMES if slice_names is None and dims == CUBE_DIMENSIONS else slice_names
-    flag, merged = "__matched", _merged(measures)
+    flag, merged = "__matched", merged_measures(measures)
     keys = [key for m in measures for key, _ in m.parts]
     cells = cells.select(*dims, flag, *keys)
     types = {f.name: f.dataType for f in cells.schema.fields}

@@ -9,6 +9,7 @@ exact-rounding rules are written with HUGEINT integer division.
 from __future__ import annotations
 
 from ..functions.text import WHITESPACE
+from ..operators.clean import REJECTIONS
 
 WS = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
 
@@ -537,6 +538,101 @@ def _edge(body: str) -> str:
     return f"SELECT * REPLACE ({casts}) FROM ({body})"
 
 
+
+# A star grown from three batches: members are numbered by the batch that brought them.
+_BATCH = ("CASE WHEN regexp_matches({0}, '^[0-9]{{4}}-') AND {0} < '1997' THEN 1 "
+          "WHEN regexp_matches({0}, '^[0-9]{{4}}-') AND {0} < '1999' THEN 2 ELSE 3 END")
+GROWN = f""",
+g_master AS (
+  SELECT *, CASE WHEN date < DATE '1997-01-01' THEN 1 WHEN date < DATE '1999-01-01' THEN 2 ELSE 3 END AS b FROM master
+),
+g_date AS (
+  SELECT row_number() OVER (ORDER BY n.b, d.full_date) AS date_id, d.* EXCLUDE (date_id), n.b
+  FROM dim_date d JOIN (SELECT date, min(b) AS b FROM g_master GROUP BY date) n ON n.date = d.full_date
+),
+g_product AS (
+  SELECT row_number() OVER (ORDER BY n.b, d.product_name NULLS LAST, d.package_size NULLS LAST) AS product_id,
+         d.* EXCLUDE (product_id), n.b
+  FROM dim_product d JOIN (SELECT product_type, unit_size, min(b) AS b FROM g_master GROUP BY ALL) n
+    ON n.product_type = d.product_name AND n.unit_size IS NOT DISTINCT FROM d.package_size
+),
+g_month AS (
+  SELECT row_number() OVER (ORDER BY n.b, d.month_name) AS month_id, d.* EXCLUDE (month_id), n.b
+  FROM dim_month d JOIN (SELECT strftime(date, '%Y-%m') AS name, min(b) AS b FROM g_master
+                         WHERE date IS NOT NULL GROUP BY ALL) n ON n.name = d.month_name
+),
+g_rows AS (
+  SELECT m.b, d.date_id, p.product_id, mo.month_id,
+         CAST(m.quantity AS DECIMAL(18,6)) AS quantity, CAST(ROUND(m.revenue, 2) AS DECIMAL(18,2)) AS revenue,
+         CAST(ROUND(m.profit, 2) AS DECIMAL(18,2)) AS profit,
+         CAST(ROUND(m.profit_margin, 4) AS DECIMAL(18,4)) AS profit_margin
+  FROM g_master m
+  LEFT JOIN g_date d ON m.date = d.full_date
+  LEFT JOIN g_product p ON m.product_type = p.product_name AND m.unit_size IS NOT DISTINCT FROM p.package_size
+  LEFT JOIN g_month mo ON m.month = mo.month_key AND mo.b <= m.b
+),
+g_fact AS (
+  SELECT row_number() OVER (ORDER BY b, date_id NULLS FIRST, product_id NULLS FIRST, month_id NULLS FIRST,
+           quantity NULLS FIRST, revenue NULLS FIRST, profit NULLS FIRST, profit_margin NULLS FIRST) AS sales_id,
+         * EXCLUDE (b)
+  FROM g_rows
+)
+"""
+_SUMMARY = f"""{money("f.revenue")} AS total_revenue, {money("f.profit")} AS total_profit,
+  {money("f.quantity", None)} AS total_quantity, {mean_frac("f.profit_margin")} AS avg_margin,
+  COUNT(*) AS num_transactions"""
+
+
+def _reason(reason: str) -> str:
+    """Why a normalised raw row is dropped, as a condition."""
+    present = "date IS NOT NULL AND product_type IS NOT NULL"
+    if reason == "corrupt_record":
+        return "false"
+    if reason.startswith("no_"):
+        return f"{'date' if reason == 'no_date' else 'product_type'} IS NULL"
+    return f"({present} AND TRY_CAST({reason[4:]} AS DECIMAL(38,10)) IS NULL)"
+
+
+def _grown() -> dict[str, str]:
+    """Queries of the growing star and of the rejected rows."""
+    any_reason = " OR ".join(_reason(r) for r in REJECTIONS)
+    named = ", ".join(f"CASE WHEN {_reason(r)} THEN '{r}' END" for r in REJECTIONS)
+    counts = ", ".join(f"CAST(count(*) FILTER (WHERE {_reason(r)}) AS BIGINT) AS {{0}}{r}" for r in REJECTIONS)
+    month = "g_rows f JOIN g_month dm ON f.month_id = dm.month_id"
+    product = "g_product dp ON f.product_id = dp.product_id"
+    quarter = f"SELECT dm.year, dm.quarter, {_SUMMARY} FROM {month} GROUP BY dm.year, dm.quarter"
+    dims = " UNION ALL ".join(
+        f"SELECT 'dim_{d}' AS dimension, CAST(count(*) AS BIGINT) AS members, CAST(min({d}_id) AS BIGINT) AS first_key, "
+        f"CAST(max({d}_id) AS BIGINT) AS last_key, CAST(0 AS BIGINT) AS dangling FROM g_{d}" for d in ("date", "product", "month"))
+    return {
+        "grown_dim_date": GROWN + "SELECT * EXCLUDE (b) FROM g_date",
+        "grown_dim_product": GROWN + "SELECT * EXCLUDE (b) FROM g_product",
+        "grown_dim_month": GROWN + "SELECT * EXCLUDE (b) FROM g_month",
+        "grown_fact_sales": GROWN + """SELECT sales_id, date_id, product_id, month_id, CAST(quantity AS DOUBLE) AS quantity,
+          CAST(revenue AS DOUBLE) AS revenue, CAST(profit AS DOUBLE) AS profit, CAST(profit_margin AS DOUBLE) AS profit_margin
+          FROM g_fact""",
+        "summary_monthly_merged": GROWN + f"""SELECT dm.month_id, dm.month_name, dm.year, {_SUMMARY} FROM {month}
+          GROUP BY dm.month_id, dm.month_name, dm.year""",
+        "summary_product_merged": GROWN + f"""SELECT dp.product_id, dp.product_name, dp.package_size, dp.category, {_SUMMARY}
+          FROM g_rows f JOIN {product} WHERE dp.package_size IS NOT NULL AND dp.category IS NOT NULL
+          GROUP BY dp.product_id, dp.product_name, dp.package_size, dp.category""",
+        "summary_quarter_merged": GROWN + quarter,
+        "summary_month_size_merged": GROWN + f"""SELECT dm.month_name, dp.package_size, {_SUMMARY} FROM {month} JOIN {product}
+          GROUP BY dm.month_name, dp.package_size""",
+        "grown_dangling_keys": GROWN + dims,
+        "load_counts": GROWN + f"""SELECT ['first', 'second', 'third'][r.b] AS batch, r.* EXCLUDE (b), c.clean_rows,
+          c.clean_rows AS facts, c.no_date, c.no_month
+          FROM (SELECT {_BATCH.format("date")} AS b, CAST(count(*) AS BIGINT) AS raw_rows, {counts.format("rejected_")}
+                FROM normalized GROUP BY 1) r
+          JOIN (SELECT b, CAST(count(*) AS BIGINT) AS clean_rows, CAST(count(*) FILTER (WHERE date_id IS NULL) AS BIGINT) AS no_date,
+                       CAST(count(*) FILTER (WHERE month_id IS NULL) AS BIGINT) AS no_month FROM g_rows GROUP BY b) c ON c.b = r.b""",
+        "quarantine": f"SELECT *, concat_ws(',', {named}) AS reasons FROM normalized WHERE {any_reason}",
+        "rejected_counts": f"""SELECT CAST(count(*) AS BIGINT) AS raw_rows,
+          CAST(count(*) FILTER (WHERE NOT ({any_reason})) AS BIGINT) AS kept_rows, {counts.format("")} FROM normalized""",
+        "stream_summary_grown": "SELECT * EXCLUDE (month_id) FROM summary_monthly",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     from ..sinks.writers import STAR_TABLES
     from .bundle import CUBE_DIMENSION_LABELS, CUBE_MEASURE_NAMES, QUERY_TEXTS
@@ -555,6 +651,7 @@ def oracle_sql() -> dict[str, str]:
               "fact_sales", "summary_monthly", "summary_product"]
     names = ["raw_master", "master_clean", "catalogue_clean", "dim_date", "dim_product",
              "dim_month", "fact_sales", "summary_monthly", "summary_product"]
+    q.update(_grown())
     q["audit_counts"] = ("SELECT * FROM (VALUES " + ", ".join(
         f"({i}, '{n}', (SELECT COUNT(*) FROM {t}))"
         for i, (n, t) in enumerate(zip(names, stages), start=1)) + ") t(step, stage, rows)")

@@ -23,13 +23,15 @@ from ..functions.text import clean_text, strip_ws
 from ..operators import analytics as A
 from ..operators import checks as Q
 from ..operators import olap as O
-from ..operators.clean import (CATALOGUE_COLUMNS, MONTHLY_COLUMNS, clean_monthly, drop_missing,
-                               keep_date_like, normalize_columns, rename_positional, tag_source)
+from ..operators.clean import (CATALOGUE_COLUMNS, MONTHLY_COLUMNS, REJECTIONS, clean_monthly, drop_missing,
+                               flag_transactions, keep_date_like, normalize_columns, quarantine_transactions,
+                               rename_positional, tag_source)
 from ..operators.fact import lookup_keys
 from ..session import scratch_path
 from ..sinks import writers
 from ..sources import fixtures, readers
 from ..spec import DEFAULT_SPEC
+from . import growing
 from .bundle import QUERY_TEXTS, cube_metadata, dashboard_datasets, query_bundle
 from .star import Star, fixture_star, named_star, star_from_tables
 
@@ -407,6 +409,63 @@ def stream_summary_monthly(spark, sf_dir):
     return run_monthly_summary(spark, star.raw_path, star, files_per_batch=2)
 
 
+# The raw sheet in three batches by the text of its dates; undated rows come last.
+BATCH_BOUNDS = ["1997", "1999"]
+
+
+def _grown(spark, sf_dir):
+    """(root, star) of the star grown from three batches, one of them sent twice and the cells compacted on the way."""
+    key = ("grown", spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _STARS:
+        raw = readers.read_transactions(spark, star_for(spark, sf_dir).raw_path)
+        catalogue = fixtures.raw_catalogue(spark, sf_dir)
+        date = F.col("` Date`")
+        dated = F.coalesce(date.rlike("^[0-9]{4}-"), F.lit(False))
+        first, second = [F.coalesce(dated & (date < b), F.lit(False)) for b in BATCH_BOUNDS]
+        root = scratch_path(spark, "growing-star")
+        growing.append_batch(spark, root, raw.where(first), catalogue, "first")
+        growing.append_batch(spark, root, raw.where(second & ~first), catalogue, "second")
+        growing.append_batch(spark, root, raw.where(second & ~first), catalogue, "second")
+        growing.compact(spark, root)
+        growing.append_batch(spark, root, raw.where(~second), catalogue, "third")
+        _STARS[key] = (root, growing.open_growing(spark, root))
+    return _STARS[key]
+
+
+def _grown_table(name: str):
+    return lambda spark, sf_dir: at_edge(_grown(spark, sf_dir)[1].table(name))
+
+
+def _rolled_cells(*keys: str):
+    """A coarser summary from the stored cells alone."""
+    def run(spark, sf_dir):
+        root, star = _grown(spark, sf_dir)
+        return growing.roll_up_cells(star, growing.stored_cells(spark, root), list(keys))
+    return run
+
+
+def load_counts_q(spark, sf_dir):
+    return growing.load_counts(spark, _grown(spark, sf_dir)[0])
+
+
+def quarantine_q(spark, sf_dir):
+    return quarantine_transactions(scan_transactions(spark, sf_dir)).withColumn("reasons", F.array_join("reasons", ","))
+
+
+def rejected_counts(spark, sf_dir):
+    """Rows read, kept and dropped, and dropped rows by reason, from one pass."""
+    flagged = flag_transactions(scan_transactions(spark, sf_dir))
+    return flagged.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(F.size("reasons") == 0).alias("kept_rows"),
+                       *[F.count_if(F.array_contains("reasons", r)).alias(r) for r in REJECTIONS])
+
+
+def stream_summary_grown(spark, sf_dir):
+    """Summary_Monthly of a star fed by the stream, new months included; keys are in order of arrival and left out."""
+    from ..streaming.summaries import run_stream_star
+    star = run_stream_star(spark, star_for(spark, sf_dir).raw_path, fixtures.raw_catalogue(spark, sf_dir), files_per_batch=4)
+    return star.summary_monthly.drop("month_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     s = _with_star
     return {
@@ -423,6 +482,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stored_summary_monthly": _stored("summary_monthly"),
         "stored_summary_product": _stored("summary_product"),
         **{f"query_export_{qid}": _query_back(qid) for qid, _, _ in QUERY_TEXTS},
+        # a star grown batch by batch
+        **{f"grown_{t}": _grown_table(t) for t in ("dim_date", "dim_product", "dim_month", "fact_sales")},
+        "summary_monthly_merged": _grown_table("summary_monthly"),
+        "summary_product_merged": _grown_table("summary_product"),
+        "summary_quarter_merged": _rolled_cells("year", "quarter"),
+        "summary_month_size_merged": _rolled_cells("month_name", "package_size"),
+        "grown_dangling_keys": lambda spark, sf_dir: growing.dangling_keys(_grown(spark, sf_dir)[1]),
+        "load_counts": load_counts_q,
+        "quarantine": quarantine_q,
+        "rejected_counts": rejected_counts,
+        "stream_summary_grown": stream_summary_grown,
         "cube_export_back": s(cube_export_back),
         "cube_metadata_named": _named(cube_metadata_q),
         "check_month_named": _named(Q.check_month_agreement),

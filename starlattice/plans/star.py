@@ -17,7 +17,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.measures import mean_ratio, money_sum, row_count
+from ..functions.measures import mean_ratio, merged_measures, money_sum, row_count
 from ..operators.clean import clean_catalogue, clean_transactions
 from ..operators.dims import (DATE_SET, MONTH_SET, PAIR_SET, date_dim, dates_of,
                               dimension_members, member_counts, member_rows, month_dim,
@@ -203,7 +203,7 @@ def fixture_star(spark: SparkSession, sf_dir: str, spec: StarSpec = DEFAULT_SPEC
 
 # --- stored summaries (A1, A2) ------------------------------------------
 
-def _summary_measures(spec: StarSpec):
+def summary_measures(spec: StarSpec):
     return [money_sum("revenue", "total_revenue", spec.money_places),
             money_sum("profit", "total_profit", spec.money_places),
             money_sum("quantity", "total_quantity", None),
@@ -215,32 +215,32 @@ MONTH_KEYS = ["month_id", "month_name", "year"]
 PRODUCT_KEYS = ["product_id", "product_name", "package_size", "category"]
 
 
+def fact_cells(facts: DataFrame, spec: StarSpec) -> DataFrame:
+    """The summaries' partial states by (month_id, product_id): what can be stored, added up and finished later."""
+    return facts.groupBy("month_id", "product_id").agg(*[p for m in summary_measures(spec) for p in m.partials])
+
+
+def finish_months(cells: DataFrame, star: Star) -> DataFrame:
+    """Summary_Monthly from cells; cells of no known month are left out, as an inner join would."""
+    merged = merged_measures(summary_measures(star.spec))
+    states = cells.groupBy("month_id").agg(*[p for m in merged for p in m.partials])
+    return (states.join(star.dim("dim_month").select(*MONTH_KEYS), "month_id")
+            .select(*MONTH_KEYS, *[m.final for m in merged]))
+
+
+def finish_products(cells: DataFrame, star: Star) -> DataFrame:
+    """Summary_Product from cells; products without size or category are left out."""
+    merged = merged_measures(summary_measures(star.spec))
+    states = cells.groupBy("product_id").agg(*[p for m in merged for p in m.partials])
+    return (states.join(star.dim("dim_product").select(*PRODUCT_KEYS), "product_id")
+            .na.drop(subset=PRODUCT_KEYS).select(*PRODUCT_KEYS, *[m.final for m in merged]))
+
+
 def both_summaries(star: Star) -> tuple[DataFrame, DataFrame]:
     """Summary_Monthly and Summary_Product from ONE pass over the fact.
 
-    The fact is joined (left, map-side) to both dimensions and aggregated
-    with two grouping sets; the small result is written once and split.
-    A fact whose month or product has no member falls in the set's NULL
-    group, which is dropped - the rows that inner joins leave out.
+    The fact is aggregated to cells by its own keys, which are written once; both summaries add
+    them up and join the dimensions to the few groups that are left.
     """
-    months = star.dim("dim_month").select(*MONTH_KEYS)
-    products = star.dim("dim_product").select(*PRODUCT_KEYS)
-    joined = (star.measures.join(months, "month_id", "left")
-              .join(products, "product_id", "left")
-              .withColumn("month_id", F.when(F.col("month_name").isNotNull(), F.col("month_id")))
-              .withColumn("product_id",
-                          F.when(F.col("product_name").isNotNull(), F.col("product_id"))))
-    keys = MONTH_KEYS + PRODUCT_KEYS
-    measures = _summary_measures(star.spec)
-    partials = [p for m in measures for p in m.partials]
-    agg = joined.groupingSets([MONTH_KEYS, PRODUCT_KEYS], *keys).agg(
-        *partials, F.grouping_id().alias("__set"))
-    both = materialize(agg.select(*keys, "__set", *[m.final for m in measures]), "summaries")
-    month_set = (1 << len(PRODUCT_KEYS)) - 1          # product keys rolled up
-    product_set = ((1 << len(MONTH_KEYS)) - 1) << len(PRODUCT_KEYS)
-    finals = [m.name for m in measures]
-    monthly = (both.where((F.col("__set") == month_set) & F.col("month_id").isNotNull())
-               .select(*MONTH_KEYS, *finals))
-    product = (both.where(F.col("__set") == product_set).na.drop(subset=PRODUCT_KEYS)
-               .select(*PRODUCT_KEYS, *finals))
-    return monthly, product
+    cells = materialize(fact_cells(star.measures, star.spec), "summary-cells")
+    return finish_months(cells, star), finish_products(cells, star)
