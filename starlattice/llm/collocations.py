@@ -55,7 +55,7 @@ SHARD_PHRASES = 200_000
 #: size of the packed tries that are broadcast at a time
 PASS_BYTES = 24 << 20
 #: bytes of text handled at once, and entries of a task's tables before they are sent
-STRETCH, FLUSH = 4 << 20, 400_000
+STRETCH, FLUSH = 2 << 20, 300_000
 COUNTER_BITS = 26
 PAGE = 4_096
 RANKED_AT_ONCE = 100_000
@@ -70,34 +70,40 @@ BREAK = b"\n"
 
 # ---- texts as arrays of word numbers
 
+def _rows(batches, columns: tuple[str, ...], at_once: int = 256) -> Iterator[tuple]:
+    """Rows as tuples, a few of them as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, at_once):
+            yield from zip(*[batch.column(c).slice(at, at_once).to_pylist() for c in columns])
+
+
 def stretches(batches) -> Iterator[tuple[str, bytes]]:
     """(lang, normalised text of about ``STRETCH`` bytes); texts are parted by a piece end."""
     waiting: dict[str, list[bytes]] = {}
     held: Counter = Counter()
     total = 0
-    for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            data = text.encode("utf-8", "surrogatepass").translate(NORMAL)
-            at = 0
-            while len(data) - at > STRETCH:  # a very long text is cut at the last piece end within reach
-                cut = data.rfind(BREAK, at, at + STRETCH)
-                cut = cut if cut >= 0 else data.find(BREAK, at + STRETCH)
-                if cut < 0:
-                    break
-                yield lang, data[at:cut]
-                at = cut + 1
-            rest = data[at:] if at else data
-            waiting.setdefault(lang, []).append(rest)
-            held[lang] += len(rest) + 1
-            total += len(rest) + 1
-            if held[lang] >= STRETCH:
-                total -= held.pop(lang)
-                yield lang, BREAK.join(waiting.pop(lang))
-            elif total >= 4 * STRETCH:  # many languages
-                for each in list(waiting):
-                    yield each, BREAK.join(waiting.pop(each))
-                held.clear()
-                total = 0
+    for lang, text in _rows(batches, ("lang", "text")):
+        data = text.encode("utf-8", "surrogatepass").translate(NORMAL)
+        at = 0
+        while len(data) - at > STRETCH:  # a very long text is cut at the last piece end within reach
+            cut = data.rfind(BREAK, at, at + STRETCH)
+            cut = cut if cut >= 0 else data.find(BREAK, at + STRETCH)
+            if cut < 0:
+                break
+            yield lang, data[at:cut]
+            at = cut + 1
+        rest = data[at:] if at else data
+        waiting.setdefault(lang, []).append(rest)
+        held[lang] += len(rest) + 1
+        total += len(rest) + 1
+        if held[lang] >= STRETCH:
+            total -= held.pop(lang)
+            yield lang, BREAK.join(waiting.pop(lang))
+        elif total >= 4 * STRETCH:  # many languages
+            for each in list(waiting):
+                yield each, BREAK.join(waiting.pop(each))
+            held.clear()
+            total = 0
     for lang, texts in waiting.items():
         yield lang, BREAK.join(texts)
 
@@ -149,20 +155,18 @@ class Sketch:
     """A task's counters, each stopping at 255; they leave as pages of one byte a counter."""
 
     def __init__(self, bits: int):
-        self.counts = np.zeros(1 << bits, np.uint16)
+        self.counts = np.zeros(1 << bits, np.uint8)
 
     def add(self, at: np.ndarray) -> None:
-        for i in range(0, len(at), 1 << 15):  # no counter passes its type in one round
-            some = at[i:i + (1 << 15)]
-            np.add.at(self.counts, some, 1)
-            self.counts[some] = np.minimum(self.counts[some], 255)
+        at, more = np.unique(at, return_counts=True)
+        self.counts[at] = np.minimum(self.counts[at] + more, 255)
 
     def pages(self):
         width = min(PAGE, len(self.counts))
         used = np.flatnonzero(self.counts.reshape(-1, width).any(axis=1))
         for i in range(0, len(used), 512):
             some = used[i:i + 512]
-            rows = self.counts.reshape(-1, width)[some].astype(np.uint8)
+            rows = self.counts.reshape(-1, width)[some]
             yield some, [r.tobytes() for r in rows]
 
 
