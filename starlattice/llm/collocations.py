@@ -10,16 +10,16 @@ Level by level, for phrases of k words:
 1. every place whose two phrases of k - 1 words passed the level before is hashed into one of 2^26
    counters (in the pass that counts the level before), which are summed over the tasks. A counter never falls short of the count of a phrase
    in it, so counters below ``least`` rule their phrases out, and no frequent phrase is lost;
-2. phrases of the remaining places are made distinct, and those of which either part of k - 1 words is
+2. phrases of the remaining places are made distinct (tasks send sets, dealt by counter), and those of which either part of k - 1 words is
    not frequent go (two semi-joins): that leaves the Apriori-safe candidates;
 3. candidates are range-partitioned into shards of about 200,000 phrases. A task packs each shard into a
-   double-array trie (language, then two digits a word); shards of 24 MB together are broadcast at a time. Every task then holds the
+   double-array trie (language, then two digits a word); shards of 40 MB together are broadcast at a time. Every task then holds the
    words of a stretch of text as one array of symbols and moves the states of all its positions
    through the trie at the same time, one level after the other; positions without a transition
    leave. ``bincount`` counts the accepting states, a task sends its counts once, and Spark sums
    them over the tasks.
 
-What is broadcast is bounded: a bit per counter (8 MB), or 24 MB of shards. With more candidates there are more
+What is broadcast is bounded: a bit per counter (8 MB), or 40 MB of shards. With more candidates there are more
 passes, each over the texts of the languages in its shards. Words of one text never need a
 dictionary of the whole corpus: a shard brings the words that it uses.
 
@@ -33,9 +33,9 @@ from __future__ import annotations
 
 import io
 import sys
-from collections import Counter, defaultdict
+import zlib
+from collections import Counter
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -53,11 +53,13 @@ TOP = 2_000
 INSIDE_PERCENT = 50
 SHARD_PHRASES = 200_000
 #: size of the packed tries that are broadcast at a time
-PASS_BYTES = 24 << 20
+PASS_BYTES = 40 << 20
 #: bytes of text handled at once, and entries of a task's tables before they are sent
 STRETCH, FLUSH = 2 << 20, 300_000
 COUNTER_BITS = 26
 PAGE = 4_096
+#: about how many candidates are united at a time
+PART_PHRASES = 20_000
 RANKED_AT_ONCE = 100_000
 DIGIT = 2_048
 
@@ -110,14 +112,19 @@ def stretches(batches) -> Iterator[tuple[str, bytes]]:
 
 def numbered(data: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The distinct words, the text as their numbers, and the number of the piece of each word."""
-    tokens = data.split()  # of ASCII white space only spaces and piece ends are left
-    index: defaultdict = defaultdict(count().__next__)
-    ids = np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens))
     raw = np.frombuffer(data, np.uint8)
     ends = raw == 10
     gap = ends | (raw == 32)
-    starts = np.flatnonzero(~gap & np.r_[True, gap[:-1]]) if len(raw) else np.empty(0, np.int64)
-    return list(index), ids, np.searchsorted(np.flatnonzero(ends), starts)
+    edges = np.flatnonzero(np.diff(gap, prepend=True, append=True))  # a word begins, a word is over, and so on
+    starts, over = edges[::2], edges[1::2]
+    offsets = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(over - starts, out=offsets[1:])
+    words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw[~gap])])
+    coded = words.dictionary_encode()
+    _, bounds, text = coded.dictionary.buffers()
+    bounds, text = np.frombuffer(bounds, np.int32).tolist()[:len(coded.dictionary) + 1], text.to_pybytes() if text else b""
+    return ([text[a:b] for a, b in zip(bounds, bounds[1:])], coded.indices.to_numpy().astype(np.int64),
+            np.searchsorted(np.flatnonzero(ends), starts))
 
 
 def whole(piece: np.ndarray, k: int) -> np.ndarray:
@@ -167,12 +174,12 @@ class Sketch:
         for i in range(0, len(used), 512):
             some = used[i:i + 512]
             rows = self.counts.reshape(-1, width)[some]
-            yield some, [r.tobytes() for r in rows]
+            yield some, [zlib.compress(r, 1) for r in rows]
 
 
 def _bitmap(pages: DataFrame, least: int, bits: int) -> np.ndarray:
     """One bit per counter, set where it reached ``least``: 2^bits / 8 bytes, however large the corpus."""
-    enough = min(least, 255)
+    enough, width = min(least, 255), min(PAGE, 1 << bits)
 
     def run(batches):
         page, total = None, None
@@ -186,12 +193,11 @@ def _bitmap(pages: DataFrame, least: int, bits: int) -> np.ndarray:
                 if at != page:
                     if total is not None:
                         yield sent()
-                    page, total = at, np.zeros(len(counts), np.int64)
-                total += np.frombuffer(counts, np.uint8)
+                    page, total = at, np.zeros(width, np.int64)
+                total += np.frombuffer(zlib.decompress(counts), np.uint8)
         if total is not None:
             yield sent()
 
-    width = min(PAGE, 1 << bits)
     bitmap = np.zeros((1 << bits) // width * max(1, width // 8), np.uint8).reshape(-1, max(1, width // 8))
     summed = (pages.filter(F.col("page").isNotNull()).select("page", "counts")
               .repartition("page").sortWithinPartitions("page").mapInArrow(run, "page long, bits binary"))
@@ -203,40 +209,72 @@ def _bitmap(pages: DataFrame, least: int, bits: int) -> np.ndarray:
 # ---- candidates
 
 def _distinct_phrases(texts: DataFrame, k: int, bitmap, bits: int) -> DataFrame:
-    """(lang, phrase) of the phrases of k words whose counter reached the threshold."""
+    """(lang, phrase) of the phrases of k words whose counter reached the threshold.
+
+    A task sends its phrases as one row for each part of the counters, of which there are as many as keep a part's
+    phrases few; the rows of a part are united where they arrive.
+    """
+    heavy = int(np.bitwise_count(bitmap.value).sum())
+    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-heavy // PART_PHRASES))
+
     def run(batches):
-        found: dict[str, set] = {}
+        found: dict[tuple[str, int], set] = {}
         size = 0
 
         def sent():
-            langs = [lang for lang, phrases in found.items() for _ in phrases]
             return pa.RecordBatch.from_pydict({
-                "lang": pa.array(langs, pa.string()),
-                "phrase": pa.array([x for phrases in found.values() for x in phrases], pa.binary()).cast(pa.string())})
+                "lang": pa.array([lang for lang, _ in found], pa.string()), "part": pa.array([p for _, p in found], pa.int64()),
+                "phrases": pa.array([BREAK.join(x) for x in found.values()], pa.binary())})
 
         for lang, data in stretches(batches):
             words, ids, piece = numbered(data)
             pos = whole(piece, k)
-            if len(pos):
-                pos = pos[has(bitmap.value, Hashes(lang, words, ids, bits).counters(pos, k))]
+            if not len(pos):
+                continue
+            at = Hashes(lang, words, ids, bits).counters(pos, k)
+            likely = has(bitmap.value, at)
+            pos, at = pos[likely], at[likely]
             if not len(pos):
                 continue
             code = ids[pos]
             for j in range(1, k):  # numbered anew with every further word, so codes stay small
                 code = pd.factorize(code * len(words) + ids[pos + j])[0]
             first = np.empty(int(code.max()) + 1, np.int64)
-            first[code] = pos
-            mine = found.setdefault(lang, set())
-            before = len(mine)
-            mine.update(map(b" ".join, zip(*[map(words.__getitem__, ids[first + j].tolist()) for j in range(k)])))
-            size += len(mine) - before
-            if size > FLUSH:
+            first[code] = np.arange(len(pos))
+            first = first[np.argsort(at[first] % parts, kind="stable")]
+            part, pos = at[first] % parts, pos[first]
+            phrases = list(map(b" ".join, zip(*[map(words.__getitem__, ids[pos + j].tolist()) for j in range(k)])))
+            cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+            for a, b in zip(cuts, [*cuts[1:], len(phrases)]):
+                mine = found.setdefault((lang, int(part[a])), set())
+                size -= len(mine)
+                mine.update(phrases[a:b])
+                size += len(mine)
+            if size > 2 * FLUSH:
                 yield sent()
                 found, size = {}, 0
         if found:
             yield sent()
 
-    return texts.mapInArrow(run, "lang string, phrase string").distinct()
+    def united(batches):
+        key, phrases = None, set()
+
+        def sent():
+            return pa.RecordBatch.from_pydict({"lang": pa.array([key[0]] * len(phrases), pa.string()),
+                                               "phrase": pa.array(list(phrases), pa.binary()).cast(pa.string())})
+
+        for lang, part, some in _rows(batches, ("lang", "part", "phrases"), 16):
+            if (lang, part) != key:
+                if phrases:
+                    yield sent()
+                key, phrases = (lang, part), set()
+            phrases.update(some.split(BREAK))
+        if phrases:
+            yield sent()
+
+    sent = texts.mapInArrow(run, "lang string, part long, phrases binary")
+    return (sent.repartition("lang", "part").sortWithinPartitions("lang", "part")
+            .mapInArrow(united, "lang string, phrase string"))
 
 
 def _parts(k: int) -> tuple:
