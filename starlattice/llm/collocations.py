@@ -16,8 +16,8 @@ Level by level, for phrases of k words:
    double-array trie (language, then two digits a word); shards of 40 MB together are broadcast at a time. Every task then holds the
    words of a stretch of text as one array of symbols and moves the states of all its positions
    through the trie at the same time, one level after the other; positions without a transition
-   leave. ``bincount`` counts the accepting states, a task sends its counts once, and Spark sums
-   them over the tasks.
+   leave. ``bincount`` counts the accepting states; a task sends its counts once, as blocks of an array,
+   and these are added up over the tasks.
 
 What is broadcast is bounded: a bit per counter (8 MB), or 40 MB of shards. With more candidates there are more
 passes, each over the texts of the languages in its shards. Words of one text never need a
@@ -430,7 +430,7 @@ class Trie:
 
 
 def _count(texts: DataFrame, k: int, shards, likely, bits: int) -> DataFrame:
-    """(shard, id, f) of the phrases in a few broadcast shards, per task. With ``likely``, the bits of level k, also
+    """(shard, block, counts) of the phrases in a few broadcast shards, per task. With ``likely``, the bits of level k, also
     (page, counts) of the phrases of k + 1 words whose parts may both be frequent."""
     def run(batches):
         tries = [(shard, Trie(packed)) for shard, packed in shards.value] if shards else []
@@ -448,17 +448,42 @@ def _count(texts: DataFrame, k: int, shards, likely, bits: int) -> DataFrame:
                 if seen is not None:
                     total += seen
         for (shard, _), total in zip(tries, totals):
-            at = np.flatnonzero(total)
-            if len(at):
-                yield _row_batch(shard=pa.array(np.full(len(at), shard, np.int32)), id=pa.array(at), f=pa.array(total[at]))
+            rows = np.pad(total, (0, -len(total) % PAGE)).reshape(-1, PAGE)
+            used = np.flatnonzero(rows.any(axis=1))
+            if len(used):
+                yield _row_batch(shard=pa.array(np.full(len(used), shard, np.int32)), block=pa.array(used),
+                                 counts=pa.array([zlib.compress(r, 1) for r in rows[used]], pa.binary()))
         if sketch:
             for pages, counts in sketch.pages():
                 yield _row_batch(page=pa.array(pages), counts=pa.array(counts, pa.binary()))
 
-    return texts.mapInArrow(run, "shard int, id long, f long, page long, counts binary")
+    return texts.mapInArrow(run, "shard int, block long, page long, counts binary")
 
 
-_COUNTED = pa.schema([("shard", pa.int32()), ("id", pa.int64()), ("f", pa.int64()), ("page", pa.int64()), ("counts", pa.binary())])
+def _summed(counted: DataFrame, least: int) -> DataFrame:
+    """(shard, id, f) of the phrases counted ``least`` times or more: the tasks' arrays added up, block by block."""
+    def run(batches):
+        key, total = None, None
+
+        def sent():
+            at = np.flatnonzero(total >= least)
+            return pa.RecordBatch.from_pydict({"shard": pa.array(np.full(len(at), key[0], np.int32)),
+                                               "id": pa.array(at + key[1] * PAGE), "f": pa.array(total[at])})
+
+        for shard, block, counts in _rows(batches, ("shard", "block", "counts")):
+            if (shard, block) != key:
+                if key:
+                    yield sent()
+                key, total = (shard, block), np.zeros(PAGE, np.int64)
+            total += np.frombuffer(zlib.decompress(counts), np.int64)
+        if key:
+            yield sent()
+
+    return (counted.filter("shard is not null").repartition("shard", "block").sortWithinPartitions("shard", "block")
+            .mapInArrow(run, "shard int, id long, f long"))
+
+
+_COUNTED = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("page", pa.int64()), ("counts", pa.binary())])
 
 
 def _row_batch(schema: pa.Schema = _COUNTED, **columns) -> pa.RecordBatch:
@@ -517,7 +542,7 @@ def frequent_phrases(texts: DataFrame, candidates: DataFrame, k: int, least: int
         counted = done if counted is None else counted.unionByName(done)
     if counted is None:
         return keyed.select("lang", "phrase", F.col("id").alias("f")), None  # no candidates, no rows
-    sums = counted.filter("shard is not null").groupBy("shard", "id").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+    sums = _summed(counted, least)
     return materialize(keyed.join(sums, ["shard", "id"]).select("lang", "phrase", "f"), f"phrases-{k}"), pages
 
 
