@@ -55,7 +55,7 @@ SHARD_PHRASES = 200_000
 #: size of the packed tries that are broadcast at a time
 PASS_BYTES = 40 << 20
 #: bytes of text handled at once, and entries of a task's tables before they are sent
-STRETCH, FLUSH = 2 << 20, 300_000
+STRETCH, FLUSH = 2 << 20, 150_000
 COUNTER_BITS = 26
 PAGE = 4_096
 #: about how many candidates are united at a time
