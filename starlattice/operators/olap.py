@@ -33,6 +33,8 @@ SLICE_NAMES = {
     ("month_name", "product_name", "package_size"): "grand_total",
 }
 CUBE_DIMENSIONS = ["month_name", "product_name", "package_size"]
+# The column that tells cells whose keys all resolved.
+MATCHED = "__matched"
 
 
 def denormalize(star, fact: DataFrame | None = None,
@@ -195,24 +197,30 @@ def cube_of_cells(cells: DataFrame, dims: Sequence[str], measures: Sequence[Meas
         *[m.final for m in merged])
 
 
-def star_cube(star, measures: Sequence[Measure] | None = None) -> DataFrame:
-    """The month x product x size cube of a star.
+def star_cells(star, measures: Sequence[Measure], facts: DataFrame | None = None,
+               products: Sequence[str] = ("product_name", "package_size")) -> DataFrame:
+    """A star's cells: the measures' partials by (month_id, product_id), named, with ``__matched``.
 
-    The fact is aggregated by (month_id, product_id) before anything is
-    joined; the dimensions are left-joined to those cells, so that
-    unresolved facts reach the grand total. The other slices keep the cells
-    whose month and product both resolved, as the reference's inner joins do.
+    The fact (or some ``facts`` of it) is aggregated before anything is joined; the dimensions are
+    left-joined to those cells, so that unresolved facts are kept, unmatched.
     """
-    measures = list(measures or cube_measures(star.spec))
     months = star.dim("dim_month").select("month_id", "month_name", F.lit(True).alias("__m"))
-    products = star.dim("dim_product").select("product_id", "product_name", "package_size",
-                                              F.lit(True).alias("__p"))
-    cells = (star.measures.groupBy("month_id", "product_id")
+    members = star.dim("dim_product").select("product_id", *products, F.lit(True).alias("__p"))
+    cells = ((star.measures if facts is None else facts).groupBy("month_id", "product_id")
              .agg(*[p for m in measures for p in m.partials])
-             .join(months, "month_id", "left").join(products, "product_id", "left"))
+             .join(months, "month_id", "left").join(members, "product_id", "left"))
     matched = F.coalesce(F.col("__m"), F.lit(False)) & F.coalesce(F.col("__p"), F.lit(False))
-    return cube_of_cells(cells.withColumn("__matched", matched), CUBE_DIMENSIONS, measures,
-                         star.spec.all_label)
+    return cells.withColumn(MATCHED, matched)
+
+
+def star_cube(star, measures: Sequence[Measure] | None = None) -> DataFrame:
+    """The month x product x size cube of a star.
+
+    It comes from :func:`star_cells`. The slices with a dimension keep the cells whose month and
+    product both resolved, as the reference's inner joins do; the grand total keeps every cell.
+    """
+    measures = list(measures or cube_measures(star.spec))
+    return cube_of_cells(star_cells(star, measures), CUBE_DIMENSIONS, measures, star.spec.all_label)
 
 
 # Slices by one dimension other than the month come by revenue, the others by their members.

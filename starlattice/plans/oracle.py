@@ -694,6 +694,13 @@ def oracle_sql() -> dict[str, str]:
     for qid, _, _ in QUERY_TEXTS:
         q[f"query_export_{qid}"] = QUERIES[qid]
     q["cube_export_back"] = q["cube"]
+    for name in ("full", "month_product", "month_size", "product_size", "month", "product", "size", "grand_total"):
+        q[f"lattice_{name}"] = q[f"cube_{name}"]
+    with_category = "(SELECT c.*, dp.category FROM cube_joined c JOIN dim_product dp ON c.product_id = dp.product_id)"
+    q["lattice_category_size"] = (f"SELECT 'All' AS month_name, 'All' AS product_name, package_size, category, {CUBE_MEASURES} "
+                                  f"FROM {with_category} GROUP BY category, package_size")
+    q["lattice_dice"] = (f"SELECT 'All' AS month_name, product_name, 'All' AS package_size, {CUBE_MEASURES} FROM cube_joined "
+                         "WHERE month_name LIKE '1998-%' AND package_size IN ('500g', '1kg') GROUP BY product_name")
     dashboard = {**{t: f"SELECT * FROM {t}" for t in STAR_TABLES}, "kpis": QUERIES["kpis"],
                  "product_revenue": QUERIES["revenue_by_product"],
                  "size_revenue": QUERIES["revenue_by_size"], "daily_trend": QUERIES["daily_trend"],

@@ -31,7 +31,7 @@ from ..session import scratch_path
 from ..sinks import writers
 from ..sources import fixtures, readers
 from ..spec import DEFAULT_SPEC
-from . import growing
+from . import growing, lattice
 from .bundle import QUERY_TEXTS, cube_metadata, dashboard_datasets, query_bundle
 from .star import Star, fixture_star, named_star, star_from_tables
 
@@ -444,6 +444,29 @@ def _rolled_cells(*keys: str):
     return run
 
 
+LATTICE_DIMENSIONS = [*O.CUBE_DIMENSIONS, "category"]
+LATTICE_SLICES = {"full": ["month_name", "product_name", "package_size"], "month_product": ["month_name", "product_name"],
+                  "month_size": ["month_name", "package_size"], "product_size": ["product_name", "package_size"],
+                  "month": ["month_name"], "product": ["product_name"], "size": ["package_size"], "grand_total": []}
+
+
+def _lattice(spark, sf_dir) -> lattice.Lattice:
+    """The stored cuboids of the star: written from the facts of its earlier dates, extended by all others."""
+    key = ("lattice", spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _STARS:
+        star, root = star_for(spark, sf_dir), scratch_path(spark, "lattice")
+        measures = cube_measures(star.spec)
+        early = F.coalesce(F.col("date_id") <= star.rows["dim_date"] // 2, F.lit(False))
+        cells = [O.star_cells(star, measures, star.measures.where(part), LATTICE_DIMENSIONS[1:]) for part in (early, ~early)]
+        lattice.extend_lattice(lattice.write_lattice(spark, root, cells[0], LATTICE_DIMENSIONS, measures), cells[1])
+        _STARS[key] = lattice.open_lattice(spark, root, measures)
+    return _STARS[key]
+
+
+def _from_lattice(keep, members=None, labelled=O.CUBE_DIMENSIONS):
+    return lambda spark, sf_dir: _lattice(spark, sf_dir).answer(keep, members, labelled)
+
+
 def load_counts_q(spark, sf_dir):
     return growing.load_counts(spark, _grown(spark, sf_dir)[0])
 
@@ -493,6 +516,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quarantine": quarantine_q,
         "rejected_counts": rejected_counts,
         "stream_summary_grown": stream_summary_grown,
+        # roll-ups and dices from stored cuboids
+        **{f"lattice_{name}": _from_lattice(keep) for name, keep in LATTICE_SLICES.items()},
+        "lattice_category_size": _from_lattice(["category", "package_size"], labelled=LATTICE_DIMENSIONS),
+        "lattice_dice": _from_lattice(["product_name"], {"month_name": DICE_MEMBERS["month_name"],
+                                                         "package_size": [DICE_MEMBERS["package_size"], "1kg"]}),
         "cube_export_back": s(cube_export_back),
         "cube_metadata_named": _named(cube_metadata_q),
         "check_month_named": _named(Q.check_month_agreement),
