@@ -692,7 +692,7 @@ def oracle_sql() -> dict[str, str]:
     for t in ("dim_product", "dim_month", "fact_sales", "summary_monthly"):
         q[f"export_{t}"] = f"SELECT * FROM {t}"
     for qid, _, _ in QUERY_TEXTS:
-        q[f"query_export_{qid}"] = QUERIES[qid]
+        q[f"query_export_{qid}"] = q[f"shared_{qid}"] = q[f"document_{qid}"] = QUERIES[qid]
     q["cube_export_back"] = q["cube"]
     for name in ("full", "month_product", "month_size", "product_size", "month", "product", "size", "grand_total"):
         q[f"lattice_{name}"] = q[f"cube_{name}"]
