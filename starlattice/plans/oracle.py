@@ -694,6 +694,19 @@ def oracle_sql() -> dict[str, str]:
     for qid, _, _ in QUERY_TEXTS:
         q[f"query_export_{qid}"] = q[f"shared_{qid}"] = q[f"document_{qid}"] = QUERIES[qid]
     q["cube_export_back"] = q["cube"]
+    q["titled_catalogue"], q["titled_monthly"] = q["clean_catalogue"], q["scan_monthly"]
+    columns = "Date,Product,Size (g),Boxes Sold,Pieces per Box,Price per Piece,Revenue,Cost per Piece,Total Cost,Profit,Margin %"
+    q["titled_headers"] = f"""SELECT sheet, CAST(2 AS BIGINT) AS files, CASE sheet
+      WHEN 'june_month_sales' THEN replace('{columns}', 'Date,Product,', 'Sale Date,Item,')
+      WHEN 'november_month_sales' THEN replace('{columns}', 'Date,Product,', 'Day,Product,') ELSE '{columns}' END AS header,
+      COUNT(*) AS rows FROM raw_monthly GROUP BY sheet"""
+    q["scan_summary_sheet"] = "SELECT * FROM summary_monthly"
+    q["scan_first_existing"] = q["scan_transactions"]
+    q["zorder_dice"] = q["olap_dice"]
+    q["zorder_size_rollup"] = f"""SELECT dm.month_name, {money("f.revenue", None)} AS total_revenue,
+      {money("f.profit", None)} AS total_profit FROM facts f JOIN dim_product dp ON f.product_id = dp.product_id
+      JOIN dim_month dm ON f.month_id = dm.month_id WHERE dp.package_size IN ('500g', '1kg') GROUP BY dm.month_name"""
+    q["bucketed_rollup_product"], q["bucketed_star_join"] = q["rollup_product"], q["star_join"]
     for name in ("full", "month_product", "month_size", "product_size", "month", "product", "size", "grand_total"):
         q[f"lattice_{name}"] = q[f"cube_{name}"]
     with_category = "(SELECT c.*, dp.category FROM cube_joined c JOIN dim_product dp ON c.product_id = dp.product_id)"
@@ -707,7 +720,7 @@ def oracle_sql() -> dict[str, str]:
                  "top_records": q["top_records"]}
     q["export_dashboard"] = ("SELECT * FROM (VALUES " + ", ".join(
         f"('{name}', {_count(body)})" for name, body in dashboard.items()) + ") t(dataset, rows)")
-    for name in ("fact_sales", "star_build", "scan_star", "star_join", "clean_transactions",
+    for name in ("fact_sales", "star_build", "scan_star", "star_join", "bucketed_star_join", "clean_transactions",
                  "export_fact_sales"):
         q[name] = _edge(q[name])
     out = {name: _q(body) for name, body in q.items()}

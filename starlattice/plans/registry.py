@@ -23,16 +23,19 @@ from ..functions.text import clean_text, strip_ws
 from ..operators import analytics as A
 from ..operators import checks as Q
 from ..operators import olap as O
-from ..operators.clean import (CATALOGUE_COLUMNS, MONTHLY_COLUMNS, REJECTIONS, clean_monthly, drop_missing,
+from ..operators.clean import (CATALOGUE_COLUMNS, MONTHLY_COLUMNS, REJECTIONS, clean_catalogue, clean_monthly, drop_missing,
                                flag_transactions, keep_date_like, normalize_columns, quarantine_transactions,
                                rename_positional, tag_source)
 from ..operators.fact import lookup_keys
 from ..session import scratch_path
 from ..sinks import writers
 from ..sources import fixtures, readers
+from ..sources.sheets import numbered_lines, read_sheets
 from ..spec import DEFAULT_SPEC
 from . import growing, lattice
+from .bucketed import write_bucketed
 from .bundle import QUERY_TEXTS, cube_metadata, dashboard_datasets, query_bundle
+from .layout import write_layout
 from .shared import bundle_document, document_rows, shared_bundle
 from .star import Star, fixture_star, named_star, star_from_tables
 
@@ -511,6 +514,94 @@ def stream_summary_grown(spark, sf_dir):
     return star.summary_monthly.drop("month_id")
 
 
+# --- sheets whose header stands below titles ---------------------------------
+
+def _staged(kind: str, stage, spark, sf_dir) -> str:
+    key = (kind, spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _STARS:
+        _STARS[key] = stage(spark, sf_dir)
+    return _STARS[key]
+
+
+def titled_catalogue(spark, sf_dir):
+    """The catalogue from CSV with its header on the second line, cleaned."""
+    path = _staged("titled-catalogue", fixtures.stage_titled_catalogue, spark, sf_dir)
+    raw = read_sheets(spark, path, CATALOGUE_COLUMNS, fixtures.CATALOGUE_TITLES)
+    return clean_catalogue(raw.drop("sheet")).drop("_row")
+
+
+def titled_monthly(spark, sf_dir):
+    """All monthly sheets from CSV with their headers on the third line, named by position."""
+    path = _staged("titled-sheets", fixtures.stage_titled_sheets, spark, sf_dir)
+    return read_sheets(spark, path, MONTHLY_COLUMNS, fixtures.MONTHLY_TITLES).drop("_row")
+
+
+def titled_headers(spark, sf_dir):
+    """Sheets, their files, their header text and the lines below it, from the lines' places."""
+    from ..functions.text import path_leaf_dir
+    path = _staged("titled-sheets", fixtures.stage_titled_sheets, spark, sf_dir)
+    lines = numbered_lines(spark, path).withColumn("sheet", path_leaf_dir(F.col("file")))
+    titles = fixtures.MONTHLY_TITLES
+    return lines.groupBy("sheet").agg(F.countDistinct("file").alias("files"),
+                                      F.max(F.when(F.col("line_no") == titles, F.col("line"))).alias("header"),
+                                      F.count_if(F.col("line_no") > titles).alias("rows"))
+
+
+def scan_summary_sheet(star):
+    """A summary sheet (S4): the monthly summary as exported text, read back as text and typed."""
+    summary = star.summary_monthly
+    raw = read_sheets(star.spark, fixtures.stage_summary_sheet(summary), summary.columns)
+    return raw.select(*[F.col(f.name).cast(f.dataType) for f in summary.schema.fields])
+
+
+def scan_first_existing(spark, sf_dir):
+    """The master sheet from the first of several places that exists."""
+    path = star_for(spark, sf_dir).raw_path
+    return readers.first_existing(spark, [f"{path}-absent", path],
+                                  lambda s, p: readers.read_transactions(s, p, lineage=False))
+
+
+# --- a fact laid out by several dimensions, and one bucketed with a dimension -----
+
+# enough files at any size for the layout to leave most of them out
+LAYOUT_FILES = 32
+
+
+def _layout(star):
+    key = ("layout", id(star))
+    if key not in _STARS:
+        _STARS[key] = write_layout(star, scratch_path(star.spark, "layout"), files=LAYOUT_FILES)
+    return _STARS[key]
+
+
+def zorder_dice(star):
+    return at_edge(_layout(star).dice(DICE_MEMBERS).select("full_date", "month_name", "quantity", "revenue"))
+
+
+def zorder_size_rollup(star):
+    """Revenue by month of two sizes, months left open."""
+    diced = _layout(star).dice({"package_size": ["500g", "1kg"]}, ["dim_product", "dim_month"])
+    return O.roll_up(diced, ["month_name"], [money_sum("revenue", "total_revenue", None),
+                                             money_sum("profit", "total_profit", None)])
+
+
+def _bucketed(star):
+    key = ("bucketed", id(star))
+    if key not in _STARS:
+        _STARS[key] = write_bucketed(star, name=scratch_path(star.spark, "bucketed").rsplit("/", 1)[1].replace("-", "_"))
+    return _STARS[key]
+
+
+def bucketed_rollup_product(star):
+    return O.roll_up(_bucketed(star).join(["product_name"]), ["product_name"],
+                     [money_sum("revenue", "total_revenue", None), money_sum("profit", "total_profit", None)])
+
+
+def bucketed_star_join(star):
+    joined = _bucketed(star).join(["product_name", "package_size", "category"])
+    return at_edge(O.denormalize(star, joined, ("dim_date", "dim_month")).drop("month_key", "sales_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     s = _with_star
     return {
@@ -541,6 +632,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # the bundle from one scan, and read back from one table of VARIANT rows
         **{f"shared_{qid}": _shared_query(qid) for qid, _, _ in QUERY_TEXTS},
         **{f"document_{qid}": _document_query(qid) for qid, _, _ in QUERY_TEXTS},
+        # sheets with titles above their headers, and the sources that had no entry
+        "titled_catalogue": titled_catalogue,
+        "titled_monthly": titled_monthly,
+        "titled_headers": titled_headers,
+        "scan_summary_sheet": s(scan_summary_sheet),
+        "scan_first_existing": scan_first_existing,
+        # dices over a Z-ordered fact, joins over a bucketed one
+        "zorder_dice": s(zorder_dice),
+        "zorder_size_rollup": s(zorder_size_rollup),
+        "bucketed_rollup_product": s(bucketed_rollup_product),
+        "bucketed_star_join": s(bucketed_star_join),
         # roll-ups and dices from stored cuboids
         **{f"lattice_{name}": _from_lattice(keep) for name, keep in LATTICE_SLICES.items()},
         "lattice_category_size": _from_lattice(["category", "package_size"], labelled=LATTICE_DIMENSIONS),

@@ -22,7 +22,7 @@ revenue rounded half away from zero to 4 places with integer arithmetic.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import half_away_quotient
@@ -209,3 +209,47 @@ def stage_monthly_sheets(spark: SparkSession, sf_dir: str) -> list[str]:
         one = rows.where(F.col("sheet") == sheet).drop("sheet")
         one.toDF(*headers, *one.columns[len(headers):]).write.parquet(f"{root}/sheet={sheet}")
     return [f"{root}/sheet={s}" for s in SHEETS]
+
+
+# How many lines stand above the header line of the catalogue and of a monthly sheet.
+CATALOGUE_TITLES, MONTHLY_TITLES = 1, 2
+_CSV = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _csv_lines(df: DataFrame, columns: list[str]) -> Column:
+    return F.to_csv(F.struct(*[F.col(f"`{c}`") for c in columns]), _CSV)
+
+
+def stage_titled_catalogue(spark: SparkSession, sf_dir: str, files: int = 3) -> str:
+    """Write the catalogue as CSV files in row order, a title line and the header on top of each; return the folder."""
+    path = scratch_path(spark, "titled-catalogue")
+    rows = raw_catalogue(spark, sf_dir)
+    header = ",".join(RAW_CATALOGUE_HEADERS)
+    line = _csv_lines(rows, RAW_CATALOGUE_HEADERS)
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    ranged = rows.repartitionByRange(files, "_row").sortWithinPartitions("_row")
+    ranged.select(F.when(first, F.concat(F.lit(f"Business overview\n{header}\n"), line)).otherwise(line).alias("value")).write.text(path)
+    return path
+
+
+def stage_titled_sheets(spark: SparkSession, sf_dir: str, files: int = 2) -> str:
+    """Write the monthly sheets as CSV, ``files`` files a sheet, each with a title, a blank line and the header; return the folder."""
+    path = scratch_path(spark, "titled-sheets")
+    rows = raw_monthly(spark, sf_dir)
+    columns = [c for c in rows.columns if c != "sheet"]
+    headers = F.lit(",".join(columns))
+    for sheet, other in OTHER_HEADERS.items():
+        headers = F.when(F.col("sheet") == sheet, F.lit(",".join([*other, *columns[len(other):]]))).otherwise(headers)
+    lines = (rows.select("sheet", headers.alias("header"), _csv_lines(rows, columns).alias("line"))
+             .withColumn("place", F.xxhash64("line")).withColumn("part", F.pmod("place", F.lit(files)).cast("int")))
+    place = F.row_number().over(Window.partitionBy("part", "sheet").orderBy("place"))
+    titled = F.when(place == 1, F.concat(F.lit("Monthly sales\n\n"), "header", F.lit("\n"), "line")).otherwise(F.col("line"))
+    lines.select(titled.alias("value"), "part", "sheet").write.partitionBy("part", "sheet").text(path)
+    return path
+
+
+def stage_summary_sheet(summary: DataFrame) -> str:
+    """Write a summary table as the CSV sheet that a report would export, the header on its first line."""
+    path = scratch_path(summary.sparkSession, "summary-sheet")
+    summary.write.option("header", "true").csv(path)
+    return path
