@@ -7,8 +7,13 @@ pairs sorted and numbered again, and so on until a single name is left. Two text
 
 Names are found without moving a block twice. Blocks are grouped under a 128-bit stand-in, and each
 group carries its smallest and largest block; if these differ anywhere, two different blocks share
-a stand-in and the whole numbering is done again with another seed. So the stand-in only routes,
-and the names are free of collisions by check.
+a stand-in and the whole numbering is done again with another seed. So the stand-in takes the block's
+place in joins, and the names are free of collisions by check.
+
+Names are ranks in one order over all partitions: blocks by their first ``SORTED_CHARS`` characters, then by
+stand-in (which no two blocks share), pairs by their two names. Rows are range-partitioned and sorted by it, and a
+partition's ranks begin where the partitions before it end. So names depend on the texts alone, not on how
+Spark has dealt them, and a block's whole text is not shuffled again to be sorted.
 
 Defined results: null text counts as empty, and all empty texts are equal. Among equal texts the row
 with the largest doc_id stays; a null doc_id is below every number. Repeated rows (same doc_id and
@@ -25,8 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlattice.llm.common import ascii_lower, is_empty, materialize, text_or_empty, unused
+from starlattice.operators.numbering import sequential_ids
 
 BLOCK_CHARS = 4096
+SORTED_CHARS = 32
 
 
 def _blocks(docs: DataFrame, block_chars: int) -> DataFrame:
@@ -44,8 +51,8 @@ def _blocks(docs: DataFrame, block_chars: int) -> DataFrame:
 
 
 def _numbered(distinct: DataFrame, order: list[str]) -> DataFrame:
-    """Sorted distinct values with an integer name each (unique over all partitions)."""
-    return distinct.sortWithinPartitions(*order).withColumn("name", F.monotonically_increasing_id())
+    """Distinct values with their rank in ``order``, from 0, as name."""
+    return sequential_ids(distinct, [F.col(c) for c in order], "name", start=0, name="ranked")
 
 
 def _name_blocks(blocks: DataFrame) -> DataFrame:
@@ -56,10 +63,10 @@ def _name_blocks(blocks: DataFrame) -> DataFrame:
                  .withColumn("k2", F.xxhash64("block", F.lit(seed + 1))))
         groups = (keyed.groupBy("k1", "k2")
                   .agg(F.min("block").alias("lo"), F.max("block").alias("hi")))
-        names = materialize(_numbered(groups, ["lo"])
-                            .select("k1", "k2", "name", (F.col("lo") != F.col("hi")).alias("clash")),
-                            "block-names")
-        if is_empty(names.filter("clash")):
+        groups = materialize(groups.select("k1", "k2", F.substring("lo", 1, SORTED_CHARS).alias("head"),
+                                           (F.col("lo") != F.col("hi")).alias("clash")), "block-groups")
+        if is_empty(groups.filter("clash")):
+            names = _numbered(groups.drop("clash"), ["head", "k1", "k2"]).select("k1", "k2", "name")
             return materialize(keyed.join(names, ["k1", "k2"])
                                .select("rid", "doc_id", "sha", "n", "pos", "name"), "block-level")
         seed += 2
@@ -72,7 +79,7 @@ def _name_pairs(level: DataFrame) -> DataFrame:
         level.groupBy("rid", "n", "width", F.floor(F.col("pos") / 2).alias("at"))
         .agg(F.max(F.when(even, F.col("name"))).alias("a"),
              F.coalesce(F.max(F.when(~even, F.col("name"))), F.lit(-1)).alias("b")), "pairs")
-    names = materialize(_numbered(pairs.select("a", "b").distinct(), ["a", "b"]), "pair-names")
+    names = _numbered(materialize(pairs.select("a", "b").distinct(), "distinct-pairs"), ["a", "b"])
     return materialize(
         pairs.join(names, ["a", "b"])
         .select("rid", "n", F.ceil(F.col("width") / 2).alias("width"), F.col("at").alias("pos"), "name"),
