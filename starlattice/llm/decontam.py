@@ -58,8 +58,9 @@ class Automaton:
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         self.items: dict[int, set[str]] = {}  # state of a whole window -> items that have it
-        self.short: dict[int, list[tuple[int, str]]] = {}  # state of a short item -> (words, item)
+        self.short: dict[int, dict[int, set[str]]] = {}  # state of short items -> words -> items
         self.short_up: list[int] = []
+        self.window_up: list[int] = []
         self.least = window
 
     def _state(self, length: int, link: int, next_: dict[int, int]) -> int:
@@ -111,15 +112,22 @@ class Automaton:
             if size == k == self.window:
                 self.items.setdefault(state, set()).add(item)
         if 0 < k < self.window:
-            self.short.setdefault(state, []).append((k, item))
+            self.short.setdefault(state, {}).setdefault(k, set()).add(item)
             self.least = min(self.least, k)
 
     def close(self) -> None:
-        """For each state the nearest one up its links (itself included) where a short item ends."""
+        """For each state the nearest one up its links (itself included) where a short item ends, and the last
+        one up them that still holds a window."""
+        order = sorted(range(1, len(self.length)), key=self.length.__getitem__)
         if self.short:
             self.short_up = [-1] * len(self.length)
-            for v in sorted(range(1, len(self.length)), key=self.length.__getitem__):
+            for v in order:
                 self.short_up[v] = v if v in self.short else self.short_up[self.link[v]]
+        self.window_up = [-1] * len(self.length)
+        for v in order:
+            if self.length[v] >= self.window:
+                up = self.link[v]
+                self.window_up[v] = self.window_up[up] if self.length[up] >= self.window else v
 
     def scan(self, words: np.ndarray) -> tuple[list[tuple[int, int]], set[str]]:
         """Marked ranges of word positions, joined, and the items whose windows occur."""
@@ -128,6 +136,7 @@ class Automaton:
         nxt, link, length, window = self.next, self.link, self.length, self.window
         spans: list[tuple[int, int]] = []
         items: set[str] = set()
+        met: set = set()  # states whose items the document has
 
         def hit(start: int, end: int) -> None:
             while spans and spans[-1][1] >= start:
@@ -146,18 +155,20 @@ class Automaton:
                     continue
                 state, size = nxt[state][c], size + 1
                 if size >= window:
-                    v = state
-                    while length[link[v]] >= window:
-                        v = link[v]
+                    v = self.window_up[state]
                     if v in self.items:
-                        items |= self.items[v]
+                        if v not in met:
+                            met.add(v)
+                            items |= self.items[v]
                         hit(i + 1 - window, i + 1)
                 if self.short:
                     v = self.short_up[state]
                     while v > 0:
-                        for k, item in self.short[v]:
+                        for k, its in self.short[v].items():
                             if v != state or k <= size:
-                                items.add(item)
+                                if (v, k) not in met:
+                                    met.add((v, k))
+                                    items |= its
                                 hit(i + 1 - k, i + 1)
                         v = self.short_up[link[v]]
         return spans, items
