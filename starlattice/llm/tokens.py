@@ -18,6 +18,7 @@ doc_id and text are read. Long texts are split in segments of about ``SEGMENT``
 from __future__ import annotations
 
 import json
+import re
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -40,6 +41,25 @@ TOGETHER = 1 << 21
 ROWS = 1000
 # fixed values: the byte-level alphabet writes these bytes as themselves and the others from U+0100 on
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+# fixed values: lower-case letters that the tokenizer's Unicode version has and an older interpreter may lack
+NEWER_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5,
+               0xA7DA: 0xA7DB, 0xA7DC: 0x19B, **{c: c + 0x20 for c in range(0x10D50, 0x10D66)},
+               **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}}
+HAS_NEWER = re.compile("[%s]" % "".join(map(chr, NEWER_LOWER)))
+
+
+WHITE_SPACE = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+
+
+def normal(text: str) -> str:
+    """NFC and lower case, as the vocabulary's normaliser gives them (a test compares all code points).
+
+    Greek capital sigma is lowered alike everywhere; str.lower() has a rule for word ends.
+    """
+    text = unicodedata.normalize("NFC", text)
+    if not text.isascii() and HAS_NEWER.search(text):
+        text = text.translate(NEWER_LOWER)
+    return text.replace("Σ", "σ").lower()
 
 
 def load_merges(path: str, max_merges: int = MAX_MERGES) -> dict:
@@ -49,6 +69,10 @@ def load_merges(path: str, max_merges: int = MAX_MERGES) -> dict:
     vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
     if len(merges) > max_merges:
         raise ValueError(f"{len(merges)} merges are more than {max_merges}")
+    steps = spec["normalizer"].get("normalizers", [spec["normalizer"]])
+    # white space is dropped by the split, so replacing it changes no count
+    if [s["type"] for s in steps if s != WHITE_SPACE] != ["NFC", "Lowercase"]:
+        raise ValueError(f"normaliser not known: {steps}")
     end = spec["model"]["end_of_word_suffix"] or ""
     merges = [m.split(" ") if isinstance(m, str) else m for m in merges]
     key = np.array([vocab[a] << 32 | vocab[b] for a, b in merges], np.int64)
@@ -118,8 +142,7 @@ class Counter:
             self.sizes.update(zip(new, merged_sizes(raw, self.merges).tolist()))
 
     def _parts(self, text: str) -> Iterator[str]:
-        # Greek capital sigma is lowered alike everywhere; str.lower() has a rule for word ends
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        text = normal(text)
         at = 0
         while at < len(text):
             end = at + SEGMENT
