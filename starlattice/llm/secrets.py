@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import sys
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -103,11 +104,12 @@ def scan_unseen(docs: DataFrame, ledger: str, run: str) -> int:
     return spark.read.parquet(part).count()
 
 
-def secrets(docs: DataFrame, ledger: str | None = None, run: str = "0") -> DataFrame:
-    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans. Without a ledger, a new one is begun."""
+def secrets(docs: DataFrame, ledger: str | None = None, run: str | None = None) -> DataFrame:
+    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans. Without a ledger, a new one is begun; without the
+    name of a run, a name of its own is given, so a run that died can be repeated."""
     spark = docs.sparkSession
     ledger = ledger or scratch_path(spark, "secret-ledger")
-    scan_unseen(docs, ledger, run)
+    scan_unseen(docs, ledger, run or uuid.uuid4().hex)
     now = [f"{kind}@{version}" for kind, version, _ in RULES]
     found = (read_ledger(spark, ledger).filter(F.size("findings") > 0)
              .groupBy("blob").agg(F.flatten(F.collect_list("findings")).alias("f"))
