@@ -7,8 +7,8 @@ nothing however many there are. The weights w are trained from document labels a
 log-likelihood of the noisy-or; the sentences with p of one half or more are the offending ones.
 
 Features are words and their first letters (``PREFIXES``), so that unseen endings of a known stem count.
-Those enter that are significantly more frequent in toxic training documents (G-test at ``G_LEAST``,
-at most ``max_features``, the most significant first).
+All enter that are significantly more frequent in toxic training documents (G-test at ``G_LEAST``); only the
+bounded training sample bounds their number.
 
 Training takes a bounded sample: about ``sample_rows`` labelled documents of the training folds, chosen
 by a hash of the doc_id, so reruns agree. Where rows of a sampled doc_id have different texts, the one with the
@@ -40,7 +40,6 @@ ship_with_tasks(sys.modules[__name__])
 THRESHOLD = 0.7
 SAMPLE_ROWS = 20_000
 SAMPLE_GRAIN = 1 << 53  # so fine that the share of any number of labels is met
-MAX_FEATURES = 4096
 PREFIXES = (4, 5, 6)
 G_LEAST = 30.0
 LEAST_DOCS = 5
@@ -79,8 +78,8 @@ def _count_features(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array([counts[1][f] for f in part], pa.int64())], ["feature", "clean", "toxic"])
 
 
-def significant_features(sample: DataFrame, max_features: int) -> list[bytes]:
-    """Features more frequent in toxic documents, at most max_features."""
+def significant_features(sample: DataFrame) -> list[bytes]:
+    """All features significantly more frequent in toxic documents; the sample bounds their number."""
     total = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = total.get(0, 0), total.get(1, 0)
     if not n0 or not n1:
@@ -92,7 +91,7 @@ def significant_features(sample: DataFrame, max_features: int) -> list[bytes]:
     c, t, n = F.col("c"), F.col("t"), n0 + n1
     have, lack = c + t, n - c - t
     g = 2 * (part(t, have * n1 / n) + part(c, have * n0 / n) + part(n1 - t, lack * n1 / n) + part(n0 - c, lack * n0 / n))
-    best = per.withColumn("g", g).filter(F.col("g") >= G_LEAST).orderBy(F.col("g").desc(), "feature").limit(max_features)
+    best = per.withColumn("g", g).filter(F.col("g") >= G_LEAST).orderBy(F.col("g").desc(), "feature")
     return [bytes(r["feature"]) for r in best.select("feature").collect()]
 
 
@@ -136,7 +135,7 @@ def fit(toxic: np.ndarray, bags: list[np.ndarray], n_features: int, steps: int =
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_features: int = MAX_FEATURES) -> dict[bytes, float]:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict[bytes, float]:
     """Feature weights from about sample_rows labelled documents of the training folds."""
     spark = docs.sparkSession
     marks = (labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"))
@@ -150,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ma
     least = F.min(F.struct(F.xxhash64("text").alias("text_hash"), "text"))["text"]
     sample = materialize(rows.join(F.broadcast(materialize(marks, "toxicity-labels")), "id")
                          .groupBy("id", "toxic").agg(least.alias("text")).select("id", "text", "toxic"), "toxicity-sample")
-    features = significant_features(sample, max_features)
+    features = significant_features(sample)
     if not features:
         return {}
     index = spark.sparkContext.broadcast({f: i for i, f in enumerate(features)})
@@ -207,11 +206,10 @@ class Scorer:
         return 1.0 - float(np.exp(-total)), places
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample_rows: int = SAMPLE_ROWS,
-             max_features: int = MAX_FEATURES) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted, offending (start and end of each offending
     sentence in code points)."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample_rows, max_features))
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample_rows))
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.value)
