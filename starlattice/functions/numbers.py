@@ -27,9 +27,9 @@ def lenient_number(c, parse_type: str = "decimal(38,10)") -> Column:
     wide = _col(c).try_cast("double")
     written = _col(c).cast("string").rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$")
     finite = wide.isNotNull() & written & (F.abs(wide) < F.lit(float("inf")))
-    return (F.when(value.isNotNull(), value)
-            .when(finite, F.raise_error(F.concat(F.lit(f"number does not fit {parse_type}: "), _col(c).cast("string")))
-                  .cast(parse_type)))
+    # coalesce parses a number once; only what did not parse is looked at again
+    return F.coalesce(value, F.when(finite, F.raise_error(F.concat(F.lit(f"number does not fit {parse_type}: "), _col(c).cast("string")))
+                                    .cast(parse_type)))
 
 
 def exact_cast(c, to: str) -> Column:
@@ -56,9 +56,8 @@ def half_away_quotient(a, b, places: int = 0, fast: bool = True) -> Column:
     """round_half_away_from_zero(a * 10**places / b) as an integral decimal.
 
     ``a`` and ``b`` must be integral. NULL when ``b`` is zero or NULL.
-    Rows whose operands keep every intermediate below 2**53 take a fast
-    path in 64-bit integers (the final exact division is done in double,
-    which is exact there); larger rows take the same formula in 38-digit
+    Rows whose operands keep every intermediate in 64 bits take a fast
+    path in 64-bit integers; larger rows take the same formula in 38-digit
     decimals. Both paths give the same integer, in every engine.
     ``fast=False`` keeps only the decimal path (smaller code, for values
     computed once per group rather than per row).
@@ -71,11 +70,11 @@ def half_away_quotient(a, b, places: int = 0, fast: bool = True) -> Column:
         den = F.abs(db) * F.lit(2).cast(INT38)
         k = floor_div(num, F.when(den == 0, F.lit(1).cast(INT38)).otherwise(den))
         return F.when(db != 0, F.when((da < 0) != (db < 0), -k).otherwise(k))
-    bound = (2 ** 53 - 1) // (2 * 10 ** places + 1)
+    bound = (2 ** 62 - 1) // (2 * 10 ** places + 1)
     la, lb = a.cast("long"), b.cast("long")
     fast_num = F.abs(la) * F.lit(2 * 10 ** places) + F.abs(lb)
     fast_den = F.abs(lb) * F.lit(2)
-    fast_k = ((fast_num - fast_num % fast_den).cast("double") / fast_den.cast("double")).cast(INT38)
+    fast_k = F.call_function("div", fast_num, fast_den).cast(INT38)
     da, db = a.cast(INT38), b.cast(INT38)
     num = F.abs(da) * F.lit(2 * 10 ** places).cast(INT38) + F.abs(db)
     den = F.abs(db) * F.lit(2).cast(INT38)

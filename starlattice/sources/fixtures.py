@@ -22,6 +22,8 @@ revenue rounded half away from zero to 4 places with integer arithmetic.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,7 +57,8 @@ def size_bucket(p_size: Column) -> Column:
     return expr.otherwise(F.lit(LARGEST_SIZE))
 
 
-def sales_lines(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+def sales_lines(spark: SparkSession, sf_dir: str, partitions: int | None = None,
+                per_order: Sequence[Column] = ()) -> DataFrame:
     """lineitem x orders x part with the exact money columns (no dirt yet).
 
     ``partitions`` deals the lines anew first: a table of one file that cannot be
@@ -65,6 +68,13 @@ def sales_lines(spark: SparkSession, sf_dir: str, partitions: int | None = None)
     in cents times (100 - discount in percent), minus quantity times
     retail price in cents times 100. The values equal the decimal formulas
     (price x (1 - discount), revenue - quantity x price) exactly.
+
+    What an order or a part alone decides (the texts of its day, its name and
+    its size) is computed before the joins: once per order or part instead of
+    once per line, and outside the lines' generated code. That code must stay
+    below 8000 bytes a method, above which the JVM interprets it (3 times slower), also
+    where the joins are too large to broadcast. ``per_order``
+    are further such columns over ``l_orderkey`` and ``day``.
     """
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -72,31 +82,39 @@ def sales_lines(spark: SparkSession, sf_dir: str, partitions: int | None = None)
         F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(LINEAGE))
     if partitions:
         li = li.repartition(partitions)
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type",
-                                                "p_size", "p_retailprice")
-    lines = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-               .join(part, li.l_partkey == part.p_partkey))
+    orders = _table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.concat(F.lower(F.date_format("o_orderdate", "MMMM")), F.lit("_month_sales")).alias("sheet"))
+    orders = orders.select("*", *per_order)
+    size = size_bucket(F.col("p_size"))
+    part = _table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", "p_type", "p_size", "p_retailprice", F.upper("p_name").alias("upper_name"),
+        size.alias("size"), F.upper(size).alias("upper_size"))
+    lines = li.join(part, li.l_partkey == part.p_partkey)
     qty = F.col("l_quantity").cast("decimal(12,0)")
     price = F.col("p_retailprice").cast("decimal(12,2)")
     cents = lambda c: (c * F.lit(100)).cast("long")
+    kept = ["l_orderkey", "l_linenumber", "p_name", "p_type", "p_size", "upper_name", "size", "upper_size", LINEAGE]
     base = lines.select(
-        "l_orderkey", "l_linenumber", "o_orderdate", "p_name", "p_type", "p_size", LINEAGE,
-        qty.alias("qty"), price.alias("price"),
+        *kept, qty.alias("qty"), price.alias("price"),
         (cents(F.col("l_extendedprice").cast("decimal(18,2)"))
          * (F.lit(100) - cents(F.col("l_discount").cast("decimal(4,2)")))).alias("rev4"),
         (qty.cast("long") * cents(price) * F.lit(100)).alias("cost4"))
     staged = base.withColumn("prof4", F.col("rev4") - F.col("cost4"))
-    to_money = lambda c: F.round(c.cast("decimal(18,0)") / F.lit(10000), 2).cast("decimal(18,2)")
-    return staged.select(
-        "l_orderkey", "l_linenumber", "o_orderdate", "p_name", "p_type", "p_size", LINEAGE,
-        "qty", "price",
+    def to_money(c: Column) -> Column:
+        """1/10000 to whole cents, half away from zero, as decimal(18,2)."""
+        whole = F.signum(c).cast("long") * F.call_function("div", F.abs(c) + F.lit(50), F.lit(100).cast("long"))
+        return (whole.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(18,2)")
+
+    money = staged.select(
+        *kept, "qty", "price",
         to_money(F.col("rev4")).alias("revenue"),
         to_money(F.col("prof4")).alias("profit"),
         (F.col("qty") * F.col("price")).cast("decimal(18,2)").alias("cost"),
         half_away_quotient(F.col("prof4"), F.col("rev4"), 4).cast("decimal(18,0)").alias("margin_bp"),
-        size_bucket(F.col("p_size")).alias("size"),
     )
+    # the orders come after the money: where this join shuffles, texts and money are code of different stages
+    return money.join(orders, "l_orderkey")
 
 
 def _every(n: int) -> Column:
@@ -105,19 +123,19 @@ def _every(n: int) -> Column:
 
 def raw_transactions(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """The master sheet as text, with messy headers and deterministic dirt."""
-    s = sales_lines(spark, sf_dir, partitions)
+    day = F.col("day")
+    dates = F.when(_every(13), F.lit(None).cast("string")).when(_every(37), F.lit("   ")).otherwise(day)
+    months = (F.when(_every(19), F.lit(" Unknown "))
+              .otherwise(F.concat(F.lit(" "), F.substring(day, 1, 7), F.lit("  "))))
+    s = sales_lines(spark, sf_dir, partitions, [dates.alias("date_text"), months.alias("month_text")])
     margin = (F.col("margin_bp").cast("decimal(18,0)")
               * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(12,4)")
     h = RAW_MASTER_HEADERS
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
     return s.select(
-        F.when(_every(13), F.lit(None).cast("string")).when(_every(37), F.lit("   "))
-         .otherwise(day).alias(h[0]),
-        F.when(_every(19), F.lit(" Unknown "))
-         .otherwise(F.concat(F.lit(" "), F.substring(day, 1, 7), F.lit("  "))).alias(h[1]),
-        F.concat(F.lit("  "), F.upper("p_name"), F.lit("\t")).alias(h[2]),
+        F.col("date_text").alias(h[0]), F.col("month_text").alias(h[1]),
+        F.concat(F.lit("  "), F.col("upper_name"), F.lit("\t")).alias(h[2]),
         F.when(_every(17), F.lit(None).cast("string")).when(_every(41), F.lit("   "))
-         .otherwise(F.concat(F.lit(" "), F.upper("size"), F.lit(" "))).alias(h[3]),
+         .otherwise(F.concat(F.lit(" "), F.col("upper_size"), F.lit(" "))).alias(h[3]),
         F.when(_every(7), F.lit("x"))
          .when(_every(29), F.concat(F.col("qty").cast("string"), F.lit(".000004")))
          .otherwise(F.col("qty").cast("string")).alias(h[4]),
@@ -147,19 +165,19 @@ def raw_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_monthly(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """The monthly sheets (eleven text columns) plus the sheet each row is on."""
-    s = sales_lines(spark, sf_dir)
+    s = sales_lines(spark, sf_dir, partitions)
     header_text = (F.when(F.col("l_linenumber") % 3 == 0, F.lit(HEADER_DATE_TEXTS[0]))
                     .when(F.col("l_linenumber") % 3 == 1, F.lit(HEADER_DATE_TEXTS[1]))
                     .otherwise(F.lit(HEADER_DATE_TEXTS[2])))
     date_col = (F.when(_every(11), header_text)
                  .when(_every(13), F.lit(None).cast("string"))
-                 .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")))
+                 .otherwise(F.col("day")))
     pct = (F.col("margin_bp").cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(14,2)")
     return s.select(
         date_col.alias("Date"),
-        F.concat(F.lit(" "), F.upper("p_name")).alias("Product"),
+        F.concat(F.lit(" "), F.col("upper_name")).alias("Product"),
         F.col("size").alias("Size (g)"),
         F.col("qty").cast("string").alias("Boxes Sold"),
         F.col("p_size").cast("string").alias("Pieces per Box"),
@@ -170,7 +188,7 @@ def raw_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("cost").cast("string").alias("Total Cost"),
         F.col("profit").cast("string").alias("Profit"),
         pct.cast("string").alias("Margin %"),
-        F.concat(F.lower(F.date_format("o_orderdate", "MMMM")), F.lit("_month_sales")).alias("sheet"),
+        F.col("sheet"),
     )
 
 
@@ -199,14 +217,19 @@ def stage_monthly_sheets(spark: SparkSession, sf_dir: str) -> list[str]:
     """Write the monthly sheets as one folder per sheet; return the folders.
 
     Stands in for the workbook's separate sheets. The sheets of
-    ``OTHER_HEADERS`` get other names for their first columns.
+    ``OTHER_HEADERS`` get other names for their first columns. The tables are
+    joined once; only the sheets with other names are read back and written again.
     """
-    root = scratch_path(spark, "monthly-sheets")
-    rows = raw_monthly(spark, sf_dir)
-    special = list(OTHER_HEADERS)
-    rows.where(~F.col("sheet").isin(special)).write.mode("overwrite").partitionBy("sheet").parquet(root)
+    at = scratch_path(spark, "monthly-sheets")
+    rows = raw_monthly(spark, sf_dir, spark.sparkContext.defaultParallelism).where(F.col("sheet").isNotNull())
+    other = F.when(F.col("sheet").isin(list(OTHER_HEADERS)), F.lit("other")).otherwise(F.lit("own"))
+    rows = rows.withColumn("headers", other)
+    with job_label(spark, "stage monthly sheets"):
+        rows.write.mode("overwrite").partitionBy("headers", "sheet").parquet(at)
+    root = f"{at}/headers=own"
+    back = spark.read.schema(rows.schema).parquet(at).where(F.col("headers") == "other").drop("headers")
     for sheet, headers in OTHER_HEADERS.items():
-        one = rows.where(F.col("sheet") == sheet).drop("sheet")
+        one = back.where(F.col("sheet") == sheet).drop("sheet")
         one.toDF(*headers, *one.columns[len(headers):]).write.parquet(f"{root}/sheet={sheet}")
     return [f"{root}/sheet={s}" for s in SHEETS]
 
@@ -235,7 +258,7 @@ def stage_titled_catalogue(spark: SparkSession, sf_dir: str, files: int = 3) ->
 def stage_titled_sheets(spark: SparkSession, sf_dir: str, files: int = 2) -> str:
     """Write the monthly sheets as CSV, ``files`` files a sheet, each with a title, a blank line and the header; return the folder."""
     path = scratch_path(spark, "titled-sheets")
-    rows = raw_monthly(spark, sf_dir)
+    rows = raw_monthly(spark, sf_dir, spark.sparkContext.defaultParallelism)
     columns = [c for c in rows.columns if c != "sheet"]
     headers = F.lit(",".join(columns))
     for sheet, other in OTHER_HEADERS.items():

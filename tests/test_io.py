@@ -11,7 +11,7 @@ from starlattice.plans.registry import star_for
 from starlattice.plans.star import star_from_tables
 from starlattice.session import scratch_path
 from starlattice.sinks import writers
-from starlattice.sources import readers
+from starlattice.sources import fixtures, readers
 
 from conftest import SMALL
 
@@ -112,3 +112,33 @@ def test_readme_path_with_generic_readers(spark):
         sorted(map(tuple, A.profit_share(registry_star).collect()))
     root = scratch_path(spark, "wh-readme")
     assert writers.write_star(star, root) == writers.current_build(spark, root)
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+@pytest.mark.parametrize("sheet", [fixtures.raw_transactions, fixtures.raw_monthly])
+def test_sheets_of_sales_compile(spark, sheet, threshold):
+    """No generated method of the sheets reaches the 8000 bytes above which the JVM only interprets."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": threshold, "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        plan = sheet(spark, SMALL, 4)._jdf.queryExecution().executedPlan()
+        module = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$").__getattr__("MODULE$")
+        codes = module.codegenStringSeq(plan)
+        assert max(codes.apply(i)._3().maxMethodCodeSize() for i in range(codes.size())) < 8000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_monthly_sheets_join_the_tables_once(spark, monkeypatch):
+    calls = []
+    made = fixtures.sales_lines
+    monkeypatch.setattr(fixtures, "sales_lines", lambda *a: calls.append(a) or made(*a))
+    paths = fixtures.stage_monthly_sheets(spark, SMALL)
+    assert len(calls) == 1 and len(paths) == 12
+    text = [p for p in paths if "june_month" in p or "november_month" in p]
+    assert [spark.read.parquet(p).columns[0] for p in text] == ["Sale Date", "Day"]
+    rows = sum(spark.read.parquet(p).count() for p in paths)
+    assert rows == made(spark, SMALL).where("sheet IS NOT NULL").count()
