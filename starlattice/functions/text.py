@@ -43,6 +43,10 @@ def title_case(c) -> Column:
 
 def path_leaf_dir(path_col) -> Column:
     """Name of the folder that holds a file, %-escapes decoded; a ``key=value`` folder gives value."""
-    parent = F.regexp_extract(_col(path_col), r"([^/]+)/[^/]+$", 1)
+    # a regular expression would try every place of the path, for every row of the file
+    path = _col(path_col)
+    inside = F.contains(path, F.lit("/")) & ~F.endswith(path, F.lit("/"))
+    parent = F.when(inside, F.substring_index(F.substring_index(path, "/", -2), "/", 1)).when(path.isNotNull(), F.lit(""))
     plain = F.try_url_decode(F.replace(parent, F.lit("+"), F.lit("%2B")))  # '+' is no blank in a path
-    return F.regexp_replace(F.coalesce(plain, parent), r"^[^=]*=", "")
+    name = F.when(F.contains(parent, F.lit("%")), F.coalesce(plain, parent)).otherwise(parent)
+    return F.substr(name, F.locate("=", name) + F.lit(1))

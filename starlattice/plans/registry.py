@@ -540,11 +540,12 @@ def titled_headers(spark, sf_dir):
     """Sheets, their files, their header text and the lines below it, from the lines' places."""
     from ..functions.text import path_leaf_dir
     path = _staged("titled-sheets", fixtures.stage_titled_sheets, spark, sf_dir)
-    lines = numbered_lines(spark, path).withColumn("sheet", path_leaf_dir(F.col("file")))
-    titles = fixtures.MONTHLY_TITLES
-    return lines.groupBy("sheet").agg(F.countDistinct("file").alias("files"),
-                                      F.max(F.when(F.col("line_no") == titles, F.col("line"))).alias("header"),
+    lines, titles = numbered_lines(spark, path), fixtures.MONTHLY_TITLES
+    # by file first, without a sort of all lines: a list keeps the one header line of a file
+    files = lines.groupBy("file").agg(F.collect_list(F.when(F.col("line_no") == titles, F.col("line"))).alias("headers"),
                                       F.count_if(F.col("line_no") > titles).alias("rows"))
+    return (files.groupBy(path_leaf_dir(F.col("file")).alias("sheet"))
+            .agg(F.count(F.lit(1)).alias("files"), F.max(F.array_max("headers")).alias("header"), F.sum("rows").alias("rows")))
 
 
 def scan_summary_sheet(star):

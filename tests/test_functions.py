@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from starlattice.functions.dates import calendar_columns, lenient_date
 from starlattice.functions.display import currency_text, percent_text
 from starlattice.functions.numbers import half_away_quotient, lenient_number
-from starlattice.functions.text import clean_text, normalize_name, source_tag, strip_ws
+from starlattice.functions.text import clean_text, normalize_name, path_leaf_dir, source_tag, strip_ws
 
 
 def test_strip_removes_every_kind_of_white_space(spark):
@@ -94,3 +94,20 @@ def test_currency_and_percent_text(spark):
                    "-₹1,234.5", "₹0.05"]
     pct = [r[0] for r in df.select(percent_text(F.lit(42.6))).limit(1).collect()]
     assert pct == ["42.60%"]
+
+
+def test_folder_names_without_regular_expressions(spark):
+    want = {"file:/a/b/sheet=june/x.parquet": "june", "x.parquet": "", "/x": "", "a/": "", "a//b": "", "": "", None: None,
+            "a/b%20c/f": "b c", "a/b%zz/f": "b%zz", "a/k=v=w/f": "v=w", "a/=v/f": "v", "a/b+c%20d/f": "b+c d"}
+    df = spark.createDataFrame([(p,) for p in want], "p string")
+    named = df.select("p", path_leaf_dir("p").alias("name"))
+    assert {r.p: r.name for r in named.collect()} == want
+    assert "regexp" not in named._jdf.queryExecution().optimizedPlan().toString()  # 140 us a row
+
+
+def test_quotient_and_number_are_computed_once(spark):
+    big = [(10 ** 13, 3), (-10 ** 13, 7), (2 ** 62, 5), (-5, 2), (5, -2), (7, 0)]
+    got = spark.createDataFrame(big, "a long, b long").select(half_away_quotient("a", "b", 4).cast("string")).collect()
+    assert [None if r[0] is None else int(r[0]) for r in got] == [_reference(a, b, 4) for a, b in big]
+    plan = spark.createDataFrame([("1",)], "s string").select(lenient_number("s"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("as decimal(38,10)") == 2  # the text once, and the type of the error

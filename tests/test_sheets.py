@@ -72,3 +72,11 @@ def test_short_and_empty_sheets(spark, tmp_path):
     paths = [sheet(tmp_path, "none", []), sheet(tmp_path, "titles", ["one", "two"]), sheet(tmp_path, "head", ["one", "two", "a,b,c"])]
     assert read_sheets(spark, paths, NAMES, 2).collect() == []
     assert os.path.getsize(f"{paths[0]}/part-0.csv") == 0
+
+
+def test_header_of_each_sheet_without_a_sort_of_its_lines(spark):
+    from starlattice.plans.registry import titled_headers
+    found = titled_headers(spark, "/root/testdata/sf0.001")
+    assert {r.files for r in found.collect()} == {2} and found.count() == 12
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" in plan and "SortAggregate(key=[file" not in plan
