@@ -103,14 +103,21 @@ class Star:
 
 
 def build_star(master_raw: DataFrame, catalogue_raw: DataFrame | None,
-               spec: StarSpec = DEFAULT_SPEC, dim_month: DataFrame | None = None) -> Star:
+               spec: StarSpec = DEFAULT_SPEC, dim_month: DataFrame | None = None,
+               store_master: bool = False) -> Star:
     """Clean the sources and build dimensions and the (lazy) fact.
 
+    ``store_master`` writes the cleaned master once, so that the members, the
+    sampling and the numbering of the fact read typed rows instead of parsing
+    every text again.
+
     ``dim_month`` replaces the month dimension derived from the dates with a
     given table (month_id, month_name, month_key, quarter, year), e.g. a
     fixed list of months; the master's month text is matched to month_key.
     """
     master = clean_transactions(master_raw, spec)
+    if store_master:
+        master = materialize(master, "master")
     catalogue = clean_catalogue(catalogue_raw) if catalogue_raw is not None else None
     if catalogue is None:
         catalogue = master.sparkSession.createDataFrame(
@@ -196,7 +203,7 @@ def fixture_star(spark: SparkSession, sf_dir: str, spec: StarSpec = DEFAULT_SPEC
     """
     raw_path = fixtures.stage_transactions(spark, sf_dir)
     star = build_star(readers.read_transactions(spark, raw_path),
-                      fixtures.raw_catalogue(spark, sf_dir), spec)
+                      fixtures.raw_catalogue(spark, sf_dir), spec, store_master=True)
     star.raw_path = raw_path
     return star
 
