@@ -115,10 +115,10 @@ def append_batch(spark: SparkSession, root: str, master_raw: DataFrame, catalogu
     reasons = [F.count(F.when(F.array_contains("reasons", r), F.lit(1))).alias(f"rejected_{r}") for r in REJECTIONS]
     tallies = [F.count(F.lit(1)).alias("raw_rows"), *reasons,
                F.count(F.when(F.size("reasons") == 0, F.lit(1))).alias("clean_rows")]
-    seen = kept_transactions(flagged.observe(read, *tallies))
-    members = materialize(dimension_members(seen), "batch-members")
+    # parsed once, for the members and for both passes over the facts
+    master = materialize(kept_transactions(flagged.observe(read, *tallies)), "batch-rows")
+    members = materialize(dimension_members(master), "batch-members")
     catalogue = clean_catalogue(catalogue_raw)
-    master = kept_transactions(flagged)
 
     def dimension(name: str, build) -> DataFrame:
         """Write the new members; all members are read back."""

@@ -9,7 +9,7 @@ from starlattice.operators.clean import (clean_transactions, flag_transactions,
                                          quarantine_transactions)
 from starlattice.plans import growing as G
 from starlattice.plans.star import build_star
-from starlattice.session import scratch_path
+from starlattice.session import materialize, scratch_path
 
 from conftest import raw_catalogue, raw_master
 
@@ -123,3 +123,23 @@ def test_new_members_are_null_safe(spark):
     found = spark.createDataFrame([("a", None), ("a", "x"), ("b", "x"), (None, None)], "name string, size string")
     new = G.new_members(found, known, {"n": "name", "s": F.col("size")})
     assert sorted(map(str, new.collect())) == sorted(map(str, found.where("name is null or (name = 'a' and size = 'x')").collect()))
+
+
+def test_a_batch_is_parsed_once(spark, monkeypatch):
+    """Members and facts read the batch's typed rows, not its text again."""
+    seen = []
+    monkeypatch.setattr(G, "materialize", lambda df, name: seen.append((name, df)) or materialize(df, name))
+    root = scratch_path(spark, "test-parsed-once")
+    G.append_batch(spark, root, raw_master(spark, FIRST), raw_catalogue(spark, [("Rose", "jam", 1)]), "one")
+    assert [name for name, _ in seen] == ["batch-rows", "batch-members"]
+    assert "batch-rows" in seen[1][1].inputFiles()[0]
+    assert G.load_counts(spark, root).select("raw_rows", "clean_rows", "facts").first() == (3, 3, 3)
+
+
+def test_a_stored_master_gives_the_same_star(spark):
+    catalogue = raw_catalogue(spark, [("Rose", "jam", 1), ("Anis", "tea", 2)])
+    lazy = build_star(raw_master(spark, FIRST + SECOND), catalogue)
+    stored = build_star(raw_master(spark, FIRST + SECOND), catalogue, store_master=True)
+    assert stored.master.schema == lazy.master.schema and "/master-" in stored.master.inputFiles()[0]
+    for t in ("dim_date", "dim_product", "dim_month", "fact_sales"):
+        assert sorted(map(str, stored.table(t).collect())) == sorted(map(str, lazy.table(t).collect()))
