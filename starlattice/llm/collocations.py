@@ -5,22 +5,28 @@ words at spaces and tabs. Per language f(phrase) counts all contiguous occurrenc
 phrase of two to ``max_words`` words that occurs ``least`` times or more is a candidate; its score and
 the drop rule are in :func:`collocations`.
 
+Texts are read, split and numbered once: a row holds the distinct words of a stretch of text, the stretch as numbers
+of these words, and a bit for each word that begins a piece. All later passes read these rows.
+
 Level by level, for phrases of k words:
 
-1. every place whose two phrases of k - 1 words passed the level before is hashed into one of 2^26
-   counters (in the pass that counts the level before), which are summed over the tasks. A counter never falls short of the count of a phrase
-   in it, so counters below ``least`` rule their phrases out, and no frequent phrase is lost;
-2. phrases of the remaining places are made distinct (tasks send sets, dealt by counter), and those of which either part of k - 1 words is
+1. every place whose two phrases of k - 1 words passed the level before is hashed to one of 2^42 counters. Tasks send the
+   counters they used as sorted runs, dealt by counter, so each is summed in one place. A counter never falls short of the
+   count of a phrase in it, so counters below ``least`` rule their phrases out, and no frequent phrase is lost. There are
+   far more counters than places, whatever the corpus, so hardly any other phrase is left;
+2. the counters that are left make a filter of 16 bits for each (2^28 bits at most), which is broadcast. Phrases of the
+   places that it lets through are made distinct (tasks send sets, dealt by counter), and those of which either part of k - 1 words is
    not frequent go (two semi-joins): that leaves the Apriori-safe candidates;
 3. candidates are range-partitioned into shards of about 200,000 phrases. A task packs each shard into a
-   double-array trie (language, then two digits a word); shards of 40 MB together are broadcast at a time. Every task then holds the
-   words of a stretch of text as one array of symbols and moves the states of all its positions
+   double-array trie (language, then two digits a word); shards of 40 MB together are broadcast at a time. A task looks up the
+   words of a stretch once for all shards. Each shard takes the positions whose first word begins one of its phrases, so
+   a position is walked in about one shard, however many there are; the states of all these positions move
    through the trie at the same time, one level after the other; positions without a transition
    leave. ``bincount`` counts the accepting states; a task sends its counts once, as blocks of an array,
    and these are added up over the tasks.
 
-What is broadcast is bounded: a bit per counter (8 MB), or 40 MB of shards. With more candidates there are more
-passes, each over the texts of the languages in its shards. Words of one text never need a
+What is broadcast is bounded: the filter (32 MB), or 40 MB of shards. With more candidates there are more
+passes, each over the rows of the languages in its shards. Words of one text never need a
 dictionary of the whole corpus: a shard brings the words that it uses.
 
 Defined results: null text is empty, null lang is ``und``. A text without words, an empty table or no
@@ -56,7 +62,16 @@ SHARD_PHRASES = 200_000
 PASS_BYTES = 40 << 20
 #: bytes of text handled at once, and entries of a task's tables before they are sent
 STRETCH, FLUSH = 2 << 20, 150_000
-COUNTER_BITS = 26
+COUNTER_BITS = 42
+#: counters are dealt by their first bits; the others fill 32 bits at most
+DEALT_BITS = 10
+#: places hashed before a task sorts and sends their counters
+RUN = 4 << 20
+FILTER_BITS, BITS_EACH = 28, 16
+SPREAD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
+#: rows of numbered text are large: few of them are held at a time by their readers
+ROW_GROUPS = {"compression": "zstd", "parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 4, "parquet.block.size.row.check.max": 4,
+              "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 4}
 PAGE = 4_096
 #: about how many candidates are united at a time
 PART_PHRASES = 20_000
@@ -127,6 +142,28 @@ def numbered(data: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
             np.searchsorted(np.flatnonzero(ends), starts))
 
 
+def encoded(texts: DataFrame) -> DataFrame:
+    """The texts as rows of a stretch each: lang, its distinct words, their numbers in order, a bit where a piece begins."""
+    def run(batches):
+        for lang, data in stretches(batches):
+            words, ids, piece = numbered(data)
+            if len(ids):
+                yield pa.RecordBatch.from_pydict({
+                    "lang": pa.array([lang], pa.string()), "words": pa.array([BREAK.join(words)], pa.binary()),
+                    "ids": pa.array([ids.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32).tobytes()], pa.binary()),
+                    "begins": pa.array([np.packbits(np.diff(piece, prepend=-1) > 0).tobytes()], pa.binary())})
+
+    return texts.mapInArrow(run, "lang string, words binary, ids binary, begins binary")
+
+
+def decoded(batches) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray]]:
+    """(lang, words, ids, piece) of the rows of :func:`encoded`."""
+    for lang, words, ids, begins in _rows(batches, ("lang", "words", "ids", "begins"), 1):
+        words = words.split(BREAK)
+        ids = np.frombuffer(ids, np.uint16 if len(words) <= 1 << 16 else np.uint32).astype(np.int64)
+        yield lang, words, ids, np.cumsum(np.unpackbits(np.frombuffer(begins, np.uint8), count=len(ids)), dtype=np.int64)
+
+
 def whole(piece: np.ndarray, k: int) -> np.ndarray:
     """Positions at which k words of one piece begin."""
     n = max(0, len(piece) - k + 1)
@@ -154,86 +191,145 @@ class Hashes:
         return (out >> np.uint64(64 - self.bits)).astype(np.int64)
 
 
-def has(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+class Runs:
+    """Counters that a task used, each with its count (255 at most), sorted and cut by their first bits."""
+
+    def __init__(self, bits: int):
+        self.rest = bits - min(bits, DEALT_BITS)
+        self.held, self.size = [], 0
+
+    def add(self, at: np.ndarray) -> bool:
+        """Whether it is time to send."""
+        self.held.append(at)
+        self.size += len(at)
+        return self.size >= RUN
+
+    def rows(self):
+        if not self.size:
+            return
+        at = np.sort(np.concatenate(self.held))
+        self.held, self.size = [], 0
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        counts = np.minimum(np.diff(first, append=len(at)), 255).astype(np.uint8)
+        at = at[first]
+        dealt = at >> self.rest
+        at = (at & ((1 << self.rest) - 1)).astype(np.uint32)
+        cuts = np.flatnonzero(np.diff(dealt, prepend=-1))
+        until = np.r_[cuts[1:], len(at)]
+        for i in range(0, len(cuts), 64):
+            some = list(zip(cuts[i:i + 64].tolist(), until[i:i + 64].tolist()))
+            yield pa.RecordBatch.from_pydict({
+                "dealt": pa.array(dealt[cuts[i:i + 64]], pa.int64()), "at": pa.array([at[a:b].tobytes() for a, b in some], pa.binary()),
+                "counts": pa.array([counts[a:b].tobytes() for a, b in some], pa.binary())})
+
+
+def _enough(runs: DataFrame, least: int) -> DataFrame:
+    """(dealt, n, at) of the counters that reached ``least`` over all tasks."""
+    def run(batches):
+        key, held = None, []
 
+        def sent():
+            each = np.sort(np.concatenate(held))
+            at, counts = each >> np.uint64(8), (each & np.uint64(255)).astype(np.int64)
+            first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+            at = at[first][np.add.reduceat(counts, first) >= min(least, 255)].astype(np.uint32)
+            return pa.RecordBatch.from_pydict({"dealt": pa.array([key], pa.int64()), "n": pa.array([len(at)], pa.int64()),
+                                               "at": pa.array([at.tobytes()], pa.binary())})
+
+        for dealt, at, counts in _rows(batches, ("dealt", "at", "counts"), 16):
+            if dealt != key:
+                if held:
+                    yield sent()
+                key, held = dealt, []
+            held.append(np.frombuffer(at, np.uint32).astype(np.uint64) << np.uint64(8) | np.frombuffer(counts, np.uint8))
+        if held:
+            yield sent()
 
-class Sketch:
-    """A task's counters, each stopping at 255; they leave as pages of one byte a counter."""
+    return runs.repartition("dealt").sortWithinPartitions("dealt").mapInArrow(run, "dealt long, n long, at binary")
 
-    def __init__(self, bits: int):
-        self.counts = np.zeros(1 << bits, np.uint8)
 
-    def add(self, at: np.ndarray) -> None:
-        at, more = np.unique(at, return_counts=True)
-        self.counts[at] = np.minimum(self.counts[at] + more, 255)
+class Likely:
+    """Which counters may have reached the threshold: some bits each, in a slice of the filter for each first bits."""
 
-    def pages(self):
-        width = min(PAGE, len(self.counts))
-        used = np.flatnonzero(self.counts.reshape(-1, width).any(axis=1))
-        for i in range(0, len(used), 512):
-            some = used[i:i + 512]
-            rows = self.counts.reshape(-1, width)[some]
-            yield some, [zlib.compress(r, 1) for r in rows]
+    def __init__(self, bits: int, packed: np.ndarray, slice_bits: int):
+        self.rest, self.packed, self.slice_bits = bits - min(bits, DEALT_BITS), packed, slice_bits
 
+    @staticmethod
+    def places(at: np.ndarray, slice_bits: int) -> Iterator[np.ndarray]:
+        for by in SPREAD:
+            yield ((at.astype(np.uint64) + np.uint64(1)) * np.uint64(by) >> np.uint64(64 - slice_bits)).astype(np.int64)
 
-def _bitmap(pages: DataFrame, least: int, bits: int) -> np.ndarray:
-    """One bit per counter, set where it reached ``least``: 2^bits / 8 bytes, however large the corpus."""
-    enough, width = min(least, 255), min(PAGE, 1 << bits)
+    def has(self, at: np.ndarray) -> np.ndarray:
+        found = np.ones(len(at), bool)
+        slice_of = (at >> self.rest) << self.slice_bits
+        for place in self.places(at & ((1 << self.rest) - 1), self.slice_bits):
+            place += slice_of
+            found &= (self.packed[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+        return found
 
-    def run(batches):
-        page, total = None, None
 
-        def sent():
-            return pa.RecordBatch.from_pydict({"page": pa.array([page], pa.int64()), "bits": pa.array(
-                [np.packbits(total >= enough, bitorder="little").tobytes()], pa.binary())})
-
-        for batch in batches:
-            for at, counts in zip(batch.column("page").to_pylist(), batch.column("counts").to_pylist()):
-                if at != page:
-                    if total is not None:
-                        yield sent()
-                    page, total = at, np.zeros(width, np.int64)
-                total += np.frombuffer(zlib.decompress(counts), np.uint8)
-        if total is not None:
-            yield sent()
+def likely_phrases(coded: DataFrame, k: int, least: int, before, bits: int) -> tuple[int, tuple]:
+    """How many counters of phrases of k words reached ``least``, and what makes their :class:`Likely`.
 
-    bitmap = np.zeros((1 << bits) // width * max(1, width // 8), np.uint8).reshape(-1, max(1, width // 8))
-    summed = (pages.filter(F.col("page").isNotNull()).select("page", "counts")
-              .repartition("page").sortWithinPartitions("page").mapInArrow(run, "page long, bits binary"))
-    for row in summed.collect():
-        bitmap[row["page"]] = np.frombuffer(row["bits"], np.uint8)
-    return bitmap.reshape(-1)
+    ``before`` is the broadcast filter of the level before, if there is one."""
+    def run(batches):
+        runs, parts = Runs(bits), Likely(bits, *before.value) if before else None
+        for lang, words, ids, piece in decoded(batches):
+            hashes, pos = Hashes(lang, words, ids, bits), whole(piece, k)
+            if parts:
+                part = whole(piece, k - 1)
+                passed = np.zeros(len(ids) + 1, bool)
+                passed[part] = parts.has(hashes.counters(part, k - 1))
+                pos = pos[passed[pos] & passed[pos + 1]]
+            if runs.add(hashes.counters(pos, k)):
+                yield from runs.rows()
+        yield from runs.rows()
+
+    found = materialize(_enough(coded.mapInArrow(run, "dealt long, at binary, counts binary"), least), f"phrase-counters-{k}")
+    heavy = found.agg(F.sum("n")).first()[0] or 0
+    slices = 1 << min(bits, DEALT_BITS)
+    slice_bits = min(FILTER_BITS - slices.bit_length() + 1, max(3, (BITS_EACH * heavy // slices).bit_length()))
+
+    def packed(batches):
+        for dealt, at in _rows(batches, ("dealt", "at"), 1):
+            own = np.zeros(1 << slice_bits, bool)
+            for place in Likely.places(np.frombuffer(at, np.uint32), slice_bits):
+                own[place] = True
+            yield pa.RecordBatch.from_pydict({"dealt": pa.array([dealt], pa.int64()), "own": pa.array(
+                [np.packbits(own, bitorder="little").tobytes()], pa.binary())})
+
+    out = np.zeros((slices, (1 << slice_bits) // 8), np.uint8)
+    for row in found.filter("n > 0").select("dealt", "at").mapInArrow(packed, "dealt long, own binary").toLocalIterator():
+        out[row["dealt"]] = np.frombuffer(row["own"], np.uint8)
+    return heavy, (out.reshape(-1), slice_bits)
 
 
 # ---- candidates
 
-def _distinct_phrases(texts: DataFrame, k: int, bitmap, bits: int) -> DataFrame:
-    """(lang, phrase) of the phrases of k words whose counter reached the threshold.
+def _distinct_phrases(coded: DataFrame, k: int, likely, heavy: int, bits: int) -> DataFrame:
+    """(lang, phrase) of the phrases of k words whose counter reached the threshold, as ``heavy`` counters did.
 
     A task sends its phrases as one row for each part of the counters, of which there are as many as keep a part's
     phrases few; the rows of a part are united where they arrive.
     """
-    heavy = int(np.bitwise_count(bitmap.value).sum())
-    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-heavy // PART_PHRASES))
+    parts = max(int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-heavy // PART_PHRASES))
 
     def run(batches):
         found: dict[tuple[str, int], set] = {}
-        size = 0
+        size, enough = 0, Likely(bits, *likely.value)
 
         def sent():
             return pa.RecordBatch.from_pydict({
                 "lang": pa.array([lang for lang, _ in found], pa.string()), "part": pa.array([p for _, p in found], pa.int64()),
                 "phrases": pa.array([BREAK.join(x) for x in found.values()], pa.binary())})
 
-        for lang, data in stretches(batches):
-            words, ids, piece = numbered(data)
+        for lang, words, ids, piece in decoded(batches):
             pos = whole(piece, k)
             if not len(pos):
                 continue
             at = Hashes(lang, words, ids, bits).counters(pos, k)
-            likely = has(bitmap.value, at)
-            pos, at = pos[likely], at[likely]
+            passed = enough.has(at)
+            pos, at = pos[passed], at[passed]
             if not len(pos):
                 continue
             code = ids[pos]
@@ -272,7 +368,7 @@ def _distinct_phrases(texts: DataFrame, k: int, bitmap, bits: int) -> DataFrame:
         if phrases:
             yield sent()
 
-    sent = texts.mapInArrow(run, "lang string, part long, phrases binary")
+    sent = coded.mapInArrow(run, "lang string, part long, phrases binary")
     return (sent.repartition("lang", "part").sortWithinPartitions("lang", "part")
             .mapInArrow(united, "lang string, phrase string"))
 
@@ -282,9 +378,9 @@ def _parts(k: int) -> tuple:
     return F.substring_index("phrase", " ", k - 1), F.substring_index("phrase", " ", -(k - 1))
 
 
-def safe_candidates(texts: DataFrame, k: int, frequent: DataFrame, bitmap, bits: int) -> DataFrame:
+def safe_candidates(coded: DataFrame, k: int, frequent: DataFrame, likely, heavy: int, bits: int) -> DataFrame:
     """(lang, phrase) of k words all of whose parts are frequent."""
-    found = _distinct_phrases(texts, k, bitmap, bits)
+    found = _distinct_phrases(coded, k, likely, heavy, bits)
     for part in _parts(k):
         own = found.withColumn("part", part)
         known = frequent.select(F.col("lang").alias("l"), F.col("phrase").alias("p"))
@@ -379,6 +475,7 @@ def pack(phrases: list[tuple[str, str]]) -> bytes:
     out = io.BytesIO()
     np.savez(out, size=np.array([size]), cell=cell.astype(np.int32), parent=parent.astype(np.int32),
              base=base[:nodes - len(parents[-1])].astype(np.int32), ends=ends.astype(np.int32),
+             first=np.unique(symbols[:, 1]).astype(np.int32),
              text=np.frombuffer(b"".join(words), np.uint8), lengths=np.array([len(w) for w in words], np.int32))
     return out.getvalue()
 
@@ -393,7 +490,7 @@ class Trie:
         self.base[cell[:len(arrays["base"])]] = arrays["base"]
         self.check[cell[1:]] = cell[arrays["parent"]]
         self.answer[ends] = np.arange(len(ends), dtype=np.int32)
-        self.size = len(ends)
+        self.size, self.first = len(ends), arrays["first"]
         text, until = arrays["text"].tobytes(), np.cumsum(arrays["lengths"]).tolist()
         self.numbers = {text[a:b]: i for i, (a, b) in enumerate(zip([0, *until], until), 1)}
 
@@ -402,8 +499,8 @@ class Trie:
         cell = self.base[state] + digit
         return cell, self.check[cell] == state
 
-    def counts(self, lang: str, words: list[bytes], ids: np.ndarray, piece: np.ndarray, k: int) -> np.ndarray | None:
-        """How often each accepted phrase of k words occurs, by its place in the shard."""
+    def start(self, lang: str) -> int | None:
+        """The state after a language."""
         known = self.numbers.get(_marked(lang))
         if known is None:
             return None
@@ -412,52 +509,87 @@ class Trie:
             state, ok = self.step(state, np.array([digit]))
             if not ok[0]:
                 return None
-        symbols = np.fromiter((self.numbers.get(w, 0) for w in words), np.int64, len(words))[ids]
-        likely = symbols > 0
-        if k > 1:
-            likely[1 - k:] = False
-            likely[:len(ids) - k + 1] &= piece[:max(0, len(ids) - k + 1)] == piece[k - 1:]
-            likely[:-1] &= symbols[1:] > 0
-        pos = np.flatnonzero(likely)
-        state = np.full(len(pos), state[0])
-        for level in range(k):
-            now = symbols[pos + level]
+        return int(state[0])
+
+    def walk(self, start: int, symbols: list[np.ndarray]) -> np.ndarray:
+        """How often each accepted phrase occurs, by its place in the shard; symbols: of the first words, of the second, and so on."""
+        state, left = np.full(len(symbols[0]), start), None
+        for now in symbols:
+            now = now if left is None else now[left]
             state, alive = self.step(state, now // DIGIT)
-            pos, state, now = pos[alive], state[alive], now[alive]
+            state, now, left = state[alive], now[alive], np.flatnonzero(alive) if left is None else left[alive]
             state, alive = self.step(state, now % DIGIT)
-            pos, state = pos[alive], state[alive]
+            state, left = state[alive], left[alive]
         return np.bincount(self.answer[state], minlength=self.size)
 
+    def counts(self, lang: str, words: list[bytes], ids: np.ndarray, piece: np.ndarray, k: int) -> np.ndarray | None:
+        """The counts of one stretch of text by this shard alone."""
+        start = self.start(lang)
+        if start is None:
+            return None
+        symbols = np.fromiter((self.numbers.get(w, 0) for w in words), np.int64, len(words))[ids]
+        pos = _known(symbols, piece, k)
+        return self.walk(start, [symbols[pos + level] for level in range(k)])
+
+
+def _known(symbols: np.ndarray, piece: np.ndarray, k: int) -> np.ndarray:
+    """Positions at which k words of one piece begin that all have a symbol."""
+    pos = whole(piece, k)
+    for level in range(k):
+        pos = pos[symbols[pos + level] > 0]
+    return pos
+
+
+class Forest:
+    """The shards of one pass, whose words are looked up once for all of them."""
+
+    def __init__(self, shards: list[tuple[int, bytes]]):
+        self.tries, self.totals, self.numbers = [], [], {}
+        members = []
+        for shard, packed in shards:
+            trie = Trie(packed)
+            own = np.fromiter((self.numbers.setdefault(w, len(self.numbers) + 1) for w in trie.numbers), np.int64, len(trie.numbers))
+            members.append(own)  # a trie's own numbers count from 1 in this order
+            trie.numbers = {w: n for w, n in trie.numbers.items() if w.startswith(BREAK)}
+            self.tries.append((shard, trie))
+            self.totals.append(np.zeros(trie.size, np.int64))
+        self.local, self.first = [], []
+        for own, (_, trie) in zip(members, self.tries):
+            local, first = np.zeros(len(self.numbers) + 1, np.int32), np.zeros(len(self.numbers) + 1, bool)
+            local[own] = np.arange(1, len(own) + 1)
+            first[own[trie.first - 1]] = True
+            self.local.append(local)
+            self.first.append(first)
+
+    def add(self, lang: str, words: list[bytes], ids: np.ndarray, piece: np.ndarray, k: int) -> None:
+        starts = [trie.start(lang) for _, trie in self.tries]
+        if len(ids) < k or all(start is None for start in starts):
+            return
+        symbols = np.fromiter((self.numbers.get(w, 0) for w in words), np.int64, len(words))[ids]
+        pos = _known(symbols, piece, k)
+        begins = symbols[pos]
+        for (_, trie), start, total, local, first in zip(self.tries, starts, self.totals, self.local, self.first):
+            if start is not None:
+                mine = pos[first[begins]]
+                if len(mine):
+                    total += trie.walk(start, [local[symbols[mine + level]] for level in range(k)])
+
 
-def _count(texts: DataFrame, k: int, shards, likely, bits: int) -> DataFrame:
-    """(shard, block, counts) of the phrases in a few broadcast shards, per task. With ``likely``, the bits of level k, also
-    (page, counts) of the phrases of k + 1 words whose parts may both be frequent."""
+def _count(coded: DataFrame, k: int, shards) -> DataFrame:
+    """(shard, block, counts) of the phrases in a few broadcast shards, per task."""
     def run(batches):
-        tries = [(shard, Trie(packed)) for shard, packed in shards.value] if shards else []
-        totals = [np.zeros(trie.size, np.int64) for _, trie in tries]
-        sketch = Sketch(bits) if likely else None
-        for lang, data in stretches(batches):
-            words, ids, piece = numbered(data)
-            if sketch:
-                hashes, part, pos = Hashes(lang, words, ids, bits), whole(piece, k), whole(piece, k + 1)
-                passed = np.zeros(len(ids) + 1, bool)
-                passed[part] = has(likely.value, hashes.counters(part, k))
-                sketch.add(hashes.counters(pos[passed[pos] & passed[pos + 1]], k + 1))
-            for (_, trie), total in zip(tries, totals):
-                seen = trie.counts(lang, words, ids, piece, k) if len(ids) >= k else None
-                if seen is not None:
-                    total += seen
-        for (shard, _), total in zip(tries, totals):
+        forest = Forest(shards.value)
+        for row in decoded(batches):
+            forest.add(*row, k)
+        for (shard, _), total in zip(forest.tries, forest.totals):
             rows = np.pad(total, (0, -len(total) % PAGE)).reshape(-1, PAGE)
             used = np.flatnonzero(rows.any(axis=1))
             if len(used):
-                yield _row_batch(shard=pa.array(np.full(len(used), shard, np.int32)), block=pa.array(used),
-                                 counts=pa.array([zlib.compress(r, 1) for r in rows[used]], pa.binary()))
-        if sketch:
-            for pages, counts in sketch.pages():
-                yield _row_batch(page=pa.array(pages), counts=pa.array(counts, pa.binary()))
+                yield pa.RecordBatch.from_pydict({
+                    "shard": pa.array(np.full(len(used), shard, np.int32)), "block": pa.array(used),
+                    "counts": pa.array([zlib.compress(r, 1) for r in rows[used]], pa.binary())})
 
-    return texts.mapInArrow(run, "shard int, block long, page long, counts binary")
+    return coded.mapInArrow(run, "shard int, block long, counts binary")
 
 
 def _summed(counted: DataFrame, least: int) -> DataFrame:
@@ -479,18 +611,10 @@ def _summed(counted: DataFrame, least: int) -> DataFrame:
         if key:
             yield sent()
 
-    return (counted.filter("shard is not null").repartition("shard", "block").sortWithinPartitions("shard", "block")
+    return (counted.repartition("shard", "block").sortWithinPartitions("shard", "block")
             .mapInArrow(run, "shard int, id long, f long"))
 
 
-_COUNTED = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("page", pa.int64()), ("counts", pa.binary())])
-
-
-def _row_batch(schema: pa.Schema = _COUNTED, **columns) -> pa.RecordBatch:
-    n = len(next(iter(columns.values())))
-    return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
-
-
 def _packed(batches):
     """Rows sorted by shard and id to one row per shard: shard, first_lang, last_lang, phrases, packed."""
     shard, phrases = None, []
@@ -513,10 +637,9 @@ def _packed(batches):
         yield sent()
 
 
-def frequent_phrases(texts: DataFrame, candidates: DataFrame, k: int, least: int, shard_phrases: int, pass_bytes: int,
-                     likely, bits: int) -> tuple[DataFrame, DataFrame | None]:
-    """(lang, phrase, f) of the candidates of k words with f of ``least`` or more; pages of the next level's counters."""
-    sc = texts.sparkSession.sparkContext
+def frequent_phrases(coded: DataFrame, candidates: DataFrame, k: int, least: int, shard_phrases: int, pass_bytes: int) -> DataFrame:
+    """(lang, phrase, f) of the candidates of k words with f of ``least`` or more."""
+    sc = coded.sparkSession.sparkContext
     rows, size = candidates.agg(F.count(F.lit(1)), F.sum(F.octet_length("phrase") + F.octet_length("lang"))).first()
     shards = max(1, -(-rows // shard_phrases), -(-(size or 0) // (64 * shard_phrases)))
     place = F.monotonically_increasing_id()
@@ -527,57 +650,46 @@ def frequent_phrases(texts: DataFrame, candidates: DataFrame, k: int, least: int
     tries = materialize(keyed.repartition(shards, "shard").sortWithinPartitions("shard", "id").select("shard", "lang", "phrase")
                         .mapInArrow(_packed, "shard int, first_lang string, last_lang string, phrases long, size long, packed binary"),
                         f"phrase-tries-{k}")
-    counted, pages, todo = None, None, tries.drop("packed").orderBy("shard").collect()
+    counted, todo = None, tries.drop("packed").orderBy("shard").collect()
     while todo:  # as many shards as the bound allows, at least one, per pass over the texts of their languages
         some, held = [todo.pop(0)], 0
         while todo and (held := held + some[-1]["size"]) + todo[0]["size"] <= pass_bytes:
             some.append(todo.pop(0))
         packed = tries.filter(F.col("shard").between(some[0]["shard"], some[-1]["shard"])).select("shard", "packed")
         sent = sc.broadcast([(r["shard"], bytes(r["packed"])) for r in packed.collect()])
-        sketch = likely if pages is None else None  # once, with the first shards
-        mine = texts if sketch else texts.filter(F.col("lang").between(some[0]["first_lang"], some[-1]["last_lang"]))
-        done = materialize(_count(mine, k, sent, sketch, bits), f"phrase-counts-{k}")
+        mine = coded.filter(F.col("lang").between(some[0]["first_lang"], some[-1]["last_lang"]))
+        done = materialize(_count(mine, k, sent), f"phrase-counts-{k}")
         sent.destroy()
-        pages = done if pages is None else pages
         counted = done if counted is None else counted.unionByName(done)
     if counted is None:
-        return keyed.select("lang", "phrase", F.col("id").alias("f")), None  # no candidates, no rows
+        return keyed.select("lang", "phrase", F.col("id").alias("f"))  # no candidates, no rows
     sums = _summed(counted, least)
-    return materialize(keyed.join(sums, ["shard", "id"]).select("lang", "phrase", "f"), f"phrases-{k}"), pages
+    return materialize(keyed.join(sums, ["shard", "id"]).select("lang", "phrase", "f"), f"phrases-{k}")
 
 
 # ---- words
 
-_WORDS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64()), ("page", pa.int64()), ("counts", pa.binary())])
-
-
-def word_counts(texts: DataFrame, bits: int) -> DataFrame:
-    """(lang, phrase, f) of all words, per task, and (page, counts) of the counters of all pairs."""
+def word_counts(coded: DataFrame) -> DataFrame:
+    """(lang, phrase, f) of all words, per task and about a million words."""
     def run(batches):
-        seen: dict[str, Counter] = {}
-        sketch = Sketch(bits)
+        held, size = [], 0
 
         def sent():
-            rows = [(lang, w, n) for lang, of in seen.items() for w, n in of.items()]
-            return _row_batch(_WORDS, lang=pa.array([r[0] for r in rows], pa.string()),
-                              phrase=pa.array([r[1] for r in rows], pa.binary()).cast(pa.string()),
-                              f=pa.array([r[2] for r in rows], pa.int64()))
+            some = pa.concat_tables(held).group_by(["lang", "phrase"]).aggregate([("f", "sum")])
+            some = some.select(["lang", "phrase", "f_sum"]).rename_columns(["lang", "phrase", "f"])
+            return some.set_column(1, "phrase", some["phrase"].cast(pa.string())).to_batches(max_chunksize=100_000)
 
-        for lang, data in stretches(batches):
-            words, ids, piece = numbered(data)
-            if not len(ids):
-                continue
-            sketch.add(Hashes(lang, words, ids, bits).counters(whole(piece, 2), 2))
-            seen.setdefault(lang, Counter()).update(dict(zip(words, np.bincount(ids).tolist())))
-            if sum(map(len, seen.values())) > FLUSH:
-                yield sent()
-                seen = {}
-        if seen:
-            yield sent()
-        for pages, counts in sketch.pages():
-            yield _row_batch(_WORDS, page=pa.array(pages), counts=pa.array(counts, pa.binary()))
+        for lang, words, ids, _ in decoded(batches):
+            held.append(pa.table({"lang": pa.array([lang] * len(words), pa.string()), "phrase": pa.array(words, pa.binary()),
+                                  "f": pa.array(np.bincount(ids, minlength=len(words)), pa.int64())}))
+            size += len(words)
+            if size > 6 * FLUSH:
+                yield from sent()
+                held, size = [], 0
+        if held:
+            yield from sent()
 
-    return texts.mapInArrow(run, "lang string, phrase string, f long, page long, counts binary")
+    return coded.mapInArrow(run, "lang string, phrase string, f long")
 
 
 # ---- the operator
@@ -616,17 +728,20 @@ def collocations(docs: DataFrame, least: int = LEAST, max_words: int = MAX_WORDS
     100 * f(longer) >= ``inside_percent`` * a.
     """
     texts = docs.select(text_or_empty().alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    raw = materialize(word_counts(texts, counter_bits), "phrase-words")
-    words = materialize(raw.filter("page is null").groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "phrases-1")
+    sc = texts.sparkSession.sparkContext
+    coded = materialize(encoded(texts), "phrase-texts", **ROW_GROUPS)
+    words = materialize(word_counts(coded).groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "phrases-1")
     sizes = words.groupBy(F.col("lang").alias("of")).agg(F.sum("f").alias("n"))
-    levels, pages = {1: words.filter(F.col("f") >= least)}, raw
+    levels, before = {1: words.filter(F.col("f") >= least)}, None
     for k in range(2, max_words + 1):
-        bitmap = texts.sparkSession.sparkContext.broadcast(
-            _bitmap(pages, least, counter_bits) if pages is not None else np.zeros(max(1, (1 << counter_bits) // 8), np.uint8))
-        candidates = safe_candidates(texts, k, levels[k - 1], bitmap, counter_bits)
-        levels[k], pages = frequent_phrases(texts, candidates, k, least, shard_phrases, pass_bytes,
-                                            bitmap if k < max_words else None, counter_bits)
-        bitmap.destroy()
+        heavy, filter_of = likely_phrases(coded, k, least, before, counter_bits)
+        if before:
+            before.destroy()
+        before = sc.broadcast(filter_of)
+        candidates = safe_candidates(coded, k, levels[k - 1], before, heavy, counter_bits)
+        levels[k] = frequent_phrases(coded, candidates, k, least, shard_phrases, pass_bytes)
+    if before:
+        before.destroy()
     scored = materialize(_scored(levels), "phrase-scores")
     # the most frequent longer candidate that holds a phrase
     holders = None

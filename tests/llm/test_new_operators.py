@@ -55,6 +55,41 @@ def test_collocations_of_longer_phrases_and_none(spark):
     assert C.collocations(docs.filter("doc_id in (1000, 1001, 1002)"), counter_bits=10).collect() == []
 
 
+def test_shards_of_a_pass_look_words_up_once_and_share_the_positions(monkeypatch):
+    rng = random.Random(5)
+    data = b"\n".join(b" ".join(b"w%d" % rng.randrange(60) for _ in range(rng.randrange(12))) for _ in range(400))
+    words, ids, piece = C.numbered(data)
+    places = C.whole(piece, 2)
+    phrases = sorted({("en", f"{words[ids[p]].decode()} {words[ids[p + 1]].decode()}") for p in places.tolist() if rng.random() < 0.7})
+    packed = [(n, C.pack(phrases[at:at + 100])) for n, at in enumerate(range(0, len(phrases), 100))]
+    alone = [C.Trie(p).counts("en", words, ids, piece, 2) for _, p in packed]
+    walked, walk = [], C.Trie.walk
+    monkeypatch.setattr(C.Trie, "walk", lambda self, start, symbols: walked.append(len(symbols[0])) or walk(self, start, symbols))
+    forest = C.Forest(packed)
+    for _ in range(2):
+        forest.add("en", words, ids, piece, 2)
+        forest.add("xx", words, ids, piece, 2)
+    assert len(packed) > 8 and [n for n, _ in forest.tries] == list(range(len(packed)))
+    assert all((2 * a == t).all() for a, t in zip(alone, forest.totals))
+    assert sum(walked) < 2 * 2 * len(places)  # a position in about one shard, however many there are
+
+
+def test_texts_are_numbered_once_and_rare_phrases_are_no_candidates(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(" ".join(f"w{rng.randrange(300)}" for _ in range(200)), "en") for _ in range(300)]
+    docs = spark.createDataFrame(rows + [("Often seen, often seen words", "en")] * 40, "text string, lang string").repartition(4)
+    kept, write = {}, C.materialize
+    monkeypatch.setattr(C, "materialize", lambda df, name, **options: kept.setdefault(name, write(df, name, **options)))
+    frequent = lambda k: kept[f"phrases-{k}"].count()
+    C.collocations(docs, least=12).collect()
+    assert kept["phrase-texts"].columns == ["lang", "words", "ids", "begins"]
+    for k in (2, 3):  # about 60,000 rare triples
+        assert 0 < frequent(k) <= kept[f"phrase-candidates-{k}"].count() <= frequent(k) * 1.05 + 3
+    read = list(C.decoded(kept["phrase-texts"].toArrow().to_batches()))
+    own = [(w[n], p) for _, w, i, piece in read for n, p in zip(i.tolist(), piece.tolist())]
+    assert sum(w == b"often" for w, _ in own) == 80 and sum(len(i) for _, _, i, _ in read) == 300 * 200 + 40 * 5
+
+
 def test_double_array_holds_exactly_its_phrases():
     rnd = random.Random(3)
     phrases = sorted({(rnd.choice(["en", "fr"]), f"w{rnd.randrange(300)} w{int(rnd.paretovariate(0.5)) % 5000}") for _ in range(20000)})
