@@ -23,12 +23,13 @@ revenue rounded half away from zero to 4 places with integer arithmetic.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import half_away_quotient
-from ..session import job_label, scratch_path
+from ..session import discard, job_label, scratch_path, settings
 
 # The five package sizes and the p_size bounds mapped onto them.
 SIZE_BUCKETS = [(10, "100g"), (20, "200g"), (30, "500g"), (40, "1kg")]
@@ -58,9 +59,11 @@ def size_bucket(p_size: Column) -> Column:
 
 
 def sales_lines(spark: SparkSession, sf_dir: str, partitions: int | None = None,
-                per_order: Sequence[Column] = ()) -> DataFrame:
+                per_order: Sequence[Column] = (), share: tuple[int, int] | None = None) -> DataFrame:
     """lineitem x orders x part with the exact money columns (no dirt yet).
 
+    ``share`` (i, n) takes the i-th of n shares of the orders, with all their lines.
+
     ``partitions`` deals the lines anew first: a table of one file that cannot be
     split would otherwise be one task.
 
@@ -80,9 +83,13 @@ def sales_lines(spark: SparkSession, sf_dir: str, partitions: int | None = None,
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount",
         F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(LINEAGE))
+    orders = _table(spark, sf_dir, "orders")
+    if share:
+        mine = lambda key: F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(share[1])) == share[0]
+        li, orders = li.where(mine("l_orderkey")), orders.where(mine("o_orderkey"))
     if partitions:
         li = li.repartition(partitions)
-    orders = _table(spark, sf_dir, "orders").select(
+    orders = orders.select(
         F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
         F.concat(F.lower(F.date_format("o_orderdate", "MMMM")), F.lit("_month_sales")).alias("sheet"))
     orders = orders.select("*", *per_order)
@@ -165,9 +172,9 @@ def raw_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_monthly(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+def raw_monthly(spark: SparkSession, sf_dir: str, partitions: int | None = None, share: tuple[int, int] | None = None) -> DataFrame:
     """The monthly sheets (eleven text columns) plus the sheet each row is on."""
-    s = sales_lines(spark, sf_dir, partitions)
+    s = sales_lines(spark, sf_dir, partitions, share=share)
     header_text = (F.when(F.col("l_linenumber") % 3 == 0, F.lit(HEADER_DATE_TEXTS[0]))
                     .when(F.col("l_linenumber") % 3 == 1, F.lit(HEADER_DATE_TEXTS[1]))
                     .otherwise(F.lit(HEADER_DATE_TEXTS[2])))
@@ -236,6 +243,8 @@ def stage_monthly_sheets(spark: SparkSession, sf_dir: str) -> list[str]:
 
 # How many lines stand above the header line of the catalogue and of a monthly sheet.
 CATALOGUE_TITLES, MONTHLY_TITLES = 1, 2
+# lines of sales that are joined and dealt to their sheets at a time
+LINES_AT_ONCE = 20_000_000
 _CSV = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
@@ -255,19 +264,44 @@ def stage_titled_catalogue(spark: SparkSession, sf_dir: str, files: int = 3) ->
     return path
 
 
-def stage_titled_sheets(spark: SparkSession, sf_dir: str, files: int = 2) -> str:
-    """Write the monthly sheets as CSV, ``files`` files a sheet, each with a title, a blank line and the header; return the folder."""
-    path = scratch_path(spark, "titled-sheets")
-    rows = raw_monthly(spark, sf_dir, spark.sparkContext.defaultParallelism)
-    columns = [c for c in rows.columns if c != "sheet"]
-    headers = F.lit(",".join(columns))
-    for sheet, other in OTHER_HEADERS.items():
-        headers = F.when(F.col("sheet") == sheet, F.lit(",".join([*other, *columns[len(other):]]))).otherwise(headers)
-    lines = (rows.select("sheet", headers.alias("header"), _csv_lines(rows, columns).alias("line"))
-             .withColumn("place", F.xxhash64("line")).withColumn("part", F.pmod("place", F.lit(files)).cast("int")))
-    place = F.row_number().over(Window.partitionBy("part", "sheet").orderBy("place"))
-    titled = F.when(place == 1, F.concat(F.lit("Monthly sales\n\n"), "header", F.lit("\n"), "line")).otherwise(F.col("line"))
-    lines.select(titled.alias("value"), "part", "sheet").write.partitionBy("part", "sheet").text(path)
+def stage_titled_sheets(spark: SparkSession, sf_dir: str, files: int = 2, lines_at_once: int | None = None) -> str:
+    """Write the monthly sheets as CSV, ``files`` files a sheet, each with a title, a blank line and the header; return the folder.
+
+    A share of the orders at a time is joined and dealt to the sheets, about ``lines_at_once`` lines, and what it shuffled
+    is removed when its lines are written. Then a task for each file reads its lines of all shares and writes them
+    as one gzip file, without a shuffle or a sort; the lines between go. So the disk holds the lines twice,
+    compressed, and one share's shuffles.
+    """
+    parts, path = scratch_path(spark, "titled-lines"), scratch_path(spark, "titled-sheets")
+    shares = max(1, -(-_table(spark, sf_dir, "lineitem").count() // (lines_at_once or LINES_AT_ONCE)))
+    columns: list[str] = []
+    for i in range(shares):
+        rows = raw_monthly(spark, sf_dir, spark.sparkContext.defaultParallelism, (i, shares) if shares > 1 else None)
+        columns = [c for c in rows.columns if c != "sheet"]
+        lines = rows.select("sheet", _csv_lines(rows, columns).alias("line")).withColumn(
+            "part", F.pmod(F.xxhash64("line"), F.lit(files)).cast("int"))
+        # a place for each file; rows without a day are on a sheet of their own
+        place = F.coalesce(F.nullif(F.array_position(F.lit(SHEETS), F.col("sheet")), F.lit(0)), F.lit(len(SHEETS) + 1)) - 1
+        with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"), job_label(spark, "stage lines of titled sheets"):
+            lines.repartitionById(files * (len(SHEETS) + 1), (place * files + F.col("part")).cast("int")).write.mode("append").option(
+                "compression", "zstd").partitionBy("part", "sheet").parquet(parts)
+    lines = spark.read.schema("line string, part int, sheet string").parquet(parts)
+
+    def one(part: int, sheet: str | None) -> DataFrame:
+        own = lines.where((F.col("part") == part) & F.col("sheet").eqNullSafe(F.lit(sheet))).select("line").coalesce(1)
+        other = OTHER_HEADERS.get(sheet, [])
+        top = f"Monthly sales\n\n{','.join([*other, *columns[len(other):]])}\n"
+        return own.select(F.lit(top).alias("top"), "line", F.lit(part).alias("part"), F.lit(sheet).cast("string").alias("sheet"))
+
+    found = [one(r["part"], r["sheet"]) for r in lines.select("part", "sheet").distinct().orderBy("part", "sheet").collect()]
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    titled = F.when(first, F.concat("top", "line")).otherwise(F.col("line"))
+    # a task has one file to write, so no rows wait for a sort by file; a union of single partitions stays a task each
+    with settings(spark, spark__sql__maxConcurrentOutputFileWriters="1", spark__sql__unionOutputPartitioning="false"), job_label(spark, "stage titled sheets"):
+        whole = reduce(DataFrame.union, found) if found else lines.withColumn("top", F.lit(""))
+        whole.select(titled.alias("value"), "part", "sheet").write.partitionBy("part", "sheet").options(
+            **{"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}).text(path)
+    discard(spark, parts)
     return path
 
 

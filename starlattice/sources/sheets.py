@@ -7,7 +7,7 @@ third line" cannot be told from a row alone. Here every line gets its place in i
 2. lines are counted by block, and running sums over a file's blocks give each block's first line;
 3. the place of a line is its block's first line plus its place inside the block.
 
-A file is never read by one task. The table of blocks has a row per block of up to
+A file is never read by one task, unless it is compressed in a way that cannot be split. The table of blocks has a row per block of up to
 ``spark.sql.files.maxPartitionBytes``; it is broadcast only behind a check of its size. Records must not contain
 line breaks, as in any CSV file that is read in blocks.
 """
@@ -32,7 +32,7 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str], spec: StarSp
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = materialize(spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line")), "sheet-lines")
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line")), "sheet-lines", compression="zstd")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = materialize(
         lines.groupBy("file", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))

@@ -80,3 +80,38 @@ def test_header_of_each_sheet_without_a_sort_of_its_lines(spark):
     assert {r.files for r in found.collect()} == {2} and found.count() == 12
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" in plan and "SortAggregate(key=[file" not in plan
+
+
+def test_titled_sheets_from_shares_of_the_orders(spark):
+    import gzip
+    from collections import Counter
+
+    from starlattice.operators.clean import MONTHLY_COLUMNS
+    from starlattice.sources import fixtures
+    small = "/root/testdata/sf0.001"
+    before = {k: spark.conf.get(k) for k in ("spark.sql.maxConcurrentOutputFileWriters", "spark.sql.unionOutputPartitioning")}
+    path = fixtures.stage_titled_sheets(spark, small, lines_at_once=150)
+    assert before == {k: spark.conf.get(k) for k in before}
+    columns = [f"`{c}` AS c{i}" for i, c in enumerate([*MONTHLY_COLUMNS, "sheet"])]
+    got = read_sheets(spark, path, MONTHLY_COLUMNS, fixtures.MONTHLY_TITLES).drop("_row").selectExpr(*columns)
+    own = fixtures.raw_monthly(spark, small).toDF(*MONTHLY_COLUMNS, "sheet").selectExpr(*columns)
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, own.collect()))
+    files = [os.path.join(at, f) for at, _, fs in os.walk(path.removeprefix("file:")) for f in fs if f.endswith(".txt.gz")]
+    assert len(files) == 24
+    for f in files:
+        title, blank, header, *rows = gzip.open(f, "rt").read().splitlines()
+        assert (title, blank) == ("Monthly sales", "") and header.endswith(",Profit,Margin %") and rows
+    assert not [d for d in os.listdir(os.path.dirname(path.removeprefix("file:"))) if d.startswith("titled-lines")]
+
+
+def test_rows_without_a_day_are_on_a_sheet_of_their_own(spark, tmp_path):
+    from starlattice.operators.clean import MONTHLY_COLUMNS
+    from starlattice.sources import fixtures
+    for name in ("lineitem", "part"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    orders.withColumn("o_orderdate", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderdate"))).write.parquet(f"{tmp_path}/orders.parquet")
+    path = fixtures.stage_titled_sheets(spark, str(tmp_path))
+    got = read_sheets(spark, path, MONTHLY_COLUMNS, fixtures.MONTHLY_TITLES).groupBy("sheet").count().collect()
+    own = fixtures.raw_monthly(spark, str(tmp_path)).groupBy(F.coalesce("sheet", F.lit("__HIVE_DEFAULT_PARTITION__"))).count().collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, own)) and len(got) == 13
