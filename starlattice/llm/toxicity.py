@@ -78,8 +78,8 @@ def _count_features(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array([counts[1][f] for f in part], pa.int64())], ["feature", "clean", "toxic"])
 
 
-def significant_features(sample: DataFrame) -> list[bytes]:
-    """All features significantly more frequent in toxic documents; the sample bounds their number."""
+def significant_features(sample: DataFrame, most: int | None = None) -> list[bytes]:
+    """Features significantly more frequent in toxic documents: all (the sample bounds their number), or the first ``most``."""
     total = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = total.get(0, 0), total.get(1, 0)
     if not n0 or not n1:
@@ -92,6 +92,7 @@ def significant_features(sample: DataFrame) -> list[bytes]:
     have, lack = c + t, n - c - t
     g = 2 * (part(t, have * n1 / n) + part(c, have * n0 / n) + part(n1 - t, lack * n1 / n) + part(n0 - c, lack * n0 / n))
     best = per.withColumn("g", g).filter(F.col("g") >= G_LEAST).orderBy(F.col("g").desc(), "feature")
+    best = best if most is None else best.limit(most)
     return [bytes(r["feature"]) for r in best.select("feature").collect()]
 
 
@@ -149,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     least = F.min(F.struct(F.xxhash64("text").alias("text_hash"), "text"))["text"]
     sample = materialize(rows.join(F.broadcast(materialize(marks, "toxicity-labels")), "id")
                          .groupBy("id", "toxic").agg(least.alias("text")).select("id", "text", "toxic"), "toxicity-sample")
-    features = significant_features(sample)
+    features = significant_features(sample, None)
     if not features:
         return {}
     index = spark.sparkContext.broadcast({f: i for i, f in enumerate(features)})
