@@ -82,13 +82,24 @@ def test_header_of_each_sheet_without_a_sort_of_its_lines(spark):
     assert "collect_list" in plan and "SortAggregate(key=[file" not in plan
 
 
-def test_titled_sheets_from_shares_of_the_orders(spark):
+def sales(spark, folder, day):
+    """Tables of 60 parts, 120 orders with the day given, and 600 lines."""
+    spark.range(60).selectExpr("id AS p_partkey", "concat('part, ', id) AS p_name", "concat('type ', id % 7) AS p_type",
+                               "int(id % 50 + 1) AS p_size", "double(900 + id) AS p_retailprice").write.parquet(f"{folder}/part.parquet")
+    spark.range(120).selectExpr("id AS o_orderkey", f"{day} AS o_orderdate").write.parquet(f"{folder}/orders.parquet")
+    spark.range(600).selectExpr(
+        "id % 120 AS l_orderkey", "id % 61 AS l_partkey", "int(id div 120) AS l_linenumber", "double(id % 50 + 1) AS l_quantity",
+        "double(1000 + id) AS l_extendedprice", "double(id % 10) / 100 AS l_discount").write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_titled_sheets_from_shares_of_the_orders(spark, tmp_path):
     import gzip
     from collections import Counter
 
     from starlattice.operators.clean import MONTHLY_COLUMNS
     from starlattice.sources import fixtures
-    small = "/root/testdata/sf0.001"
+    small = sales(spark, tmp_path, "cast(add_months(date '2020-01-05', int(id)) AS timestamp)")
     before = {k: spark.conf.get(k) for k in ("spark.sql.maxConcurrentOutputFileWriters", "spark.sql.unionOutputPartitioning")}
     path = fixtures.stage_titled_sheets(spark, small, lines_at_once=150)
     assert before == {k: spark.conf.get(k) for k in before}
@@ -107,10 +118,7 @@ def test_titled_sheets_from_shares_of_the_orders(spark):
 def test_rows_without_a_day_are_on_a_sheet_of_their_own(spark, tmp_path):
     from starlattice.operators.clean import MONTHLY_COLUMNS
     from starlattice.sources import fixtures
-    for name in ("lineitem", "part"):
-        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
-    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
-    orders.withColumn("o_orderdate", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderdate"))).write.parquet(f"{tmp_path}/orders.parquet")
+    sales(spark, tmp_path, "CASE WHEN id % 5 > 0 THEN cast(add_months(date '2020-01-05', int(id)) AS timestamp) END")
     path = fixtures.stage_titled_sheets(spark, str(tmp_path))
     got = read_sheets(spark, path, MONTHLY_COLUMNS, fixtures.MONTHLY_TITLES).groupBy("sheet").count().collect()
     own = fixtures.raw_monthly(spark, str(tmp_path)).groupBy(F.coalesce("sheet", F.lit("__HIVE_DEFAULT_PARTITION__"))).count().collect()
