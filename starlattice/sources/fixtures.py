@@ -174,7 +174,7 @@ def raw_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_monthly(spark: SparkSession, sf_dir: str, partitions: int | None = None, share: tuple[int, int] | None = None) -> DataFrame:
     """The monthly sheets (eleven text columns) plus the sheet each row is on."""
-    s = sales_lines(spark, sf_dir, partitions, share=share)
+    s = sales_lines(spark, sf_dir, partitions, (), share)
     header_text = (F.when(F.col("l_linenumber") % 3 == 0, F.lit(HEADER_DATE_TEXTS[0]))
                     .when(F.col("l_linenumber") % 3 == 1, F.lit(HEADER_DATE_TEXTS[1]))
                     .otherwise(F.lit(HEADER_DATE_TEXTS[2])))
